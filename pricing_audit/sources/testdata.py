@@ -1,7 +1,7 @@
 """The given tables with declared schemas, and the billing relations derived from them.
 
-Every derivation is a plain DataFrame expression over whole tables. Joins here carry no hints:
-Spark decides from table sizes, and adaptive execution splits skewed keys.
+Every derivation is a plain DataFrame expression over whole tables. Nothing here is marked for
+broadcast: Spark decides from table sizes, and adaptive execution splits skewed keys.
 """
 
 from __future__ import annotations
@@ -131,19 +131,42 @@ def rate_card(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _billed_prices() -> Column:
+    """Billed price for every tier and every kind of drift (by the order key's last digit).
+
+    Worked out once per base price, so transactions only look their price up.
+    """
+    kinds = [_decimal(f) for f in (*BILLED_FACTORS, "1.000", "1.000")]
+    free = len(BILLED_FACTORS)  # the digit at which the zero-rate brand is billed nothing
+    prices = []
+    for _, _, factor in TIERS:
+        tier_price = _money(F.col("base_price") * _decimal(factor))
+        for digit, kind in enumerate(kinds):
+            price = _money(tier_price * kind).cast("double")
+            if digit == free:
+                price = F.when(_brand_no("temperature") == ZERO_RATE_BRAND, 0.0).otherwise(price)
+            prices.append(price)
+    return F.array(*prices)
+
+
 def billing(
     spark: SparkSession, sf_dir: str, lineitem: DataFrame | None = None
 ) -> DataFrame:
-    """Billing transactions; pass a streaming ``lineitem`` to get them as a stream."""
+    """Billing transactions; pass a streaming ``lineitem`` to get them as a stream.
+
+    Orders and line items grow together, so that join always shuffles: neither side is broadcast
+    just because its pruned columns look small, and the work after it runs in parallel.
+    """
     if lineitem is None:
         lineitem = table(spark, sf_dir, "lineitem")
     part = table(spark, sf_dir, "part")
+    bases = rate_base(part).withColumn("billed_prices", _billed_prices()).drop("base_price")
     priced = part.select(
         F.col("p_partkey").alias("l_partkey"),
         F.col("p_type").alias("service_type"),
         F.col("p_brand").alias("temperature"),
         _size_class().alias("container_size"),
-    ).join(rate_base(part), ["service_type", "temperature", "container_size"])
+    ).join(bases, ["service_type", "temperature", "container_size"])
     ordered = (
         table(spark, sf_dir, "orders")
         .join(table(spark, sf_dir, "customer"), F.col("o_custkey") == F.col("c_custkey"))
@@ -157,26 +180,15 @@ def billing(
         )
     )
     quantity = F.col("l_quantity")
-    tier_factor = F.lit(None).cast("decimal(3,2)")
-    for _, high, factor in reversed(TIERS):
-        is_last = high == TIERS[-1][1]
-        tier_factor = (
-            _decimal(factor) if is_last
-            else F.when(quantity <= high, _decimal(factor)).otherwise(tier_factor)
-        )
-    last_digit = F.col("l_orderkey") % 10
-    drift = _decimal("1.000")
-    for digit, factor in enumerate(BILLED_FACTORS):
-        drift = F.when(last_digit == digit, _decimal(factor)).otherwise(drift)
-    price = F.when(
-        (_brand_no("temperature") == ZERO_RATE_BRAND) & (last_digit == 4), F.lit(0.0)
-    ).otherwise(_money(_money(F.col("base_price") * tier_factor) * drift).cast("double"))
+    tier = F.when(quantity <= TIERS[0][1], 0).when(quantity <= TIERS[1][1], 1).otherwise(2)
+    drift = F.least(F.col("l_orderkey") % 10, F.lit(len(BILLED_FACTORS) + 1)).cast("int")
+    price = F.get("billed_prices", tier * (len(BILLED_FACTORS) + 2) + drift)
     return (
-        lineitem.join(priced, "l_partkey")
-        .join(ordered, "l_orderkey")
+        lineitem.join(ordered.hint("merge"), "l_orderkey")
+        .join(priced, "l_partkey")
         .select(
-            F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
-            .alias("txn_id"),
+            F.concat(F.col("l_orderkey").cast("string"), F.lit("-"), "l_linenumber", F.lit("-"),
+                     "l_partkey", F.lit("-"), "l_suppkey").alias("txn_id"),
             "customer_name",
             F.col("l_shipdate").cast("date").alias("txn_date"),
             "service_type", "temperature", "container_size",
