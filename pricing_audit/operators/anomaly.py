@@ -15,7 +15,7 @@ from ..functions.domain import (
     variance_pct,
 )
 from ..functions.numbers import exact_avg, exact_sum, round_half
-from .joins import lookup_join
+from .joins import fits_broadcast, lookup_join
 
 RATE_KEYS = ("customer_name", "service_type", "temperature", "container_size")
 
@@ -65,6 +65,36 @@ def match_rates(
 
 
 def _match_single(billing, rates, keys, qty, date, how, limit):
+    side = _rate_side(rates, keys)
+    if fits_broadcast(side, limit):
+        return _first_candidate(billing, side, keys, qty, date, how)
+    return _choice_per_signature(billing, rates, keys, qty, date, how, limit)
+
+
+def _first_candidate(billing, side, keys, qty, date, how):
+    """Rates as one ordered list per key, broadcast; each transaction takes its first fit.
+
+    No transaction is shuffled or repeated. The lists are bounded by the size check of the caller.
+    """
+    candidate = F.struct((-F.unix_date("contract_start")).alias("recency"), *CONTRACT_COLUMNS)
+    lists = side.groupBy(*keys).agg(F.array_sort(F.collect_list(candidate)).alias("candidates"))
+
+    def fits(rate):
+        ok = F.col(qty).between(rate["volume_tier_min"], rate["volume_tier_max"])
+        if date is not None:
+            ok &= F.col(date).between(rate["contract_start"], rate["contract_end"])
+        return ok
+
+    joined = lookup_join(billing, lists, keys, how, small=True)
+    picked = joined.withColumn("best", F.get(F.filter("candidates", fits), F.lit(0)))
+    if how == "inner":
+        picked = picked.filter(F.col("best").isNotNull())
+    return picked.select(
+        *billing.columns, *[F.col(f"best.{c}").alias(c) for c in CONTRACT_COLUMNS]
+    )
+
+
+def _choice_per_signature(billing, rates, keys, qty, date, how, limit):
     """Choose once per distinct (keys, quantity, date), then attach the choice to all copies.
 
     Transactions need no unique id for this, and a combination shared by a third of all rows is
@@ -73,15 +103,12 @@ def _match_single(billing, rates, keys, qty, date, how, limit):
     signature = [*keys, qty] + ([date] if date else [])
     asked = billing.select(*signature).distinct()
     matched = match_rates(asked, rates, keys, qty, date, "inner", limit=limit)
-    ranked = F.struct(
-        (-F.unix_date("contract_start")).alias("recency"),
-        "contract_id", "contract_unit_price", "volume_tier_min", "volume_tier_max",
-        "contract_start", "contract_end",
-    )
+    ranked = F.struct((-F.unix_date("contract_start")).alias("recency"), *CONTRACT_COLUMNS)
     chosen = matched.groupBy(*signature).agg(F.min(ranked).alias("best")).select(
         *signature, *[F.col(f"best.{c}").alias(c) for c in CONTRACT_COLUMNS]
     )
-    return lookup_join(billing, chosen, signature, how, limit=limit)
+    # As many signatures as transactions are possible, so broadcasting is not considered.
+    return lookup_join(billing, chosen, signature, how, small=False)
 
 
 def with_variance(df: DataFrame) -> DataFrame:

@@ -43,7 +43,8 @@ def _parsed_at():
 
 
 def _pages(spark: SparkSession, sf: str) -> DataFrame:
-    return pages.split_pages(testdata.document_rows(spark, sf), parsed_at=_parsed_at())
+    docs = tables.spread(testdata.document_rows(spark, sf))
+    return pages.split_pages(docs, parsed_at=_parsed_at())
 
 
 def _fees(spark: SparkSession, sf: str) -> DataFrame:
@@ -219,9 +220,9 @@ def split_pages(spark, sf):
 
 @query
 def split_html_pages(spark, sf):
-    docs = testdata.table(spark, sf, "pages").select(
+    docs = tables.spread(testdata.table(spark, sf, "pages").select(
         F.col("url").alias("filename"), F.lit("web").alias("customer_id"), "html"
-    )
+    ))
     return pages.split_html_pages(docs, parsed_at=_parsed_at()).select(
         "filename", "page_index", "page_text", "total_pages"
     )
@@ -359,7 +360,7 @@ def label_bounds_of_tiers(spark, sf):
 
 @query
 def clause_prices(spark, sf):
-    return extract.parse_clauses(testdata.clause_sections(_part(spark, sf)))
+    return extract.parse_clauses(testdata.clause_sections(tables.spread(_part(spark, sf))))
 
 
 @query
@@ -471,7 +472,8 @@ def compare_tally(spark, sf):
 # --- search --------------------------------------------------------------------------------------
 
 def _sections(spark, sf):
-    return testdata.table(spark, sf, "documents").select("doc_id", "text", "lang", "source")
+    documents = testdata.table(spark, sf, "documents")
+    return tables.spread(documents.select("doc_id", "text", "lang", "source"), "doc_id")
 
 
 def _questions(spark, sf):

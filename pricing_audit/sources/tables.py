@@ -13,6 +13,17 @@ from pyspark.sql import functions as F
 from ..operators.joins import lookup_join
 
 
+def spread(scan: DataFrame, *by: str) -> DataFrame:
+    """Give a scan of too few files enough partitions for text work, which costs far more than
+    moving the text once. A scan that already fills the cluster is returned as it is.
+
+    ``by`` may name a unique key, so that later grouping by it needs no further shuffle. For plain
+    scans only: counting partitions plans the scan but runs nothing.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan.repartition(cores, *by) if scan.rdd.getNumPartitions() < cores else scan
+
+
 @dataclass(frozen=True)
 class TableNames:
     """Where the result tables live; every part is chosen at run time."""
