@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import SparkSession
 
@@ -21,9 +22,12 @@ def shared_dir(spark: SparkSession) -> str:
         return configured.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError(f"set {CHECKPOINT_CONF} to a folder shared by all executors")
-    fallback = tempfile.mkdtemp(prefix="pricing-audit-")
-    spark.conf.set(CHECKPOINT_CONF, fallback)
-    return fallback
+    return _local_fallback()
+
+
+@cache
+def _local_fallback() -> str:
+    return tempfile.mkdtemp(prefix="pricing-audit-")
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
