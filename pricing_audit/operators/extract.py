@@ -179,11 +179,15 @@ def flatten_rows(
     fields: Sequence[str],
     keep: Sequence[str] = (),
     required: str | None = None,
+    null_counts: bool = False,
 ) -> DataFrame:
     """JSON array of objects to rows; malformed text and empty lists give no row.
 
-    All fields are read as text. ``required`` names a field that must not be missing or null.
+    All fields are read as text. ``required`` names a field that must not be missing or null; with
+    ``null_counts`` an explicit JSON null is enough and only a missing key drops the row.
     """
+    if null_counts:
+        return _flatten_variants(df, json_col, root, fields, keep, required)
     parsed = F.from_json(json_col, rows_type(root, fields), {"mode": "PERMISSIVE"})
     rows = (
         df.withColumn("__rows", parsed[root])
@@ -193,6 +197,16 @@ def flatten_rows(
     return rows if required is None else rows.filter(F.col(required).isNotNull())
 
 
+def _flatten_variants(df, json_col, root, fields, keep, required):
+    rows = F.try_variant_get(F.try_parse_json(json_col), f"$.{root}", "array<variant>")
+    each = df.select(*keep, F.explode(rows).alias("__row"))
+    if required is not None:
+        each = each.filter(F.try_variant_get("__row", f"$.{required}", "variant").isNotNull())
+    return each.select(
+        *keep, *[F.try_variant_get("__row", f"$.{f}", "string").alias(f) for f in fields]
+    )
+
+
 def json_path(json_col: str, path: str, kind: str = "string") -> Column:
     """Value at ``path`` of JSON text; NULL for malformed text, missing paths and wrong types."""
     return F.try_variant_get(F.try_parse_json(json_col), path, kind)

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Sequence
+from collections.abc import Callable, Iterator, Sequence
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -56,6 +57,41 @@ def split_pages(
     )
 
 
+def parse_files(
+    files: DataFrame, parser: Callable[[bytes], Sequence[str]], parsed_at: Column | None = None
+) -> DataFrame:
+    """(filename, customer_id, content) to page rows through a parser of binary documents.
+
+    The parser turns the bytes of one document into its page texts. A document it fails on gives
+    one row without text, with the reason in ``error``.
+    """
+    schema = "filename string, customer_id string, pages array<string>, error string"
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            texts, errors = [], []
+            for content in batch["content"]:
+                try:
+                    texts.append([str(page) for page in parser(bytes(content))])
+                    errors.append(None)
+                except Exception as failure:
+                    texts.append([None])
+                    errors.append(f"{type(failure).__name__}: {failure}")
+            yield pd.DataFrame({
+                "filename": batch["filename"], "customer_id": batch["customer_id"],
+                "pages": pd.Series(texts, index=batch.index, dtype=object),
+                "error": pd.Series(errors, index=batch.index, dtype=object),
+            })
+
+    parsed = files.select("filename", "customer_id", "content").mapInPandas(run, schema)
+    return parsed.select(
+        "filename", "customer_id", F.size("pages").alias("total_pages"), "error",
+        F.posexplode("pages").alias("page_index", "page_text"),
+    ).withColumn("parsed_at", F.current_timestamp() if parsed_at is None else parsed_at).select(
+        *PAGE_COLUMNS, "error"
+    )
+
+
 def html_text(html: Column) -> Column:
     """Visible text of an HTML page, one block per line."""
     no_code = F.regexp_replace(html, r"(?is)<(script|style)[^>]*>.*?</(script|style)>", "")

@@ -152,23 +152,21 @@ fees_a AS (
          'A' AS extraction_method
   FROM raw_fees WHERE fee_name IS NOT NULL
 ),
-fee_amounts AS (
-  SELECT *, CAST(TRUNC(CAST(price AS DECIMAL(18,2))) AS BIGINT) AS amount FROM fees_a
-),
 fees AS (
   SELECT * FROM fees_a
   UNION ALL
   SELECT filename, customer_id, fee_category, fee_name, currency,
-         CASE WHEN amount % 7 = 1 THEN '1.00' ELSE price END, unit, description, 'B'
-  FROM fee_amounts WHERE amount % 5 <> 0
+         CASE WHEN fee_name LIKE '%bolt%' THEN '1.00' ELSE price END, unit, description, 'B'
+  FROM fees_a WHERE fee_name NOT LIKE '%gear%'
 ),
 truth_fees AS (
   SELECT customer_id, lower(fee_category) AS fee_category, upper(fee_name) AS fee_name,
-         CASE amount % 4
-           WHEN 1 THEN CAST(CAST(CAST(price AS DECIMAL(18,2)) + 0.005 AS DECIMAL(18,3)) AS VARCHAR)
-           WHEN 2 THEN CAST(CAST(CAST(price AS DECIMAL(18,2)) + 1.00 AS DECIMAL(18,2)) AS VARCHAR)
-           ELSE price END AS price
-  FROM fee_amounts WHERE amount % 4 <> 3
+         CASE WHEN fee_name LIKE '%ring%'
+                THEN CAST(CAST(CAST(price AS DECIMAL(18,2)) + 0.005 AS DECIMAL(18,3)) AS VARCHAR)
+              WHEN fee_name LIKE '%widget%'
+                THEN CAST(CAST(CAST(price AS DECIMAL(18,2)) + 1.00 AS DECIMAL(18,2)) AS VARCHAR)
+              ELSE price END AS price
+  FROM fees_a WHERE fee_name NOT LIKE '%gizmo%'
 )"""
 
 

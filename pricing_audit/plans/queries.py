@@ -48,12 +48,12 @@ def _pages(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _fees(spark: SparkSession, sf: str) -> DataFrame:
-    """Fee rows of two methods; method B misses every fifth fee and reads every seventh wrongly."""
+    """Fee rows of two methods; method B overlooks gears and misreads bolts."""
     fees = normalize.normalize_fees(testdata.raw_fee_rows(_part(spark, sf)))
-    amount = F.col("price").cast("decimal(18,2)").cast("bigint")
     b = (
-        fees.filter(amount % 5 != 0)
-        .withColumn("price", F.when(amount % 7 == 1, "1.00").otherwise(F.col("price")))
+        fees.filter(~F.col("fee_name").contains("gear"))
+        .withColumn("price", F.when(F.col("fee_name").contains("bolt"), "1.00")
+                    .otherwise(F.col("price")))
         .withColumn("extraction_method", F.lit("B"))
     )
     return fees.withColumn("extraction_method", F.lit("A")).unionByName(b)

@@ -11,6 +11,19 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.joins import lookup_join
+from ..session import scratch_path
+
+
+def stage(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` once to the shared folder and read it back.
+
+    For results that cost much and are used several times: what follows reads the files, so nothing
+    is computed twice and a lost executor repeats only its own reads.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def spread(scan: DataFrame, *by: str) -> DataFrame:

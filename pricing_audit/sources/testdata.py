@@ -304,15 +304,18 @@ def raw_fee_rows(part: DataFrame) -> DataFrame:
 
 
 def truth_fees(fees: DataFrame) -> DataFrame:
-    """Expected fees: by size of the price exact, half a cent off, a unit off, or missing."""
+    """Expected fees: half a cent off for rings, a unit off for widgets, unknown for gizmos."""
     amount = F.col("price").try_cast("decimal(18,2)")
-    kind = F.pmod(amount.cast("bigint"), F.lit(4))
+    name = F.col("fee_name")
     price = (
-        F.when(kind == 1, (amount + _decimal("0.005")).cast("decimal(18,3)").cast("string"))
-        .when(kind == 2, (amount + _decimal("1.00")).cast("decimal(18,2)").cast("string"))
+        F.when(name.contains("ring"),
+               (amount + _decimal("0.005")).cast("decimal(18,3)").cast("string"))
+        .when(name.contains("widget"), _money(amount + _decimal("1.00")).cast("string"))
         .otherwise(F.col("price"))
     )
-    return fees.filter((F.col("extraction_method") == "A") & (kind != 3)).select(
+    return fees.filter(
+        (F.col("extraction_method") == "A") & ~name.contains("gizmo")
+    ).select(
         "customer_id",
         F.lower("fee_category").alias("fee_category"),
         F.upper("fee_name").alias("fee_name"),
