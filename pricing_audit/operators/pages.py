@@ -36,7 +36,9 @@ def split_pages(
 ) -> DataFrame:
     """(filename, customer_id, text) to one row per page of ``lines_per_page`` lines.
 
-    Empty lines, also trailing ones, belong to a page. The whole split happens inside the row.
+    Empty lines, also trailing ones, belong to a page; a document without text has no pages. The
+    whole split happens inside the row. (A filter on the text would make Spark work it out twice
+    where it is computed, as from HTML; exploding NULL drops the row just as well.)
     """
     lines = F.split("text", "\n", -1)
     total = F.ceil(F.size("lines") / F.lit(lines_per_page)).cast("int")
@@ -47,8 +49,7 @@ def split_pages(
         ),
     )
     return (
-        docs.filter(F.col("text").isNotNull())
-        .select("filename", "customer_id", lines.alias("lines"))
+        docs.select("filename", "customer_id", lines.alias("lines"))
         .withColumn("total_pages", total)
         .select("filename", "customer_id", "total_pages",
                 F.posexplode(page_texts).alias("page_index", "page_text"))

@@ -16,17 +16,20 @@ _EMPTY = "is_empty_mark"
 
 
 def replace_keys(
-    df: DataFrame, path: str, affected: DataFrame, keys: Sequence[str] = RESULT_KEYS
+    df: DataFrame, path: str, affected: DataFrame, keys: Sequence[str] = RESULT_KEYS,
+    staged: bool = False,
 ) -> None:
     """Replace all rows of the affected keys in one write; safe to run again.
 
     ``affected`` lists the keys this run processed. A key that produced no rows gets a single mark
     row in its partition, which replaces what was there; ``read_current`` hides the marks. The rows
-    are staged first, so an expensive extraction behind them runs once. They are rebalanced by key
-    before writing, which also splits a key too large for one task.
+    are staged first, so an expensive extraction behind them runs once; ``staged`` says they already
+    come from such a place. They are rebalanced by key before writing, which also splits a key too
+    large for one task.
     """
     keys = list(keys)
-    df = stage(df, "replace")
+    if not staged:
+        df = stage(df, "replace")
     payload = [F.lit(None).cast(f.dataType).alias(f.name)
                for f in df.schema.fields if f.name not in keys]
     vacant = lookup_join(

@@ -117,9 +117,9 @@ def extract_contracts(
     tag = normalize.method_tag(method.kind, method.model)
     customers = docs.select("customer_id").distinct().withColumn("extraction_method", tag)
     runs.replace_keys(prices.withColumn("extracted_at", F.current_timestamp()),
-                      store.prices, customers)
+                      store.prices, customers, staged=True)
     runs.replace_keys(fees.withColumn("extracted_at", F.current_timestamp()),
-                      store.fees, customers)
+                      store.fees, customers, staged=True)
 
     failed = price_errors.unionByName(fee_errors).groupBy("filename").agg(
         F.count("*").alias("failed_pages"), F.min("error").alias("error"))

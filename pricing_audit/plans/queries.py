@@ -13,6 +13,7 @@ from ..operators import anomaly, compare, extract, metrics, normalize, pages, ru
 from ..session import scratch_path
 from ..sources import tables, testdata
 from ..streaming import jobs
+from . import contracts
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -625,6 +626,38 @@ def run_both_methods(spark, sf):
     )
 
 
+@query
+def extract_contracts(spark, sf):
+    """Contract texts through the whole flow: pages, cache, both result tables, run log."""
+    line = r"(?m)^([^|\n]+)\|([^|\n]+)\|([^|\n]+)\|([^|\n]+)\|([^|\n]*)\|([^|\n]*)$"
+    fee = r"(?m)^([^|\n]+)\|([^|\n]+)\|([^|\n]+)$"
+
+    def rules(pattern, fields, groups):
+        def column(field):
+            if field not in groups:
+                return F.array().cast("array<string>")
+            found = F.regexp_extract_all("page_text", F.lit(pattern), groups[field])
+            return F.transform(found, lambda x: F.when(x != "", x))
+        return {f: column(f) for f in fields}
+
+    method = contracts.Method("A", price_rules=rules(line, extract.PRICE_FIELDS, {
+        "temperature": 1, "sample_size_label": 2, "qty_tier_label": 3, "price_usd": 4,
+        "region": 5, "price_eur": 6,
+    }), fee_rules=rules(fee, extract.FEE_FIELDS, {
+        "fee_category": 1, "fee_name": 2, "price_usd": 3,
+    }))
+    store = contracts.Store(scratch_path(spark, "contracts"))
+    docs = testdata.contract_documents(_part(spark, sf))
+    contracts.extract_contracts(spark, docs, store, method, run_id=1)
+    prices = runs.read_current(spark, store.prices).select(
+        F.lit("price").alias("kind"), "filename", "customer_id", F.col("temperature").alias("name"),
+        "region", "currency", "price", "extraction_method")
+    fees = runs.read_current(spark, store.fees).select(
+        F.lit("fee").alias("kind"), "filename", "customer_id", F.col("fee_name").alias("name"),
+        F.lit(None).cast("string").alias("region"), "currency", "price", "extraction_method")
+    return prices.unionByName(fees)
+
+
 # --- streaming -----------------------------------------------------------------------------------
 
 @query

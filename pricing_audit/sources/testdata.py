@@ -351,3 +351,23 @@ def clause_sections(part: DataFrame) -> DataFrame:
         F.col("p_type").alias("customer_name"),
         text.alias("content"),
     )
+
+
+def contract_documents(part: DataFrame) -> DataFrame:
+    """One contract text per part: a storage table on its first page, a fee table on its second."""
+    amount = _money(F.col("p_retailprice"))
+    region = F.when(F.col("p_size") > 40, "Griesheim").when(F.col("p_size") > 30, "Singapore")
+    text = F.concat(
+        F.lit("Storage rates\n"), F.col("p_brand"), F.lit("|"), F.col("p_name"), F.lit("|1-"),
+        F.col("p_size").cast("string"), F.lit("|"), amount.cast("string"), F.lit("|"),
+        F.coalesce(region, F.lit("")), F.lit("|"),
+        F.when(F.col("p_size") <= 45, _money(amount * _decimal("0.90")).cast("string"))
+        .otherwise(""),
+        F.lit("\n\n\n\nRetrieval fees\n"), F.col("p_type"), F.lit("|"), F.col("p_name"), F.lit("|"),
+        amount.cast("string"),
+    )
+    return part.select(
+        F.concat(F.lit("contract "), F.col("p_partkey"), F.lit(".pdf")).alias("filename"),
+        F.col("p_type").alias("customer_id"),
+        text.alias("text"),
+    )
