@@ -189,17 +189,22 @@ def flatten_rows(
     if null_counts:
         return _flatten_variants(df, json_col, root, fields, keep, required)
     parsed = F.from_json(json_col, rows_type(root, fields), {"mode": "PERMISSIVE"})
-    rows = (
-        df.withColumn("__rows", parsed[root])
-        .filter(F.size("__rows") > 0)
-        .select(*keep, F.inline("__rows"))
+    rows = _each(df.select(*keep, parsed[root].alias("__rows")), keep).select(
+        *keep, *[F.col(f"__row.{f}").alias(f) for f in fields]
     )
     return rows if required is None else rows.filter(F.col(required).isNotNull())
 
 
+def _each(df: DataFrame, keep: Sequence[str]) -> DataFrame:
+    """Elements of ``__rows``. The outer form parses the text once; the plain one would first filter
+    on the array and parse it again."""
+    exploded = df.select(*keep, F.posexplode_outer("__rows").alias("__pos", "__row"))
+    return exploded.filter(F.col("__pos").isNotNull())
+
+
 def _flatten_variants(df, json_col, root, fields, keep, required):
     rows = F.try_variant_get(F.try_parse_json(json_col), f"$.{root}", "array<variant>")
-    each = df.select(*keep, F.explode(rows).alias("__row"))
+    each = _each(df.select(*keep, rows.alias("__rows")), keep)
     if required is not None:
         each = each.filter(F.try_variant_get("__row", f"$.{required}", "variant").isNotNull())
     return each.select(

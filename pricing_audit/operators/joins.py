@@ -60,9 +60,14 @@ def lookup_join(
     """
     if how not in ("left", "inner", "left_semi", "left_anti"):
         raise ValueError(f"unsupported join type {how!r}")
+    keys = list(keys)
+    for k in keys:
+        mine, theirs = left.schema[k].dataType, right.schema[k].dataType
+        if mine != theirs:
+            # Hot keys are recognised by a hash that depends on the type.
+            raise TypeError(f"key {k} is {mine.simpleString()} and {theirs.simpleString()}")
     if small is None:
         small = fits_broadcast(right, limit)
-    keys = list(keys)
     if small:
         return _join(left, F.broadcast(_renamed(right, keys)), keys, how, condition)
     left, right, salt = _salted(left, right, keys)

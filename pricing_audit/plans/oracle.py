@@ -803,6 +803,11 @@ UNION ALL
 SELECT 'deduplicated', COUNT(*) FROM (
   SELECT DISTINCT customer_id, fee_category, fee_name, extraction_method FROM fees)"""
 
+ORACLE["stored_documents"] = """
+SELECT lang, CAST(SUM(octet_length(encode(text)) + 1) AS BIGINT) AS listed_bytes,
+       CAST(SUM(octet_length(encode(text)) + 1) AS BIGINT) AS read_bytes
+FROM documents GROUP BY lang"""
+
 ORACLE["csv_export"] = f"""
 WITH {FEES}
 SELECT customer_id, fee_category, fee_name, price, unit FROM fees WHERE extraction_method = 'A'"""

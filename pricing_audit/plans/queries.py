@@ -11,7 +11,7 @@ from ..functions.labels import customer_from_filename, label_bounds
 from ..functions.numbers import exact_sum
 from ..operators import anomaly, compare, extract, metrics, normalize, pages, runs, search, validate
 from ..session import scratch_path
-from ..sources import tables, testdata
+from ..sources import documents, tables, testdata
 from ..streaming import jobs
 from . import contracts
 
@@ -473,8 +473,8 @@ def compare_tally(spark, sf):
 # --- search --------------------------------------------------------------------------------------
 
 def _sections(spark, sf):
-    documents = testdata.table(spark, sf, "documents")
-    return tables.spread(documents.select("doc_id", "text", "lang", "source"), "doc_id")
+    rows = testdata.table(spark, sf, "documents").select("doc_id", "text", "lang", "source")
+    return tables.spread(rows, "doc_id")
 
 
 def _questions(spark, sf):
@@ -582,6 +582,20 @@ def append_and_dedupe(spark, sf):
     )
 
 
+@query
+def stored_documents(spark, sf):
+    """All texts written as files, then listed and read back: bytes per language folder."""
+    path = scratch_path(spark, "documents")
+    texts = testdata.table(spark, sf, "documents").select("lang", "text")
+    texts.write.option("maxRecordsPerFile", 5000).partitionBy("lang").text(path)
+    lang = F.regexp_extract("path", "/lang=([^/]+)/", 1).alias("lang")
+    listed = documents.list_documents(spark, path, "*.txt").groupBy(lang).agg(
+        F.sum("size").alias("listed_bytes"))
+    read = documents.read_documents(spark, path, "*.txt").groupBy(lang).agg(
+        F.sum(F.length("content").cast("bigint")).alias("read_bytes"))
+    return listed.join(read, "lang")
+
+
 @query
 def csv_export(spark, sf):
     path = scratch_path(spark, "csv")
@@ -662,11 +676,13 @@ def extract_contracts(spark, sf):
 
 @query
 def stream_pages(spark, sf):
-    documents = testdata.stream(spark, sf, "documents").select(F.concat_ws("/", "source", "doc_id").alias("filename"),
-             F.col("lang").alias("customer_id"), "text")
+    arriving = testdata.stream(spark, sf, "documents").select(
+        F.concat_ws("/", "source", "doc_id").alias("filename"),
+        F.col("lang").alias("customer_id"), "text",
+    )
     path = scratch_path(spark, "pages")
     jobs.stream_pages(
-        documents, f"{path}/cache", f"{path}/checkpoint", parsed_at=_parsed_at()
+        arriving, f"{path}/cache", f"{path}/checkpoint", parsed_at=_parsed_at()
     ).awaitTermination()
     return spark.read.parquet(f"{path}/cache").select(
         "filename", "customer_id", "page_index", "page_text", "total_pages"
@@ -700,10 +716,10 @@ def stream_alerts(spark, sf):
 
 @query
 def stream_search(spark, sf):
-    documents = testdata.stream(spark, sf, "documents")
+    arriving = testdata.stream(spark, sf, "documents").select("doc_id", "text")
     path = scratch_path(spark, "index")
     jobs.stream_index(
-        documents.select("doc_id", "text"), f"{path}/index", f"{path}/checkpoint"
+        arriving, f"{path}/index", f"{path}/checkpoint"
     ).awaitTermination()
     return search.search(
         jobs.load_streamed_index(spark, f"{path}/index"), _questions(spark, sf), 10

@@ -67,3 +67,9 @@ def test_measured_bytes(spark):
 def test_bad_join_type(sides):
     with pytest.raises(ValueError):
         joins.lookup_join(*sides, ["k"], "outer")
+
+
+def test_key_types_must_agree(spark, sides):
+    other = sides[1].withColumn("k", F.lit(1))
+    with pytest.raises(TypeError):
+        joins.lookup_join(sides[0], other, ["k"])
