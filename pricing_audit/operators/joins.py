@@ -20,24 +20,24 @@ from ..session import shuffle_partitions
 BROADCAST_BYTES = 64 * 1024 * 1024
 
 
+def _width(field: T.StructField) -> str:
+    name = "`" + field.name.replace("`", "``") + "`"
+    kind = field.dataType
+    if isinstance(kind, (T.StringType, T.BinaryType)):
+        size = f"octet_length({name})"
+    elif isinstance(kind, T.ArrayType) and isinstance(kind.elementType, T.NumericType):
+        size = f"8 * size({name})"
+    elif isinstance(kind, (T.ArrayType, T.StructType, T.MapType)):
+        size = f"octet_length(to_json(struct({name})))"
+    else:
+        size = "8"
+    return f"coalesce({size}, 0) + 8"
+
+
 def measured_bytes(df: DataFrame) -> int:
     """Exact payload size of ``df``: one distributed aggregate, one row comes back."""
-    width: Column = F.lit(0)
-    for field in df.schema.fields:
-        col = F.col(f"`{field.name}`")
-        if isinstance(field.dataType, (T.StringType, T.BinaryType)):
-            size = F.octet_length(col)
-        elif isinstance(field.dataType, T.ArrayType) and isinstance(
-            field.dataType.elementType, T.NumericType
-        ):
-            size = F.size(col) * 8
-        elif isinstance(field.dataType, (T.ArrayType, T.StructType, T.MapType)):
-            size = F.octet_length(F.to_json(F.struct(col)))
-        else:
-            size = F.lit(8)
-        width = width + F.coalesce(size, F.lit(0)) + 8
-    total = df.agg(F.sum(width.cast("long")).alias("bytes")).first()["bytes"]
-    return int(total or 0)
+    row = " + ".join(_width(f) for f in df.schema.fields)
+    return int(df.select(F.expr(f"sum(cast({row} as bigint))")).first()[0] or 0)
 
 
 def fits_broadcast(df: DataFrame, limit: int | None = None) -> bool:

@@ -586,8 +586,8 @@ SELECT filename, COALESCE(region, 'North America') AS region,
        COALESCE(CASE WHEN region IN ('Griesheim', 'Europe') THEN price_eur
                      WHEN region = 'Singapore' THEN price_sgd ELSE price_usd END, price_usd) AS price,
        CAST(CASE WHEN p_partkey % 3 <> 0 THEN p_size * 1000
-                 WHEN p_size * 1000 < 1000 THEN p_size * 1000 END AS DECIMAL(38,0)) AS max_quantity_tier,
-       CAST(1 AS DECIMAL(38,0)) AS min_quantity_tier, customer_id,
+                 WHEN p_size * 1000 < 1000 THEN p_size * 1000 END AS BIGINT) AS max_quantity_tier,
+       CAST(1 AS BIGINT) AS min_quantity_tier, customer_id,
        CASE WHEN p_partkey % 6 = 5 THEN CAST(p_size + 0.5 AS DOUBLE) END AS cubic_foot_max,
        CASE WHEN p_partkey % 4 <> 3 THEN CAST(p_size AS DOUBLE) END AS min_sample_size,
        CAST(p_size + 5 AS DOUBLE) AS max_sample_size,

@@ -366,9 +366,11 @@ def clause_prices(spark, sf):
 
 @query
 def normalize_prices(spark, sf):
-    return normalize.normalize_prices(
+    rows = normalize.normalize_prices(
         testdata.raw_price_rows(_part(spark, sf)), show_currency_used=True
     )
+    bounds = ("min_quantity_tier", "max_quantity_tier")
+    return rows.withColumns({c: F.col(c).cast("bigint") for c in bounds})
 
 
 @query
@@ -496,7 +498,8 @@ def search_filtered(spark, sf):
 def vector_topk(spark, sf):
     """Vectors nearest to the mean vector of each label."""
     vectors = testdata.table(spark, sf, "embeddings")
-    mean = F.array(*[F.avg(F.get("embedding", F.lit(i))) for i in range(64)])
+    width = vectors.agg(F.max(F.size("embedding"))).first()[0] or 0
+    mean = F.array(*[F.avg(F.get("embedding", F.lit(i))) for i in range(width)])
     centers = vectors.groupBy(F.col("label").alias("query_id")).agg(mean.alias("embedding"))
     return search.vector_topk(vectors, centers, 10)
 

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.labels import customer_from_filename
+
 
 def _binary_files(spark: SparkSession, path: str, glob: str) -> DataFrame:
     return (
@@ -38,3 +40,13 @@ def read_text_documents(spark: SparkSession, path: str, glob: str = "*") -> Data
     return read_documents(spark, path, glob).select(
         "filename", F.decode("content", "UTF-8").alias("text")
     )
+
+
+def folder_documents(spark: SparkSession, path: str, glob: str = "*.pdf") -> DataFrame:
+    """All documents of a folder as (filename, customer_id, content), the customer taken from the
+    file name."""
+    suffix = glob.lstrip("*")
+    return read_documents(spark, path, glob).select(
+        "filename", customer_from_filename(F.col("filename"), suffix).alias("customer_id"),
+        "content",
+    )

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from pricing_audit.operators import metrics, runs
 from pricing_audit.session import scratch_path, shared_dir
-from pricing_audit.sources import documents, tables
+from pricing_audit.sources import documents, schemas, tables
 
 SCHEMA = "customer_id string, extraction_method string, filename string, price string"
 
@@ -79,6 +79,22 @@ def test_files(spark, tmp_path):
     assert "content" not in listing._jdf.queryExecution().executedPlan().toString().split("Format")[0]
     texts = documents.read_text_documents(spark, str(tmp_path), "*.pdf")
     assert sorted(r.text for r in texts.collect()) == ["text of a.pdf", "text of b c.pdf"]
+    batch = documents.folder_documents(spark, str(tmp_path))
+    assert sorted((r.filename, r.customer_id) for r in batch.collect()) == [
+        ("a.pdf", "a"), ("b c.pdf", "b_c")]
+
+
+def test_schemas_and_defaults(spark):
+    rows = spark.createDataFrame([("c", "x", "9.5")], "contract_id string, customer_name string, unit_price string")
+    row = schemas.conform(rows, "contract_pricing").first()
+    assert (row.unit_price, row.currency, row.temperature) == (9.5, "USD", None)
+    assert row.created_at is not None
+    contract = schemas.conform(rows.drop("unit_price"), "contract_metadata").first()
+    assert (contract.extraction_status, contract.extracted_at) == ("PENDING", None)
+    with pytest.raises(ValueError):
+        schemas.conform(rows, "contract_metadata")
+    for name in schemas.TABLES:
+        assert schemas.empty_table(spark, name).count() == 0
 
 
 def test_export_and_named_tables(spark):

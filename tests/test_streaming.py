@@ -1,10 +1,11 @@
 from __future__ import annotations
 
+from conftest import SF_DIR
 from pyspark.sql import functions as F
 
 from pricing_audit.operators import anomaly, pages, search
 from pricing_audit.session import scratch_path
-from pricing_audit.sources import sample
+from pricing_audit.sources import sample, testdata
 from pricing_audit.streaming import jobs
 
 
@@ -77,3 +78,19 @@ def test_index_keeps_latest_version(spark):
     want = search.search(search.build_index(current), questions, 5)
     index = jobs.load_streamed_index(spark, f"{root}/index")
     assert bag(search.search(index, questions, 5)) == bag(want)
+
+
+def test_table_streams_from_folder_or_file(spark):
+    """A table may be one file or a folder of parts; both arrive completely."""
+    root = scratch_path(spark, "test-parts")
+    labels = testdata.table(spark, SF_DIR, "labels")
+    labels.repartition(3).write.parquet(f"{root}/labels.parquet")
+    for base in (root, SF_DIR):
+        out = scratch_path(spark, "test-parts-out")
+        query = (
+            testdata.stream(spark, base, "labels").writeStream.format("parquet")
+            .option("checkpointLocation", f"{out}/checkpoint").trigger(availableNow=True)
+            .start(f"{out}/rows")
+        )
+        query.awaitTermination()
+        assert bag(spark.read.parquet(f"{out}/rows")) == bag(labels)
