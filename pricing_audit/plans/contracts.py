@@ -96,9 +96,10 @@ def _extracted_rows(
 
 def extract_contracts(
     spark: SparkSession, docs: DataFrame, store: Store, method: Method, run_id: int,
-    lines_per_page: int = 5, price_options: Mapping[str, object] | None = None,
+    lines_per_page: int = 5, by_file: bool = False,
 ) -> DataFrame:
-    """Run one method over ``docs`` and replace its earlier results for the same customers.
+    """Run one method over ``docs`` and replace its earlier results for the same customers, or with
+    ``by_file`` only those of the same documents.
 
     Pages an extractor fails on are logged as FAILED with their reason; the other pages count.
     Returns the run report.
@@ -111,15 +112,14 @@ def extract_contracts(
     fee_rows, fee_errors = _extracted_rows(
         page_rows, method, pages.FEE_WORDS[method.kind], "fee_rows", "fee_category",
         extract.FEE_FIELDS, "fee_name", method.fee_rules, method.fee_extractor, "fee-pages")
-    prices = normalize.normalize_prices(
-        price_rows, method.kind, method.model, **(price_options or {}))
+    prices = normalize.normalize_prices(price_rows, method.kind, method.model)
     fees = normalize.normalize_fees(fee_rows, method.kind, method.model)
     tag = normalize.method_tag(method.kind, method.model)
-    customers = docs.select("customer_id").distinct().withColumn("extraction_method", tag)
-    runs.replace_keys(prices.withColumn("extracted_at", F.current_timestamp()),
-                      store.prices, customers, staged=True)
-    runs.replace_keys(fees.withColumn("extracted_at", F.current_timestamp()),
-                      store.fees, customers, staged=True)
+    keys = ("customer_id", "filename", "extraction_method") if by_file else runs.RESULT_KEYS
+    affected = docs.withColumn("extraction_method", tag).select(*keys).distinct()
+    for rows, path in ((prices, store.prices), (fees, store.fees)):
+        stamped = rows.withColumn("extracted_at", F.current_timestamp())
+        runs.replace_keys(stamped, path, affected, keys, staged=True)
 
     failed = price_errors.unionByName(fee_errors).groupBy("filename").agg(
         F.count("*").alias("failed_pages"), F.min("error").alias("error"))
@@ -136,6 +136,7 @@ def extract_contracts(
 
     def written(path: str) -> DataFrame:
         rows = runs.read_current(spark, path).filter(F.col("extraction_method") == tag)
-        return lookup_join(rows, customers.select("customer_id"), ["customer_id"], "left_semi")
+        customers = docs.select("customer_id").distinct()
+        return lookup_join(rows, customers, ["customer_id"], "left_semi")
 
     return runs.run_report(page_rows, written(store.prices), written(store.fees))

@@ -81,6 +81,18 @@ def test_failed_pages_are_logged_and_rows_cleared(spark, docs):
         "a.pdf": ("FAILED", "RuntimeError: no answer"), "b.pdf": ("EXTRACTED", None)}
 
 
+def test_replacing_by_file_keeps_other_documents(spark, docs):
+    method = Method("A", price_rules=price_rules(), fee_rules=fee_rules())
+    more = spark.createDataFrame(
+        [("c.pdf", "acme", "Storage table\nRT|1mL|1-10|7.00|Singapore|")], SCHEMA)
+    kept, wiped = (Store(scratch_path(spark, "test-contracts")) for _ in range(2))
+    for store, by_file in ((kept, True), (wiped, False)):
+        for run, batch in enumerate((docs, more)):
+            extract_contracts(spark, batch, store, method, run, by_file=by_file)
+    assert prices(spark, kept) == sorted([*WANT, ("acme", "RT", "SGD", "7.00")])
+    assert prices(spark, wiped) == [("acme", "RT", "SGD", "7.00")]
+
+
 def test_models_are_checked_first(spark, docs):
     for method in (Method("B", "unheard-of"), Method("C")):
         with pytest.raises(ValueError):
