@@ -96,15 +96,13 @@ def rate_card(spark: SparkSession, sf_dir: str) -> DataFrame:
         .agg(F.collect_set("c_mktsegment").alias("segments"))
         .scalar()
     )
-    tiers = F.array(*[
-        F.struct(F.lit(lo).alias("lo"), F.lit(hi).alias("hi"), _decimal(f).alias("f"))
-        for lo, hi, f in TIERS
-    ])
-    windows = F.array(*[
-        F.struct(F.lit(p).alias("prefix"), F.lit(a).cast("date").alias("start"),
-                 F.lit(b).cast("date").alias("end"), _decimal(f).alias("f"))
+    tiers = F.expr("array(%s)" % ", ".join(
+        f"struct({lo} AS lo, {hi} AS hi, {f} AS f)" for lo, hi, f in TIERS
+    ))
+    windows = F.expr("array(%s)" % ", ".join(
+        f"struct('{p}' AS prefix, DATE'{a}' AS start, DATE'{b}' AS end, {f} AS f)"
         for p, a, b, f in WINDOWS
-    ])
+    ))
     brand = _brand_no("temperature")
     price = F.when(brand == ZERO_RATE_BRAND, F.lit(0.0)).otherwise(
         _money(F.col("base_price") * F.col("tier.f") * F.col("window.f")).cast("double")
@@ -136,17 +134,16 @@ def _billed_prices() -> Column:
 
     Worked out once per base price, so transactions only look their price up.
     """
-    kinds = [_decimal(f) for f in (*BILLED_FACTORS, "1.000", "1.000")]
     free = len(BILLED_FACTORS)  # the digit at which the zero-rate brand is billed nothing
     prices = []
     for _, _, factor in TIERS:
-        tier_price = _money(F.col("base_price") * _decimal(factor))
-        for digit, kind in enumerate(kinds):
-            price = _money(tier_price * kind).cast("double")
+        tier_price = f"CAST(base_price * {factor} AS DECIMAL(18,2))"
+        for digit, kind in enumerate((*BILLED_FACTORS, "1.000", "1.000")):
+            price = f"CAST(CAST({tier_price} * {kind} AS DECIMAL(18,2)) AS DOUBLE)"
             if digit == free:
-                price = F.when(_brand_no("temperature") == ZERO_RATE_BRAND, 0.0).otherwise(price)
+                price = f"IF(substring(temperature, 7) = '{ZERO_RATE_BRAND}', 0D, {price})"
             prices.append(price)
-    return F.array(*prices)
+    return F.expr(f"array({', '.join(prices)})")
 
 
 def billing(
