@@ -3,6 +3,16 @@
 from __future__ import annotations
 
 ORACLE: dict[str, str] = {
+    "op4_exact_dedup": r"""
+WITH texts AS (
+    SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS t
+    FROM documents
+)
+SELECT doc_id, min(doc_id) OVER (PARTITION BY t) AS keep_id,
+       count(*) OVER (PARTITION BY t) AS group_size,
+       doc_id = min(doc_id) OVER (PARTITION BY t) AS kept, sha256(t) AS text_sha256
+FROM texts
+""",
     "op6_ngram_jaccard": r"""
 WITH RECURSIVE words AS (
     SELECT doc_id, list_filter(

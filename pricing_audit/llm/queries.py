@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import jaccard
+from . import exact_stream, jaccard
 from .oracle import ORACLE as ORACLE
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -16,8 +16,15 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_stream.exact_duplicates(_table(spark, sf_dir, "documents"))
+
+
 def op6_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.near_duplicates(_table(spark, sf_dir, "documents"), k=3, percent=90)
 
 
-QUERIES: dict[str, Query] = {"op6_ngram_jaccard": op6_ngram_jaccard}
+QUERIES: dict[str, Query] = {
+    "op4_exact_dedup": op4_exact_dedup,
+    "op6_ngram_jaccard": op6_ngram_jaccard,
+}
