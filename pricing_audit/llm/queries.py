@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact_stream, jaccard
+from . import exact_stream, jaccard, packing, token_files
 from .oracle import ORACLE as ORACLE
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -16,6 +16,11 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op3_token_binary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    return token_files.token_table(docs, tokenizer="word_bpe_49k.json", end_id=1)
+
+
 def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_stream.exact_duplicates(_table(spark, sf_dir, "documents"))
 
@@ -24,7 +29,14 @@ def op6_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.near_duplicates(_table(spark, sf_dir, "documents"), k=3, percent=90)
 
 
+def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    return packing.pack_documents(docs, tokenizer="byte_bpe_50k.json", end_id=2, capacity=1024)
+
+
 QUERIES: dict[str, Query] = {
+    "op3_token_binary": op3_token_binary,
     "op4_exact_dedup": op4_exact_dedup,
     "op6_ngram_jaccard": op6_ngram_jaccard,
+    "op9_packing": op9_packing,
 }
