@@ -22,7 +22,7 @@ def open_write(name: str):
     folder, _, base = name.rpartition("/")
     system, path = open_folder(folder)
     system.create_dir(path, recursive=True)
-    return system.open_output_stream(f"{path}/{base}")
+    return system.open_output_stream(f"{path}/{base}", compression=None)
 
 
 def open_read(name: str):

@@ -48,5 +48,18 @@ WITH RECURSIVE words AS (
 )
 SELECT sized.doc_id, n AS n_shingles, least_id AS component_id
 FROM sized JOIN (SELECT a, min(b) AS least_id FROM reach GROUP BY a) ON sized.doc_id = a
+""",
+    "op10_warc": """
+WITH payloads AS (
+    SELECT page_id, coalesce(html, '') AS payload FROM pages
+), firsts AS (
+    SELECT *, CASE WHEN strlen(payload) >= 100 THEN min(page_id) OVER (PARTITION BY payload)
+        ELSE page_id END AS first_id
+    FROM payloads
+)
+SELECT page_id, strlen(payload) AS payload_bytes, sha256(payload) AS payload_digest,
+       CASE WHEN page_id = first_id THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> first_id THEN first_id END AS refers_to
+FROM firsts
 """,
 }

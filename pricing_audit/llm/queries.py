@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact_stream, jaccard, packing, token_files
+from . import exact_stream, jaccard, packing, token_files, warc
 from .oracle import ORACLE as ORACLE
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -34,9 +34,14 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(docs, tokenizer="byte_bpe_50k.json", end_id=2, capacity=1024)
 
 
+def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archive_table(_table(spark, sf_dir, "pages"))
+
+
 QUERIES: dict[str, Query] = {
     "op3_token_binary": op3_token_binary,
     "op4_exact_dedup": op4_exact_dedup,
     "op6_ngram_jaccard": op6_ngram_jaccard,
     "op9_packing": op9_packing,
+    "op10_warc": op10_warc,
 }
