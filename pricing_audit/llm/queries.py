@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact_stream, jaccard, packing, token_files, warc
+from . import exact_stream, jaccard, packing, secrets, token_files, warc
 from .oracle import ORACLE as ORACLE
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -16,6 +16,10 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.secret_table(_table(spark, sf_dir, "documents"))
+
+
 def op3_token_binary(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     return token_files.token_table(docs, tokenizer="word_bpe_49k.json", end_id=1)
@@ -39,6 +43,7 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_secret_scan": op1_secret_scan,
     "op3_token_binary": op3_token_binary,
     "op4_exact_dedup": op4_exact_dedup,
     "op6_ngram_jaccard": op6_ngram_jaccard,
