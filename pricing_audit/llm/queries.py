@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact_stream, jaccard, packing, quality, secrets, token_files, warc
+from . import exact_stream, jaccard, lm, packing, quality, secrets, token_files, warc
 from .oracle import ORACLE as ORACLE
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -37,6 +37,10 @@ def op6_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.near_duplicates(_table(spark, sf_dir, "documents"), k=3, percent=90)
 
 
+def op7_gru_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.score_documents(_table(spark, sf_dir, "documents"))
+
+
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     return packing.pack_documents(docs, tokenizer="byte_bpe_50k.json", end_id=2, capacity=1024)
@@ -52,6 +56,7 @@ QUERIES: dict[str, Query] = {
     "op3_token_binary": op3_token_binary,
     "op4_exact_dedup": op4_exact_dedup,
     "op6_ngram_jaccard": op6_ngram_jaccard,
+    "op7_gru_scores": op7_gru_scores,
     "op9_packing": op9_packing,
     "op10_warc": op10_warc,
 }
