@@ -12,6 +12,26 @@ SELECT doc_id, min(doc_id) OVER (PARTITION BY t) AS keep_id,
        count(*) OVER (PARTITION BY t) AS group_size,
        doc_id = min(doc_id) OVER (PARTITION BY t) AS kept, sha256(t) AS text_sha256
 FROM texts
+""",
+    "op5_embedding_neardup": """
+WITH RECURSIVE usable AS (
+    SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+    WHERE len(embedding) > 0
+      AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+      AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+), links AS (
+    SELECT a.vec_id AS a, b.vec_id AS b FROM usable a JOIN usable b
+    ON a.vec_id <> b.vec_id AND len(a.e) = len(b.e) AND list_cosine_similarity(a.e, b.e) >= 0.9
+), reach AS (
+    SELECT vec_id AS a, vec_id AS b FROM embeddings
+    UNION
+    SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a
+), least AS (
+    SELECT a, min(b) AS component_id FROM reach GROUP BY a
+)
+SELECT vec_id, (SELECT count(*) FROM links WHERE links.a = vec_id) AS n_links, component_id,
+       vec_id = component_id AS kept
+FROM embeddings JOIN least ON vec_id = least.a
 """,
     "op6_ngram_jaccard": r"""
 WITH RECURSIVE words AS (

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact_stream, jaccard, lm, packing, quality, secrets, token_files, warc
+from . import exact_stream, jaccard, lm, packing, quality, secrets, token_files, vectors, warc
 from .oracle import ORACLE as ORACLE
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -33,6 +33,10 @@ def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_stream.exact_duplicates(_table(spark, sf_dir, "documents"))
 
 
+def op5_embedding_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vectors.near_duplicates(_table(spark, sf_dir, "embeddings"), cosine=0.9)
+
+
 def op6_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.near_duplicates(_table(spark, sf_dir, "documents"), k=3, percent=90)
 
@@ -55,6 +59,7 @@ QUERIES: dict[str, Query] = {
     "op2_quality": op2_quality,
     "op3_token_binary": op3_token_binary,
     "op4_exact_dedup": op4_exact_dedup,
+    "op5_embedding_neardup": op5_embedding_neardup,
     "op6_ngram_jaccard": op6_ngram_jaccard,
     "op7_gru_scores": op7_gru_scores,
     "op9_packing": op9_packing,
