@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact_stream, jaccard, lm, packing, quality, secrets, token_files, vectors, warc
+from . import exact_stream, jaccard, lm, mixing, packing, quality, secrets, token_files, vectors, warc
 from .oracle import ORACLE as ORACLE
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -45,6 +45,10 @@ def op7_gru_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm.score_documents(_table(spark, sf_dir, "documents"))
 
 
+def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(_table(spark, sf_dir, "documents"))
+
+
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     return packing.pack_documents(docs, tokenizer="byte_bpe_50k.json", end_id=2, capacity=1024)
@@ -62,6 +66,7 @@ QUERIES: dict[str, Query] = {
     "op5_embedding_neardup": op5_embedding_neardup,
     "op6_ngram_jaccard": op6_ngram_jaccard,
     "op7_gru_scores": op7_gru_scores,
+    "op8_mixing": op8_mixing,
     "op9_packing": op9_packing,
     "op10_warc": op10_warc,
 }
