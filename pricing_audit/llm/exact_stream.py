@@ -67,6 +67,8 @@ def update_state(spark: SparkSession, fingerprints: str, state: str, per_batch:
         own.conf.set(key, spark.conf.get(key))
     own.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
     own.conf.set("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", "true")
+    # Many small stores: no log space reserved ahead.
+    own.conf.set("spark.sql.streaming.stateStore.rocksdb.allowFAllocate", "false")
     reader = own.readStream.schema(FINGERPRINT)
     if per_batch:
         reader = reader.option("maxFilesPerTrigger", per_batch)
