@@ -13,13 +13,14 @@ def round_half(col: Column, digits: int) -> Column:
     return F.round(col.try_cast("decimal(38,10)"), digits).cast("double")
 
 
-def exact_sum(col: Column, digits: int = 2) -> Column:
-    """Sum of already rounded doubles in decimal: independent of the order rows arrive in."""
-    return F.sum(col.cast(f"decimal(18,{digits})")).cast("double")
+def exact_sum(col: Column) -> Column:
+    """Sum in decimal with ten places, so it does not depend on the order rows arrive in and keeps
+    prices below a cent."""
+    return F.sum(col.cast("decimal(28,10)")).cast("double")
 
 
-def exact_avg(col: Column, digits: int = 2) -> Column:
-    return round_half(exact_sum(col, digits) / F.nullif(F.count(col), F.lit(0)), 6)
+def exact_avg(col: Column) -> Column:
+    return round_half(exact_sum(col) / F.nullif(F.count(col), F.lit(0)), 6)
 
 
 def safe_ratio(numerator: Column, denominator: Column) -> Column:

@@ -60,12 +60,33 @@ def _run_extractor(
         }
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        client = extractor()
-        for batch in batches:
+        client, broken = None, None
+        try:
+            client = extractor()
+        except Exception as failure:
+            broken = failure
+
+        def asked(texts: list) -> list:
+            found = list(client(texts))
+            if len(found) != len(texts):
+                raise ValueError(f"{len(found)} results for {len(texts)} pages")
+            return found
+
+        def one(page) -> object:
             try:
-                results = list(client(batch[text].tolist()))
+                return asked([page])[0]
             except Exception as failure:
-                results = [failure] * len(batch)
+                return failure
+
+        for batch in batches:
+            pages_of_batch = batch[text].tolist()
+            if broken is not None:
+                results = [broken] * len(pages_of_batch)
+            else:
+                try:
+                    results = asked(pages_of_batch)
+                except Exception:  # page by page, so that only the failing ones are lost
+                    results = [one(page) for page in pages_of_batch]
             values, errors = [], []
             for result in results:
                 try:

@@ -1,22 +1,18 @@
-"""Equality joins that stay safe when one side is large or one key is very frequent.
+"""Equality joins of a large left side with a lookup relation.
 
-``lookup_join`` has two exact ways. The right side is measured first; while it fits the broadcast
-budget it is broadcast and the left side is not shuffled at all. Beyond the budget both sides are
-shuffled, and keys holding more rows than a fair share of one partition are spread over several:
-their left rows get a salt, their right rows one copy per salt value.
+By default Spark chooses: adaptive execution broadcasts the right side when its shuffled size proves
+small, and otherwise splits skewed partitions of a left, inner or semi join. Nothing runs while the
+plan is built. A caller can name a broadcast limit, which is then checked by one aggregate.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..session import shuffle_partitions
-
 BROADCAST_BYTES = 64 * 1024 * 1024
 
 
@@ -55,8 +51,9 @@ def lookup_join(
 ) -> DataFrame:
     """Join on equally named ``keys``; ``how`` is left, inner, left_semi or left_anti.
 
-    ``condition`` may add range terms over columns whose names occur on one side only. ``small``
-    carries a size check the caller already made; otherwise the right side is measured here.
+    ``condition`` may add range terms over columns whose names occur on one side only. ``limit``
+    measures the right side and broadcasts it up to so many bytes; ``small`` carries a size check
+    the caller already made. Without either the choice is Spark's.
     """
     if how not in ("left", "inner", "left_semi", "left_anti"):
         raise ValueError(f"unsupported join type {how!r}")
@@ -64,15 +61,14 @@ def lookup_join(
     for k in keys:
         mine, theirs = left.schema[k].dataType, right.schema[k].dataType
         if mine != theirs:
-            # Hot keys are recognised by a hash that depends on the type.
+            # A silent cast could make keys equal that are not.
             raise TypeError(f"key {k} is {mine.simpleString()} and {theirs.simpleString()}")
-    if small is None:
+    if small is None and limit is not None:
         small = fits_broadcast(right, limit)
-    if small:
-        return _join(left, F.broadcast(_renamed(right, keys)), keys, how, condition)
-    left, right, salt = _salted(left, right, keys)
-    joined = _join(left, _renamed(right, keys + salt), keys + salt, how, condition)
-    return joined.drop(*salt)
+    right = _renamed(right, keys)
+    if small is not None:
+        right = F.broadcast(right) if small else right.hint("merge")
+    return _join(left, right, keys, how, condition)
 
 
 def _renamed(right: DataFrame, keys: list[str]) -> DataFrame:
@@ -87,55 +83,3 @@ def _join(
         on.append(condition)
     joined = left.join(right, on, how)
     return joined.drop(*[f"__right_{k}" for k in keys]) if how in ("left", "inner") else joined
-
-
-def hot_keys(left: DataFrame, keys: Sequence[str]) -> dict[int, int]:
-    """Key hash -> number of parts, for every key above a fair partition share.
-
-    The frequent-item pass needs no shuffle and returns at most 1/support candidates; the second
-    pass counts those candidates exactly. Only that bounded list reaches the driver.
-    """
-    parts = shuffle_partitions(left.sparkSession)
-    hashed = left.select(F.xxhash64(*keys).alias("h"))
-    support = min(max(1.0 / parts, 1e-4), 1.0)
-    candidates = hashed.freqItems(["h"], support).first()[0] or []
-    if not candidates:
-        return {}
-    bucket = F.when(F.col("h").isin(list(candidates)), F.col("h"))
-    counts = {r["h"]: r["count"] for r in hashed.groupBy(bucket.alias("h")).count().collect()}
-    fair = max(math.ceil(sum(counts.values()) / parts), 1)
-    return {h: math.ceil(n / fair) for h, n in counts.items() if h is not None and n > fair}
-
-
-def _salted(
-    left: DataFrame, right: DataFrame, keys: list[str]
-) -> tuple[DataFrame, DataFrame, list[str]]:
-    hot = hot_keys(left, keys)
-    if not hot:
-        return left, right, []
-    rows = [(h, n) for h, n in hot.items()]
-    # At most one row per partition share, so broadcasting this list is bounded by construction.
-    table = F.broadcast(
-        left.sparkSession.createDataFrame(rows, "__hot long, __parts int")
-    )
-    plain = [
-        f"`{f.name}`" for f in left.schema.fields
-        if not isinstance(f.dataType, (T.MapType, T.VariantType))
-    ]
-    # Partition id and row content decide the salt: stable when a task is retried, and copies of
-    # one row that sit in different input partitions still part ways.
-    spread = F.xxhash64(F.spark_partition_id(), *plain)
-    salted_left = (
-        left.withColumns({"__spread": spread, "__h": F.xxhash64(*keys)})
-        .join(table, F.col("__h") == F.col("__hot"), "left")
-        .withColumn("__salt", F.coalesce(F.pmod("__spread", "__parts"), F.lit(0)).cast("int"))
-        .drop("__spread", "__h", "__hot", "__parts")
-    )
-    copies = F.sequence(F.lit(0), F.coalesce(F.col("__parts"), F.lit(1)) - 1)
-    salted_right = (
-        right.withColumn("__h", F.xxhash64(*keys))
-        .join(table, F.col("__h") == F.col("__hot"), "left")
-        .withColumn("__salt", F.explode(copies))
-        .drop("__h", "__hot", "__parts")
-    )
-    return salted_left, salted_right, ["__salt"]

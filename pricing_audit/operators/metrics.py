@@ -188,13 +188,16 @@ def anomaly_breakdown(anomalies: DataFrame) -> DataFrame:
 
 
 def anomaly_pivot(anomalies: DataFrame) -> DataFrame:
-    """Chart feed: one row per customer, count and impact of each class side by side."""
+    """Chart feed: one row per customer, count and impact of each class side by side; rows without
+    a class (both prices zero) stand under ``unclassified``."""
+    classes = [*ANOMALY_CLASSES, "UNCLASSIFIED"]
     wide = (
-        anomalies.groupBy("customer_name")
-        .pivot("anomaly_type", list(ANOMALY_CLASSES))
+        anomalies.withColumn("anomaly_type", F.coalesce("anomaly_type", F.lit("UNCLASSIFIED")))
+        .groupBy("customer_name")
+        .pivot("anomaly_type", classes)
         .agg(F.count(F.lit(1)).alias("count"), exact_sum(F.col("revenue_impact")).alias("impact"))
     )
-    counts = {f"{c}_count": F.coalesce(F.col(f"{c}_count"), F.lit(0)) for c in ANOMALY_CLASSES}
+    counts = {f"{c}_count": F.coalesce(F.col(f"{c}_count"), F.lit(0)) for c in classes}
     lowered = reduce(
         lambda df, name: df.withColumnRenamed(name, name.lower()), wide.columns,
         wide.withColumns(counts),

@@ -14,7 +14,7 @@ def r2(expression: str, digits: int = 2) -> str:
 
 
 def total(column: str) -> str:
-    return f"CAST(SUM(CAST({column} AS DECIMAL(18,2))) AS DOUBLE)"
+    return f"CAST(SUM(CAST({column} AS DECIMAL(28,10))) AS DOUBLE)"
 
 
 def mean(column: str) -> str:
@@ -236,8 +236,7 @@ DOCUMENT_PAGES = page_rows(
 _LINK_SQL = LINK.replace("'", "''")
 
 _BM25_TOKENS = (
-    "list_filter(regexp_split_to_array(translate({text}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', "
-    "'abcdefghijklmnopqrstuvwxyz'), '[^a-z0-9]+'), lambda t: t <> '')"
+    r"list_transform(regexp_extract_all({text}, '[\p{{L}}\p{{N}}]+'), lambda t: lower(t))"
 )
 
 
@@ -258,19 +257,19 @@ postings AS (
 frequency AS (SELECT term, COUNT(*) AS df FROM postings GROUP BY term),
 scored AS (
   SELECT q.query_id, p.doc_id,
-         CAST(ROUND(SUM(CAST(
+         SUM(CAST(
            ln(1 + (s.n - f.df + 0.5::DOUBLE) / (f.df + 0.5::DOUBLE)) * p.tf * (1.2::DOUBLE + 1)
            / (p.tf + 1.2::DOUBLE * (1 - 0.75::DOUBLE + 0.75::DOUBLE * p.doc_len / s.avg_len))
-         AS DECIMAL(18,10))), 6) AS DOUBLE) AS score
+         AS DECIMAL(18,10))) AS total
   FROM postings p JOIN terms q ON p.term = q.term JOIN frequency f ON p.term = f.term, stats s
   WHERE {attribute_filter}
   GROUP BY q.query_id, p.doc_id
 ),
 ranked AS (
-  SELECT *, CAST(ROW_NUMBER() OVER (PARTITION BY query_id ORDER BY score DESC, doc_id) AS INT) AS rank
+  SELECT *, CAST(ROW_NUMBER() OVER (PARTITION BY query_id ORDER BY total DESC, doc_id) AS INT) AS rank
   FROM scored
 )
-SELECT query_id, doc_id, score, rank FROM ranked WHERE rank <= {k}"""
+SELECT query_id, doc_id, CAST(ROUND(total, 6) AS DOUBLE) AS score, rank FROM ranked WHERE rank <= {k}"""
 
 
 def _anomaly_query(select: str) -> str:
@@ -399,10 +398,10 @@ FROM anomalies WHERE erp_status = 'PRE_ERP' AND anomaly_type = 'OVERCHARGE'
 ORDER BY revenue_impact DESC""")
 
 _PIVOTED = ",\n       ".join(
-    f"COUNT(*) FILTER (anomaly_type = '{c}') AS {c.lower()}_count, "
-    f"CAST(SUM(CAST(revenue_impact AS DECIMAL(18,2))) FILTER (anomaly_type = '{c}') AS DOUBLE) "
-    f"AS {c.lower()}_impact"
-    for c in ("NO_CONTRACT_MATCH", "OVERCHARGE", "UNDERCHARGE", "WITHIN_TOLERANCE")
+    f"COUNT(*) FILTER (coalesce(anomaly_type, 'UNCLASSIFIED') = '{c}') AS {c.lower()}_count, "
+    f"CAST(SUM(CAST(revenue_impact AS DECIMAL(28,10))) "
+    f"FILTER (coalesce(anomaly_type, 'UNCLASSIFIED') = '{c}') AS DOUBLE) AS {c.lower()}_impact"
+    for c in ("NO_CONTRACT_MATCH", "OVERCHARGE", "UNDERCHARGE", "WITHIN_TOLERANCE", "UNCLASSIFIED")
 )
 ORACLE["anomaly_pivot"] = _anomaly_query(
     f"SELECT customer_name,\n       {_PIVOTED}\nFROM anomalies GROUP BY customer_name")
@@ -419,6 +418,14 @@ SELECT customer_name, temperature, COUNT(*) AS row_count, MAX(unit_price) AS max
        MIN(volume_tier_min) AS min_volume_tier_min, MAX(volume_tier_max) AS max_volume_tier_max
 FROM rate_card WHERE container_size = 'LARGE' GROUP BY customer_name, temperature"""
 
+ORACLE["metric_query_small_prices"] = f"""
+WITH priced AS (
+  SELECT p_brand AS temperature, CAST(CAST(p_retailprice / 1000 AS DECIMAL(18,4)) AS DOUBLE) AS unit_price
+  FROM part
+)
+SELECT temperature, COUNT(*) AS row_count, {mean('unit_price')} AS avg_unit_price FROM priced
+GROUP BY temperature"""
+
 ORACLE["filtered_prices"] = f"""
 WITH {EXTRACTED}
 SELECT customer_id, filename, temperature, sample_size, quantity_tier, region, price,
@@ -729,14 +736,14 @@ means AS (SELECT label, i, AVG(x) AS x FROM cells GROUP BY label, i),
 centers AS (SELECT label AS query_id, list(x ORDER BY i) AS center FROM means GROUP BY label),
 pairs AS (
   SELECT c.query_id, e.vec_id,
-         {r2('list_cosine_similarity(c.center, CAST(e.embedding AS DOUBLE[]))', 6)} AS similarity
+         list_cosine_similarity(c.center, CAST(e.embedding AS DOUBLE[])) AS similarity
   FROM centers c CROSS JOIN embeddings e
 ),
 ranked AS (
-  SELECT *, CAST(ROW_NUMBER() OVER (PARTITION BY query_id ORDER BY similarity DESC, vec_id) AS INT) AS rank
+  SELECT *, CAST(ROW_NUMBER() OVER (PARTITION BY query_id ORDER BY round(similarity, 12) DESC, vec_id) AS INT) AS rank
   FROM pairs
 )
-SELECT query_id, vec_id, similarity, rank FROM ranked WHERE rank <= 10"""
+SELECT query_id, vec_id, {r2('similarity', 6)} AS similarity, rank FROM ranked WHERE rank <= 10"""
 
 ORACLE["index_refresh_delta"] = f"""
 WITH before_docs AS (

@@ -179,6 +179,14 @@ def metric_query_rates(spark, sf):
     )
 
 
+@query
+def metric_query_small_prices(spark, sf):
+    """Averages of unit prices with four decimals."""
+    price = (F.col("p_retailprice") / 1000).cast("decimal(18,4)").cast("double")
+    rates = _part(spark, sf).select(F.col("p_brand").alias("temperature"), price.alias("unit_price"))
+    return metrics.metric_query(rates, metrics.RATE_VIEW, ["temperature"], ["unit_price"])
+
+
 @query
 def filtered_prices(spark, sf):
     rows = metrics.filtered(

@@ -10,7 +10,6 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.joins import lookup_join
 from ..session import scratch_path
 
 
@@ -74,13 +73,16 @@ def read_if_exists(spark: SparkSession, path: str) -> DataFrame | None:
 def append_rows(
     df: DataFrame, path: str, partition_by: Sequence[str] = (), dedupe: Sequence[str] = ()
 ) -> None:
-    """Add rows to a table; running twice adds them twice unless ``dedupe`` keys are given."""
+    """Add rows to a table; running twice adds them twice unless ``dedupe`` keys are given.
+    Null keys count as equal."""
     rows = df
     if dedupe:
         rows = df.dropDuplicates(list(dedupe))
         present = read_if_exists(df.sparkSession, path)
         if present is not None:
-            rows = lookup_join(rows, present.select(*dedupe), dedupe, "left_anti")
+            known = present.select(*[F.col(k).alias(f"__known_{k}") for k in dedupe])
+            same = [F.col(k).eqNullSafe(F.col(f"__known_{k}")) for k in dedupe]
+            rows = rows.join(known, same, "left_anti")
     writer = rows.write.mode("append")
     (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
 

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.anomaly import alerts, billing_anomalies
-from ..operators.joins import fits_broadcast, lookup_join
+from ..operators.joins import lookup_join
 from ..operators.pages import split_pages, uncached
 from ..operators.search import SearchIndex, build_index
 from ..sources.tables import read_if_exists
@@ -96,10 +96,9 @@ def load_streamed_index(spark: SparkSession, path: str) -> SearchIndex:
     docs = spark.read.parquet(f"{path}/docs")
     latest = docs.groupBy("doc_id").agg(F.max("batch_id").alias("batch_id"))
 
-    small = fits_broadcast(latest)
 
     def current(df: DataFrame) -> DataFrame:
-        kept = lookup_join(df, latest, ["doc_id", "batch_id"], "left_semi", small=small)
+        kept = lookup_join(df, latest, ["doc_id", "batch_id"], "left_semi")
         return kept.drop("batch_id")
 
     return SearchIndex(current(docs), current(spark.read.parquet(f"{path}/postings")))

@@ -199,7 +199,7 @@ def test_metric_layer(spark, flagged):
 
 def test_plans(spark):
     billing, rates = edge_tables(spark)
-    plan = anomaly.billing_anomalies(billing, rates)._jdf.queryExecution().toString()
+    plan = anomaly.billing_anomalies(billing, rates, limit=10**7)._jdf.queryExecution().toString()
     assert "BroadcastHashJoin" in plan and "CartesianProduct" not in plan
     assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan
     wide = anomaly.billing_anomalies(billing, rates, limit=0)._jdf.queryExecution().toString()
