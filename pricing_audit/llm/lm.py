@@ -274,9 +274,9 @@ def score_documents(docs: DataFrame) -> DataFrame:
                 own = ids[which]
                 tail = own >= gru.HEAD
                 logs = log_count[which]
-                base = np.bincount(owner, logs, len(run)) + end_log[0] - (lengths + 1) * words.log_all
+                base = np.bincount(owner, logs, len(run)).astype(float) + end_log[0] - (lengths + 1) * words.log_all
                 inside = np.where(tail, logs - words.log_tail[np.maximum(own - gru.HEAD, 0)], 0.0)
-                total = np.bincount(owner, inside, len(run))
+                total = np.bincount(owner, inside, len(run)).astype(float)
                 if end_id[0] >= gru.HEAD:
                     total += end_log[0] - words.log_tail[end_id[0] - gru.HEAD]
                 texts = [np.concatenate((d, end_id)) for d in np.split(own, np.cumsum(lengths)[:-1])]

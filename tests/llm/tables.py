@@ -1,3 +1,5 @@
+"""The documents table of the tests."""
+
 from __future__ import annotations
 
 import pytest
