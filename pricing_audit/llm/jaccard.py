@@ -3,7 +3,10 @@
 Two documents link when the Jaccard similarity of their distinct k-word shingles reaches a
 threshold given as a whole percentage. Documents with the same shingle set form one class, classes
 with the same size and prefix one group; groups meet through shared prefix shingles, pairs of groups
-are filtered by size and position, and only the survivors are expanded to members and verified.
+are filtered by size, position and a bitmap, and only the survivors are expanded to members and
+verified. The bitmap has a bit for each hash bucket of shingles that holds an odd number of the set's
+members; bits that differ between two sets each stand for a shingle that only one of them has, so
+their count limits what the sets can share and never rejects a pair that links.
 
 Links are looked for in two rounds, so that a large group of near copies never produces all its
 pairs. First every group meets one hub per shingle, which costs one pair per posting. Then only pairs
@@ -13,6 +16,7 @@ lost: a pair that is skipped has both ends in one component already.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -26,9 +30,10 @@ from .components import connected_components
 from .shingles import shingle_sets
 
 # Shingles are ranked by how full their bucket is; the table's size does not depend on the data.
-BUCKET_BITS = 18
-SLICES = 16
-PREFIX_SCHEMA = "doc_id long, n int, c binary, g long, prefix array<bigint>"
+BUCKET_BITS = 22
+SLICES = 64
+BITMAP_WORDS = 8
+PREFIX_SCHEMA = "doc_id long, n int, c binary, g long, bits array<bigint>, prefix array<bigint>"
 SET_SCHEMA = "c binary, members binary"
 
 
@@ -47,16 +52,25 @@ def _bucket(members: np.ndarray) -> np.ndarray:
     return (members >> np.uint64(64 - BUCKET_BITS)).astype(np.int64)
 
 
+def _bitmap(members: np.ndarray) -> np.ndarray:
+    """64 * BITMAP_WORDS parity bits of the set, as words."""
+    odd = np.bincount(
+        (mix64(members) % np.uint64(64 * BITMAP_WORDS)).astype(np.int64), minlength=64 * BITMAP_WORDS
+    ) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
 def bucket_counts(docs: DataFrame, k: int) -> np.ndarray:
     """Documents per shingle bucket, over all documents. Tasks send fixed-size partial tables,
-    which are added up slice by slice on the executors; one table of 2**18 counts comes back."""
+    which are added up slice by slice on the executors; one table of 2**22 counts comes back."""
+    size = 1 << BUCKET_BITS
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = np.zeros(1 << BUCKET_BITS, np.int64)
+        table = np.zeros(size, np.int32)
         for batch in batches:
             for members in shingle_sets(binary_column(batch, "text"), k):
                 np.add.at(table, _bucket(members), 1)
-        parts = [part.tobytes() for part in np.split(table, SLICES)]
+        parts = [zlib.compress(part.tobytes(), 1) for part in np.split(table, SLICES)]
         yield pa.RecordBatch.from_pydict(
             {"part": pa.array(range(SLICES), pa.int32()), "counts": pa.array(parts, pa.binary())}
         )
@@ -65,34 +79,36 @@ def bucket_counts(docs: DataFrame, k: int) -> np.ndarray:
         sums: dict[int, np.ndarray] = {}
         for batch in batches:
             for part, counts in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                values = np.frombuffer(counts, np.int64)
-                sums[part] = sums[part] + values if part in sums else values
+                values = np.frombuffer(zlib.decompress(counts), np.int32)
+                sums.setdefault(part, np.zeros(size // SLICES, np.int64))
+                sums[part] += values
+        full = [np.minimum(v, np.iinfo(np.int32).max).astype(np.int32) for v in sums.values()]
         yield pa.RecordBatch.from_pydict(
             {
                 "part": pa.array(list(sums), pa.int32()),
-                "counts": pa.array([v.tobytes() for v in sums.values()], pa.binary()),
+                "counts": pa.array([v.tobytes() for v in full], pa.binary()),
             }
         )
 
     schema = "part int, counts binary"
     partial = docs.select(whole_text().alias("text")).mapInArrow(count, schema)
     rows = partial.repartition(SLICES, "part").mapInArrow(add, schema).collect()
-    by_part = {row["part"]: np.frombuffer(row["counts"], np.int64) for row in rows}
-    empty = np.zeros((1 << BUCKET_BITS) // SLICES, np.int64)
+    by_part = {row["part"]: np.frombuffer(row["counts"], np.int32) for row in rows}
+    empty = np.zeros(size // SLICES, np.int32)
     return np.concatenate([by_part.get(i, empty) for i in range(SLICES)])
 
 
 def prefixes(docs: DataFrame, k: int, percent: int) -> DataFrame:
-    """Per document: set size, class key, group hash and the shingles of its prefix, rarest first.
-
-    Any fixed order of the shingles is right; this one keeps frequent passages out of prefixes.
+    """Per document: set size, class key, group hash (of size and prefix), bitmap, and the
+    shingles of its prefix, rarest first. Any fixed order of the shingles is right; this one keeps frequent passages out of
+    prefixes.
     """
     spark = docs.sparkSession
     table = spark.sparkContext.broadcast(bucket_counts(docs, k))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sizes, classes, groups, heads = [], [], [], []
+            sizes, classes, groups, heads, maps = [], [], [], [], []
             for members in shingle_sets(binary_column(batch, "text"), k):
                 n = len(members)
                 length = n - (percent * n + 99) // 100 + 1 if n else 0
@@ -107,18 +123,21 @@ def prefixes(docs: DataFrame, k: int, percent: int) -> DataFrame:
                 sizes.append(n)
                 classes.append(_class_key(members))
                 place = np.arange(1, length + 1, dtype=np.uint64)
-                groups.append(
-                    int(np.sum(mix64(head + mix64(place)), dtype=np.uint64).astype(np.int64))
-                )
+                mixed = np.sum(mix64(head + mix64(place)), dtype=np.uint64, keepdims=True)
+                groups.append(int(mix64(mixed + np.uint64(n)).view(np.int64)[0]))
+                maps.append(_bitmap(members))
                 heads.append(head.view(np.int64))
             at = np.cumsum([0, *map(len, heads)]).astype(np.int32)
             flat = np.concatenate(heads) if heads else np.zeros(0, np.int64)
+            words = np.concatenate(maps) if maps else np.zeros(0, np.int64)
+            each = np.arange(0, len(words) + 1, BITMAP_WORDS, dtype=np.int32)
             yield pa.RecordBatch.from_pydict(
                 {
                     "doc_id": batch.column(0),
                     "n": pa.array(sizes, pa.int32()),
                     "c": pa.array(classes, pa.binary()),
                     "g": pa.array(groups, pa.int64()),
+                    "bits": pa.ListArray.from_arrays(pa.array(each), pa.array(words)),
                     "prefix": pa.ListArray.from_arrays(pa.array(at), pa.array(flat)),
                 }
             )
@@ -177,13 +196,19 @@ def verified(
     return joined.mapInArrow(check, "u binary, v binary")
 
 
-def _near_enough(percent: int, n1: str, n2: str, p1: str, p2: str) -> str:
-    """Size filter, and the most shingles two sets can share when they first meet at p1 and p2."""
-    return (
-        f"100 * least({n1}, {n2}) >= {percent} * greatest({n1}, {n2})"
-        f" and (100 + {percent}) * (1 + least({n1} - {p1}, {n2} - {p2}) - 1)"
-        f" >= {percent} * ({n1} + {n2})"
-    )
+def _sizes_fit(percent: int) -> str:
+    return f"100 * least(n1, n2) >= {percent} * greatest(n1, n2)"
+
+
+def _places_fit(percent: int) -> str:
+    """What two sets can share when they first meet at the prefix places p1 and p2 is enough."""
+    return f"(100 + {percent}) * least(n1 - p1, n2 - p2) >= {percent} * (n1 + n2)"
+
+
+def _bitmaps_fit(percent: int) -> str:
+    """Shingles that only one set has leave enough to share; true where a bitmap is null."""
+    apart = " + ".join(f"bit_count(bits1[{i}] ^ bits2[{i}])" for i in range(BITMAP_WORDS))
+    return f"coalesce((100 + {percent}) * (n1 + n2 - ({apart})) >= {2 * percent} * (n1 + n2), true)"
 
 
 def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
@@ -199,64 +224,75 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
     cut = stage(prefixes(spread(docs), k, percent), "prefixes")
     full = cut.filter("n > 0")
     classes = stage(
-        full.groupBy("c", "n", "g").agg(F.min("doc_id").alias("doc_id")), "classes"
+        full.groupBy("c").agg(
+            F.first("g").alias("g"), F.first("n").alias("n"), F.first("bits").alias("bits"),
+            F.min("doc_id").alias("doc_id"),
+        ),
+        "classes",
     )
-    groups = full.groupBy("g", "n").agg(F.first("prefix").alias("prefix"))
-    postings = groups.select("g", "n", F.posexplode("prefix").alias("p", "s"))
+    groups = full.groupBy("g").agg(F.first("prefix").alias("prefix"))
+    postings = groups.select("g", F.posexplode("prefix").alias("p", "s"))
     hubs = (
-        postings.groupBy("s")
-        .agg(F.count("*").alias("lists"), F.min(F.struct("g", "n", "p")).alias("hub"))
+        postings.groupBy("s").agg(F.count("*").alias("lists"), F.min("g").alias("hub"))
         .filter("lists > 1").select("s", "hub")
     )
     shared = stage(postings.join(hubs, "s"), "postings")
 
+    def ends(table: DataFrame, nth: int, *names: str) -> DataFrame:
+        return table.select(*[F.col(x).alias(f"{x}{nth}") for x in names])
+
+    def candidates(pairs: DataFrame) -> DataFrame:
+        """Pairs of classes (a, b), once each, whose sizes and bitmaps fit."""
+        return (
+            pairs.filter(_sizes_fit(percent)).filter(_bitmaps_fit(percent))
+            .select(F.least("c1", "c2").alias("a"), F.greatest("c1", "c2").alias("b")).distinct()
+        )
+
     # Round 1: every group meets its hubs, every class the first class of its own group.
-    near_hub = _near_enough(percent, "n", "hub.n", "p", "hub.p")
-    first = classes.groupBy("g", "n").agg(F.min("c").alias("first"))
-    met = (
-        shared.filter(f"(g <> hub.g or n <> hub.n) and {near_hub}")
-        .select("g", "n", F.col("hub.g").alias("hg"), F.col("hub.n").alias("hn")).distinct()
+    first = classes.groupBy("g").agg(F.min_by(F.struct("c", "n", "bits"), "c").alias("x")).select(
+        F.col("g").alias("hub"), F.col("x.c").alias("c1"), F.col("x.n").alias("n1"),
+        F.col("x.bits").alias("bits1"),
     )
-    to_hub = (
-        met.join(first.select(F.col("g").alias("hg"), F.col("n").alias("hn"), "first"), ["hg", "hn"])
-        .join(classes.select("g", "n", "c"), ["g", "n"]).select("first", "c")
-    )
-    in_group = classes.join(first, ["g", "n"]).filter("c <> first").select("first", "c")
-    pairs = to_hub.unionByName(in_group).select(
-        F.least("first", "c").alias("a"), F.greatest("first", "c").alias("b")
-    ).distinct()
+    member = ends(classes, 2, "g", "c", "n", "bits")
+    met = shared.filter("g <> hub").select("g", "hub").distinct()
+    to_hub = met.join(first, "hub").join(member, F.col("g") == F.col("g2"))
+    in_group = member.join(first, F.col("g2") == F.col("hub")).filter("c1 <> c2")
+    wanted = ["c1", "n1", "bits1", "c2", "n2", "bits2"]
+    pairs = candidates(to_hub.select(*wanted).unionByName(in_group.select(*wanted)))
     links = stage(verified(docs, classes, pairs, k, percent), "links")
     labels = stage(connected_components(links), "labels")
 
     # Round 2: pairs whose ends are not yet connected.
     labelled = stage(
         classes.join(labels, F.col("c") == F.col("node"), "left")
-        .select("c", "g", "n", F.coalesce("label", "c").alias("label")),
+        .select("c", "g", "n", "bits", F.coalesce("label", "c").alias("label")),
         "labelled",
     )
-    spans = labelled.groupBy("g", "n").agg(F.min("label").alias("lo"), F.max("label").alias("hi"))
-    open_lists = shared.select("s", "g", "n", "p").join(spans, ["g", "n"])
-    mixed = open_lists.groupBy("s").agg(
-        F.min("lo").alias("least"), F.max("hi").alias("most")
-    ).filter("least <> most").select("s")
-    open_lists = stage(open_lists.join(mixed, "s", "left_semi"), "open")
-    left = open_lists.select("s", *[F.col(x).alias(f"{x}1") for x in ("g", "n", "p", "lo", "hi")])
-    right = open_lists.select("s", *[F.col(x).alias(f"{x}2") for x in ("g", "n", "p", "lo", "hi")])
-    near = _near_enough(percent, "n1", "n2", "p1", "p2")
-    group_pairs = (
-        left.join(right, "s")
-        .filter("struct(g1, n1) < struct(g2, n2) and not (lo1 = hi1 and lo1 = lo2 and lo2 = hi2)")
-        .filter(near).select("g1", "n1", "g2", "n2").distinct()
+    about = labelled.groupBy("g").agg(
+        F.first("n").alias("n"), F.min("label").alias("lo"), F.max("label").alias("hi"),
+        F.when(F.min("c") == F.max("c"), F.first("bits")).alias("bits"),  # of the only class
+    )
+    listed = shared.select("s", "g", "p").join(about, "g")
+    mixed = (
+        listed.groupBy("s").agg(F.min("lo").alias("least"), F.max("hi").alias("most"))
+        .filter("least <> most").select("s")
+    )
+    listed = stage(listed.join(mixed, "s", "left_semi"), "open")
+    fields = ("g", "n", "p", "lo", "hi", "bits")
+    one, two = listed.select("s", *[F.col(x).alias(f"{x}1") for x in fields]), listed.select(
+        "s", *[F.col(x).alias(f"{x}2") for x in fields]
+    )
+    meet = (
+        (F.col("g1") < F.col("g2")) & F.expr("not (lo1 = hi1 and lo1 = lo2 and lo2 = hi2)")
+        & F.expr(_sizes_fit(percent)) & F.expr(_places_fit(percent)) & F.expr(_bitmaps_fit(percent))
     )
-    one = labelled.select(*[F.col(x).alias(f"{x}1") for x in ("g", "n", "c", "label")])
-    two = labelled.select(*[F.col(x).alias(f"{x}2") for x in ("g", "n", "c", "label")])
-    across = group_pairs.join(one, ["g1", "n1"]).join(two, ["g2", "n2"])
-    inside = one.join(two, (F.col("g1") == F.col("g2")) & (F.col("n1") == F.col("n2")))
-    pairs = (
-        across.select("c1", "c2", "label1", "label2")
-        .unionByName(inside.filter("c1 < c2").select("c1", "c2", "label1", "label2"))
-        .filter("label1 <> label2")
-        .select(F.least("c1", "c2").alias("a"), F.greatest("c1", "c2").alias("b")).distinct()
+    group_pairs = one.join(two, "s").filter(meet).select("g1", "g2").distinct()
+    one, two = (ends(labelled, i, "g", "c", "n", "bits", "label") for i in (1, 2))
+    across = group_pairs.join(one, "g1").join(two, "g2")
+    inside = one.join(two, F.col("g1") == F.col("g2")).filter("c1 < c2")
+    wanted = [*wanted, "label1", "label2"]
+    pairs = candidates(
+        across.select(*wanted).unionByName(inside.select(*wanted)).filter("label1 <> label2")
     )
     more = stage(verified(docs, classes, pairs, k, percent), "links")
     contracted = (
