@@ -32,8 +32,11 @@ from .shingles import shingle_sets
 # Shingles are ranked by how full their bucket is; the table's size does not depend on the data.
 BUCKET_BITS = 22
 SLICES = 64
-BITMAP_WORDS = 8
-PREFIX_SCHEMA = "doc_id long, n int, c binary, g long, bits array<bigint>, prefix array<bigint>"
+BITMAP_WORDS, FOLDED_WORDS = 8, 4
+WIDE_WORDS, WIDE_FROM = 64, 1000  # larger sets fill a small bitmap and have a wide one as well
+PREFIX_SCHEMA = (
+    "doc_id long, n int, c binary, g long, bits array<bigint>, wide array<bigint>, prefix array<bigint>"
+)
 SET_SCHEMA = "c binary, members binary"
 
 
@@ -52,11 +55,9 @@ def _bucket(members: np.ndarray) -> np.ndarray:
     return (members >> np.uint64(64 - BUCKET_BITS)).astype(np.int64)
 
 
-def _bitmap(members: np.ndarray) -> np.ndarray:
-    """64 * BITMAP_WORDS parity bits of the set, as words."""
-    odd = np.bincount(
-        (mix64(members) % np.uint64(64 * BITMAP_WORDS)).astype(np.int64), minlength=64 * BITMAP_WORDS
-    ) & 1
+def _bitmap(members: np.ndarray, words: int) -> np.ndarray:
+    """64 * words parity bits of the set, as words."""
+    odd = np.bincount((mix64(members) % np.uint64(64 * words)).astype(np.int64), minlength=64 * words) & 1
     return np.packbits(odd.astype(np.uint8)).view(np.int64)
 
 
@@ -108,7 +109,7 @@ def prefixes(docs: DataFrame, k: int, percent: int) -> DataFrame:
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sizes, classes, groups, heads, maps = [], [], [], [], []
+            sizes, classes, groups, heads, maps, wide = [], [], [], [], [], []
             for members in shingle_sets(binary_column(batch, "text"), k):
                 n = len(members)
                 length = n - (percent * n + 99) // 100 + 1 if n else 0
@@ -125,7 +126,8 @@ def prefixes(docs: DataFrame, k: int, percent: int) -> DataFrame:
                 place = np.arange(1, length + 1, dtype=np.uint64)
                 mixed = np.sum(mix64(head + mix64(place)), dtype=np.uint64, keepdims=True)
                 groups.append(int(mix64(mixed + np.uint64(n)).view(np.int64)[0]))
-                maps.append(_bitmap(members))
+                maps.append(_bitmap(members, BITMAP_WORDS))
+                wide.append(_bitmap(members, WIDE_WORDS) if n >= WIDE_FROM else None)
                 heads.append(head.view(np.int64))
             at = np.cumsum([0, *map(len, heads)]).astype(np.int32)
             flat = np.concatenate(heads) if heads else np.zeros(0, np.int64)
@@ -138,6 +140,7 @@ def prefixes(docs: DataFrame, k: int, percent: int) -> DataFrame:
                     "c": pa.array(classes, pa.binary()),
                     "g": pa.array(groups, pa.int64()),
                     "bits": pa.ListArray.from_arrays(pa.array(each), pa.array(words)),
+                    "wide": pa.array(wide, pa.list_(pa.int64())),
                     "prefix": pa.ListArray.from_arrays(pa.array(at), pa.array(flat)),
                 }
             )
@@ -205,12 +208,21 @@ def _places_fit(percent: int) -> str:
     return f"(100 + {percent}) * least(n1 - p1, n2 - p2) >= {percent} * (n1 + n2)"
 
 
-def _bitmaps_fit(percent: int) -> str:
-    """Shingles that only one set has leave enough to share; true where a bitmap is null."""
-    apart = " + ".join(f"bit_count(bits1[{i}] ^ bits2[{i}])" for i in range(BITMAP_WORDS))
+def _apart_fits(percent: int, apart: str) -> str:
+    """Shingles that only one set has leave enough to share; true where a bitmap is missing."""
     return f"coalesce((100 + {percent}) * (n1 + n2 - ({apart})) >= {2 * percent} * (n1 + n2), true)"
 
 
+def _bitmaps_fit(percent: int) -> str:
+    small = " + ".join(f"bit_count(bits1[{i}] ^ bits2[{i}])" for i in range(BITMAP_WORDS))
+    wide = "aggregate(zip_with(wide1, wide2, (x, y) -> bit_count(x ^ y)), 0, (a, x) -> a + x)"
+    return f"{_apart_fits(percent, small)} and {_apart_fits(percent, wide)}"
+
+
+def _folded_fit(percent: int) -> str:
+    return _apart_fits(percent, " + ".join(f"bit_count(f{i}1 ^ f{i}2)" for i in range(FOLDED_WORDS)))
+
+
 def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
     """One row per document: doc_id, n_shingles (long), component_id (smallest linked doc_id).
 
@@ -226,7 +238,7 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
     classes = stage(
         full.groupBy("c").agg(
             F.first("g").alias("g"), F.first("n").alias("n"), F.first("bits").alias("bits"),
-            F.min("doc_id").alias("doc_id"),
+            F.first("wide").alias("wide"), F.min("doc_id").alias("doc_id"),
         ),
         "classes",
     )
@@ -249,15 +261,21 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
         )
 
     # Round 1: every group meets its hubs, every class the first class of its own group.
-    first = classes.groupBy("g").agg(F.min_by(F.struct("c", "n", "bits"), "c").alias("x")).select(
-        F.col("g").alias("hub"), F.col("x.c").alias("c1"), F.col("x.n").alias("n1"),
-        F.col("x.bits").alias("bits1"),
+    about = ("c", "n", "bits", "wide")
+    first = classes.groupBy("g").agg(F.min_by(F.struct(*about), "c").alias("x")).select(
+        F.col("g").alias("hub"), *[F.col(f"x.{x}").alias(f"{x}1") for x in about]
+    )
+    member = ends(classes, 2, "g", *about)
+    sizes = classes.groupBy("g").agg(F.first("n").alias("n"))
+    met = (
+        shared.filter("g <> hub").select("g", "hub").distinct()
+        .join(sizes.withColumnRenamed("n", "n2"), "g")
+        .join(sizes.select(F.col("g").alias("hub"), F.col("n").alias("n1")), "hub")
+        .filter(_sizes_fit(percent)).select("g", "hub")
     )
-    member = ends(classes, 2, "g", "c", "n", "bits")
-    met = shared.filter("g <> hub").select("g", "hub").distinct()
     to_hub = met.join(first, "hub").join(member, F.col("g") == F.col("g2"))
     in_group = member.join(first, F.col("g2") == F.col("hub")).filter("c1 <> c2")
-    wanted = ["c1", "n1", "bits1", "c2", "n2", "bits2"]
+    wanted = [f"{x}{i}" for x in about for i in (1, 2)]
     pairs = candidates(to_hub.select(*wanted).unionByName(in_group.select(*wanted)))
     links = stage(verified(docs, classes, pairs, k, percent), "links")
     labels = stage(connected_components(links), "labels")
@@ -265,29 +283,31 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
     # Round 2: pairs whose ends are not yet connected.
     labelled = stage(
         classes.join(labels, F.col("c") == F.col("node"), "left")
-        .select("c", "g", "n", "bits", F.coalesce("label", "c").alias("label")),
+        .select("c", "g", "n", "bits", "wide", F.coalesce("label", "c").alias("label")),
         "labelled",
     )
-    about = labelled.groupBy("g").agg(
-        F.first("n").alias("n"), F.min("label").alias("lo"), F.max("label").alias("hi"),
-        F.when(F.min("c") == F.max("c"), F.first("bits")).alias("bits"),  # of the only class
+    number = F.xxhash64("label")
+    only = F.when(F.min("c") == F.max("c"), F.first("bits"))  # a bitmap speaks for one class
+    spans = labelled.groupBy("g").agg(
+        F.first("n").alias("n"), F.min(number).alias("lo"), F.max(number).alias("hi"), only.alias("bits")
+    ).select(
+        "g", "n", "lo", "hi",
+        *[(F.col("bits")[i].bitwiseXOR(F.col("bits")[i + FOLDED_WORDS])).alias(f"f{i}") for i in range(FOLDED_WORDS)],
     )
-    listed = shared.select("s", "g", "p").join(about, "g")
+    listed = shared.select("s", "g", "p").join(spans, "g")
     mixed = (
         listed.groupBy("s").agg(F.min("lo").alias("least"), F.max("hi").alias("most"))
         .filter("least <> most").select("s")
     )
     listed = stage(listed.join(mixed, "s", "left_semi"), "open")
-    fields = ("g", "n", "p", "lo", "hi", "bits")
-    one, two = listed.select("s", *[F.col(x).alias(f"{x}1") for x in fields]), listed.select(
-        "s", *[F.col(x).alias(f"{x}2") for x in fields]
-    )
+    fields = [x for x in listed.columns if x != "s"]
+    one, two = (listed.select("s", *[F.col(x).alias(f"{x}{i}") for x in fields]) for i in (1, 2))
     meet = (
         (F.col("g1") < F.col("g2")) & F.expr("not (lo1 = hi1 and lo1 = lo2 and lo2 = hi2)")
-        & F.expr(_sizes_fit(percent)) & F.expr(_places_fit(percent)) & F.expr(_bitmaps_fit(percent))
+        & F.expr(_sizes_fit(percent)) & F.expr(_places_fit(percent)) & F.expr(_folded_fit(percent))
     )
     group_pairs = one.join(two, "s").filter(meet).select("g1", "g2").distinct()
-    one, two = (ends(labelled, i, "g", "c", "n", "bits", "label") for i in (1, 2))
+    one, two = (ends(labelled, i, "g", *about, "label") for i in (1, 2))
     across = group_pairs.join(one, "g1").join(two, "g2")
     inside = one.join(two, F.col("g1") == F.col("g2")).filter("c1 < c2")
     wanted = [*wanted, "label1", "label2"]
