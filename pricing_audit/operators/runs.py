@@ -7,6 +7,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..sources.tables import stage
 from .joins import lookup_join
@@ -22,7 +23,9 @@ def replace_keys(
     """Replace all rows of the affected keys in one write; safe to run again.
 
     ``affected`` lists the keys this run processed. A key that produced no rows gets a single mark
-    row in its partition, which replaces what was there; ``read_current`` hides the marks. The rows
+    row in its partition, which replaces what was there; ``read_current`` hides the marks. Rows of a
+    key outside ``affected`` would replace results this run knows nothing of, so they are refused
+    before anything is written. The rows
     are staged first, so an expensive extraction behind them runs once; ``staged`` says they already
     come from such a place. They are rebalanced by key before writing, which also splits a key too
     large for one task.
@@ -30,10 +33,14 @@ def replace_keys(
     keys = list(keys)
     if not staged:
         df = stage(df, "replace")
+    affected = affected.select(*keys).distinct()
+    stray = lookup_join(df.select(*keys), affected, keys, "left_anti").limit(1).collect()
+    if stray:
+        raise ValueError(f"rows of a key that is not affected: {stray[0].asDict()}")
     payload = [F.lit(None).cast(f.dataType).alias(f.name)
                for f in df.schema.fields if f.name not in keys]
     vacant = lookup_join(
-        affected.select(*keys).distinct(), df.select(*keys).distinct(), keys, "left_anti"
+        affected, df.select(*keys).distinct(), keys, "left_anti"
     )
     marks = vacant.select(*keys, *payload, F.lit(True).alias(_EMPTY))
     rows = df.withColumn(_EMPTY, F.lit(False)).unionByName(marks)
@@ -46,8 +53,14 @@ def replace_keys(
     )
 
 
-def read_current(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path).filter(~F.col(_EMPTY)).drop(_EMPTY)
+def read_current(
+    spark: SparkSession, path: str, keys: Sequence[str] = (*RESULT_KEYS, "filename")
+) -> DataFrame:
+    """The stored rows without marks. ``keys`` are text, also where they name folders whose values
+    look like numbers or dates."""
+    found = spark.read.parquet(path).schema
+    text = [T.StructField(f.name, T.StringType() if f.name in keys else f.dataType) for f in found.fields]
+    return spark.read.schema(T.StructType(text)).parquet(path).filter(~F.col(_EMPTY)).drop(_EMPTY)
 
 
 def contract_status(run_log: DataFrame) -> DataFrame:
@@ -89,11 +102,6 @@ def run_report(pages: DataFrame, prices: DataFrame, fees: DataFrame) -> DataFram
     )
 
 
-def has_rows(df: DataFrame) -> bool:
-    """Control-flow guard; stops at the first row found."""
-    return not df.isEmpty()
-
-
 def run_methods(
     pages: DataFrame, methods: Mapping[str, Callable[[DataFrame], DataFrame]]
 ) -> DataFrame:

@@ -66,14 +66,20 @@ def parse_documents(
     spark: SparkSession, docs: DataFrame, store: Store, lines_per_page: int = 5
 ) -> DataFrame:
     """Split documents not yet in the page cache, add them to it, and return the pages of all
-    given documents (filename, customer_id, text)."""
+    given documents (filename, customer_id, text).
+
+    A file is parsed once however many customers share it (of several texts under one name the
+    smallest by customer, then text); its pages are returned for each customer that names it.
+    """
     cache = read_if_exists(spark, store.pages)
-    fresh = docs.dropDuplicates(["filename"])
+    first = F.min(F.struct("customer_id", "text")).alias("first")
+    fresh = docs.groupBy("filename").agg(first).select("filename", "first.*")
     if cache is not None:
         fresh = pages.uncached(fresh, cache)
     append_rows(pages.split_pages(fresh, lines_per_page), store.pages)
-    names = docs.select("filename").distinct()
-    return lookup_join(spark.read.parquet(store.pages), names, ["filename"], "left_semi")
+    owners = docs.select("filename", "customer_id").distinct()
+    cached = spark.read.parquet(store.pages).drop("customer_id")
+    return lookup_join(cached, owners, ["filename"], "inner")
 
 
 def _extracted_rows(
@@ -94,6 +100,17 @@ def _extracted_rows(
     return rows, extract.rejected(done).select(*keep, "page_index", "error")
 
 
+def _kept_rows(
+    spark: SparkSession, path: str, errors: DataFrame, affected: DataFrame, keys: tuple[str, ...]
+) -> DataFrame | None:
+    """Earlier rows of the documents with failed pages, as far as this run would replace them."""
+    if errors.isEmpty() or read_if_exists(spark, path) is None:
+        return None
+    failed = errors.select("filename", "customer_id").distinct()
+    rows = lookup_join(runs.read_current(spark, path), failed, ["filename", "customer_id"], "left_semi")
+    return lookup_join(rows, affected, list(keys), "left_semi")
+
+
 def extract_contracts(
     spark: SparkSession, docs: DataFrame, store: Store, method: Method, run_id: int,
     lines_per_page: int = 5, by_file: bool = False,
@@ -101,8 +118,9 @@ def extract_contracts(
     """Run one method over ``docs`` and replace its earlier results for the same customers, or with
     ``by_file`` only those of the same documents.
 
-    Pages an extractor fails on are logged as FAILED with their reason; the other pages count.
-    Returns the run report.
+    Pages an extractor fails on are logged as FAILED with their reason. A failed document keeps the
+    rows an earlier run stored for it; without earlier rows its other pages count. Returns the run
+    report.
     """
     method.check()
     page_rows = parse_documents(spark, docs, store, lines_per_page)
@@ -117,8 +135,17 @@ def extract_contracts(
     tag = normalize.method_tag(method.kind, method.model)
     keys = ("customer_id", "filename", "extraction_method") if by_file else runs.RESULT_KEYS
     affected = docs.withColumn("extraction_method", tag).select(*keys).distinct()
-    for rows, path in ((prices, store.prices), (fees, store.fees)):
+    for rows, errors, path in (
+        (prices, price_errors, store.prices), (fees, fee_errors, store.fees)
+    ):
         stamped = rows.withColumn("extracted_at", F.current_timestamp())
+        kept = _kept_rows(spark, path, errors, affected, keys)
+        if kept is not None:
+            own = ["filename", "customer_id"]
+            stamped = stage(
+                lookup_join(stamped, kept.select(*own).distinct(), own, "left_anti")
+                .unionByName(kept.select(*stamped.columns)), "kept",
+            )
         runs.replace_keys(stamped, path, affected, keys, staged=True)
 
     failed = price_errors.unionByName(fee_errors).groupBy("filename").agg(

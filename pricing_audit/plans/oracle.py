@@ -846,4 +846,28 @@ UNION ALL
 SELECT 'fee', filename, p_type, p_name, NULL, 'USD', CAST(amount AS VARCHAR), 'AI_PARSE+AI_EXTRACT'
 FROM priced"""
 
+_LINES_OF = """
+  SELECT 'price' AS kind, filename, {customer} AS customer_id, p_brand AS name,
+       CASE WHEN p_size > 40 THEN 'Griesheim' WHEN p_size > 30 THEN 'Singapore'
+            ELSE 'North America' END AS region,
+       CASE WHEN p_size > 40 THEN 'EUR' WHEN p_size > 30 THEN 'SGD' ELSE 'USD' END AS currency,
+       CASE WHEN p_size > 40 AND p_size <= 45
+            THEN CAST(CAST(amount * 0.90 AS DECIMAL(18,2)) AS VARCHAR)
+            ELSE CAST(amount AS VARCHAR) END AS price,
+       'AI_PARSE+AI_EXTRACT' AS extraction_method
+  FROM priced WHERE {chosen}
+  UNION ALL
+  SELECT 'fee', filename, {customer}, p_name, NULL, 'USD', CAST(amount AS VARCHAR),
+       'AI_PARSE+AI_EXTRACT'
+  FROM priced WHERE {chosen}"""
+
+ORACLE["two_contract_runs"] = f"""
+WITH priced AS (
+  SELECT *, concat('contract ', p_partkey, '.pdf') AS filename,
+         CAST(p_retailprice AS DECIMAL(18,2)) AS amount FROM part
+)
+{_LINES_OF.format(customer="concat('0000', p_partkey % 10)", chosen="TRUE")}
+UNION ALL
+{_LINES_OF.format(customer="'00042'", chosen="p_partkey % 10 = 3 AND p_partkey % 4 = 3")}"""
+
 ORACLE = {name: re.sub(r"\n\s*\n", "\n", sql).strip() for name, sql in ORACLE.items()}

@@ -651,9 +651,8 @@ def run_both_methods(spark, sf):
     )
 
 
-@query
-def extract_contracts(spark, sf):
-    """Contract texts through the whole flow: pages, cache, both result tables, run log."""
+def _contract_method():
+    """Rules for the lines of the contract texts."""
     line = r"(?m)^([^|\n]+)\|([^|\n]+)\|([^|\n]+)\|([^|\n]+)\|([^|\n]*)\|([^|\n]*)$"
     fee = r"(?m)^([^|\n]+)\|([^|\n]+)\|([^|\n]+)$"
 
@@ -665,15 +664,52 @@ def extract_contracts(spark, sf):
             return F.transform(found, lambda x: F.when(x != "", x))
         return {f: column(f) for f in fields}
 
-    method = contracts.Method("A", price_rules=rules(line, extract.PRICE_FIELDS, {
+    return contracts.Method("A", price_rules=rules(line, extract.PRICE_FIELDS, {
         "temperature": 1, "sample_size_label": 2, "qty_tier_label": 3, "price_usd": 4,
         "region": 5, "price_eur": 6,
     }), fee_rules=rules(fee, extract.FEE_FIELDS, {
         "fee_category": 1, "fee_name": 2, "price_usd": 3,
     }))
+
+
+@query
+def extract_contracts(spark, sf):
+    """Contract texts through the whole flow: pages, cache, both result tables, run log."""
+    method = _contract_method()
     store = contracts.Store(scratch_path(spark, "contracts"))
     docs = testdata.contract_documents(_part(spark, sf))
     contracts.extract_contracts(spark, docs, store, method, run_id=1)
+    return _stored_lines(spark, store)
+
+
+@query
+def two_contract_runs(spark, sf):
+    """Customer numbers with leading zeros. The first run covers all documents; in the second, one
+    customer names half of another's files and a third customer's pages fail."""
+    part = _part(spark, sf)
+    number = F.lpad((F.col("p_partkey") % 10).cast("string"), 5, "0").alias("number")
+    docs = testdata.contract_documents(part).drop("customer_id").join(
+        part.select(F.concat(F.lit("contract "), F.col("p_partkey"), F.lit(".pdf")).alias("filename"),
+                    number, (F.col("p_partkey") % 4 == 3).alias("shared")), "filename")
+    store = contracts.Store(scratch_path(spark, "contract-runs"))
+    first = docs.select("filename", F.col("number").alias("customer_id"), "text")
+    contracts.extract_contracts(spark, first, store, _contract_method(), run_id=1)
+    again = docs.filter("number = '00003' and shared").select(
+        "filename", F.lit("00042").alias("customer_id"), "text")
+    contracts.extract_contracts(spark, again, store, _contract_method(), run_id=2)
+    failing = contracts.Method(
+        "A", price_extractor=_no_service, fee_extractor=_no_service)
+    lost = first.filter("customer_id = '00007'")
+    contracts.extract_contracts(spark, lost, store, failing, run_id=3)
+    return _stored_lines(spark, store)
+
+
+def _no_service():
+    """An extractor whose service can't be reached."""
+    raise ConnectionError("service not reachable")
+
+
+def _stored_lines(spark, store):
     prices = runs.read_current(spark, store.prices).select(
         F.lit("price").alias("kind"), "filename", "customer_id", F.col("temperature").alias("name"),
         "region", "currency", "price", "extraction_method")

@@ -64,7 +64,7 @@ def test_documents_to_tables(spark, docs, method):
         ("a.pdf", "EXTRACTED", 2), ("b.pdf", "EXTRACTED", 2)]
 
 
-def test_failed_pages_are_logged_and_rows_cleared(spark, docs):
+def test_failed_pages_are_logged_and_rows_kept(spark, docs):
     store = Store(scratch_path(spark, "test-contracts"))
     good = Method("A", price_rules=price_rules(), fee_rules=fee_rules())
     extract_contracts(spark, docs, store, good, 1)
@@ -74,13 +74,35 @@ def test_failed_pages_are_logged_and_rows_cleared(spark, docs):
 
     bad = Method("A", fee_rules=fee_rules(), price_extractor=broken)
     extract_contracts(spark, docs, store, bad, 2)
-    assert prices(spark, store) == []
+    assert prices(spark, store) == WANT
     assert runs.read_current(spark, store.fees).count() == 1
     last = spark.read.parquet(store.log).filter("run_id = 2").collect()
     assert {r.contract_id: (r.status, r.error) for r in last} == {
         "a.pdf": ("FAILED", "RuntimeError: no answer"), "b.pdf": ("EXTRACTED", None)}
 
 
+def test_numbers_as_customers_and_a_shared_file(spark):
+    """Ids keep their zeros; a second customer's run over a shared file leaves the first's rows."""
+    store = Store(scratch_path(spark, "test-contracts"))
+    method = Method("A", price_rules=price_rules(), fee_rules=fee_rules())
+    text = "Storage table\nRT|1mL|1-10|7.00|Singapore|"
+    for run, rows in enumerate((
+        [("a.pdf", "00123", text), ("b.pdf", "00123", text.replace("7.00", "8.00"))],
+        [("a.pdf", "2024-01-01", text)],
+        [("a.pdf", "00123", text), ("b.pdf", "00123", text.replace("7.00", "8.00"))],
+    )):
+        extract_contracts(spark, spark.createDataFrame(rows, SCHEMA), store, method, run)
+        expected = [("00123", "RT", "SGD", "7.00"), ("00123", "RT", "SGD", "8.00")]
+        expected += [("2024-01-01", "RT", "SGD", "7.00")] if run else []
+        assert prices(spark, store) == sorted(expected)
+
+
+def test_rows_of_other_keys_are_refused(spark):
+    rows = spark.createDataFrame([("a", "A", "f", "1")], "customer_id string, extraction_method string, filename string, price string")
+    with pytest.raises(ValueError, match="not affected"):
+        runs.replace_keys(rows, scratch_path(spark, "stray"), rows.withColumn("customer_id", rows.price))
+
+
 def test_replacing_by_file_keeps_other_documents(spark, docs):
     method = Method("A", price_rules=price_rules(), fee_rules=fee_rules())
     more = spark.createDataFrame(
