@@ -23,6 +23,9 @@ PRICE_FIELDS = (
 FEE_FIELDS = (
     "fee_category", "fee_name", "price_usd", "price_eur", "price_sgd", "unit", "description",
 )
+RATE_LINE_FIELDS = (
+    "temperature", "container_size", "tier_label", "volume_tier_min", "volume_tier_max", "unit_price",
+)
 RATE_FIELDS = ("temperature", "container_size", "volume_tier_min", "volume_tier_max", "unit_price")
 
 # A factory opens the client and returns a function from page texts to one result per text. A

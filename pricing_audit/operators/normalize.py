@@ -12,6 +12,7 @@ from ..functions.domain import (
     region_or_default,
     regional_price,
 )
+from ..functions.labels import label_bounds
 from ..functions.numbers import text_to_date, text_to_double, text_to_whole
 
 # Method tags and row type.
@@ -79,10 +80,32 @@ def normalize_fees(
     )
 
 
+def bounds_from_labels(rows: DataFrame, label: str = "tier_label") -> DataFrame:
+    """Fill missing tier bounds from the tier's label."""
+    low, high = label_bounds(F.col(label))
+    return rows.withColumns({
+        "volume_tier_min": F.coalesce("volume_tier_min", low.cast("bigint").cast("string")),
+        "volume_tier_max": F.coalesce("volume_tier_max", high.cast("bigint").cast("string")),
+    })
+
+
+def rate_rejects(rates: DataFrame) -> DataFrame:
+    """Rate-card rows that can't be used, with the first column that has no value as the reason."""
+    needed = (
+        "temperature", "container_size", "volume_tier_min", "volume_tier_max", "unit_price",
+        "effective_date", "expiry_date",
+    )
+    reason = F.coalesce(*[F.when(F.col(c).isNull(), c) for c in needed])
+    return rates.withColumn("reason", reason).filter("reason is not null")
+
+
 def normalize_rates(
-    rows: DataFrame, service_type: str = "Biorepository Storage"
+    rows: DataFrame, service_type: str | Column = "Biorepository Storage"
 ) -> DataFrame:
-    """Rows of the simple extraction variant to rate-card rows, dates from text."""
+    """Rows of the simple extraction variant to rate-card rows, dates from text.
+
+    Numbers and dates that can't be read become NULL; ``rate_rejects`` tells which rows those are.
+    """
     return rows.select(
         "contract_id", "customer_name", F.lit(service_type).alias("service_type"),
         "temperature", "container_size",

@@ -62,6 +62,41 @@ class Method:
             pages.check_model(self.model)
 
 
+def extract_rates(
+    docs: DataFrame, rules: Rules, dates: Mapping[str, tuple[str, int]],
+    extractor: extract.Extractor | None = None,
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The simple extraction: contract texts (contract_id, customer_name, service_type, text) to
+    rate-card rows, rejected rows with their reason, and a status per contract.
+
+    ``rules`` or an extractor give the rows as parallel arrays of ``extract.RATE_LINE_FIELDS``,
+    ``dates`` the two dates that hold for a whole text. Missing tier bounds come from the tier
+    label. A contract without any usable row is FAILED.
+    """
+    scalars = {
+        name: F.nullif(F.regexp_extract("text", pattern, group), F.lit(""))
+        for name, (pattern, group) in dates.items()
+    }
+    found = extract.extract_arrays(docs, rules, extractor, extract.RATE_LINE_FIELDS, "text")
+    keep = ("contract_id", "customer_name", "service_type", *scalars)
+    rows = extract.zip_flatten(
+        extract.accepted(found).withColumns(scalars), "extraction", "temperature",
+        extract.RATE_LINE_FIELDS, keep,
+    )
+    rates = normalize.normalize_rates(normalize.bounds_from_labels(rows), F.col("service_type"))
+    rejects = normalize.rate_rejects(rates)
+    usable = rates.dropna(subset=[
+        "temperature", "container_size", "volume_tier_min", "volume_tier_max", "unit_price",
+        "effective_date", "expiry_date",
+    ])
+    done = usable.groupBy("contract_id").agg(F.count("*").alias("rate_rows"))
+    status = lookup_join(docs.select("contract_id").distinct(), done, ["contract_id"]).select(
+        "contract_id", F.coalesce("rate_rows", F.lit(0)).alias("rate_rows"),
+        F.when(F.col("rate_rows") > 0, "EXTRACTED").otherwise("FAILED").alias("status"),
+    )
+    return usable, rejects, status
+
+
 def parse_documents(
     spark: SparkSession, docs: DataFrame, store: Store, lines_per_page: int = 5
 ) -> DataFrame:

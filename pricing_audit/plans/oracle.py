@@ -846,6 +846,38 @@ UNION ALL
 SELECT 'fee', filename, p_type, p_name, NULL, 'USD', CAST(amount AS VARCHAR), 'AI_PARSE+AI_EXTRACT'
 FROM priced"""
 
+ORACLE["billing_anomalies_shuffled"] = ORACLE["billing_anomalies"]
+ORACLE["billing_single_match_shuffled"] = ORACLE["billing_anomalies_single_match"]
+ORACLE["compare_methods_shuffled"] = ORACLE["compare_methods_region"]
+
+_READABLE = "WHERE b.brand_no <> 25 AND b.brand_no % 7 <> 4 AND"
+ORACLE["document_rates_summary"] = ORACLE["anomaly_summary"].replace(
+    "WHERE b.brand_no <> 25 AND", _READABLE)
+
+ORACLE["document_rate_rejects"] = f"""
+WITH {RATE_CARD}
+SELECT contract_id, 'unit_price' AS reason, COUNT(*) AS row_count FROM rate_card
+WHERE CAST(substr(temperature, 7) AS INT) % 7 = 4 GROUP BY contract_id"""
+
+ORACLE["document_rate_status"] = f"""
+WITH {RATE_CARD}
+SELECT contract_id, COUNT(*) FILTER (CAST(substr(temperature, 7) AS INT) % 7 <> 4) AS rate_rows,
+       CASE WHEN COUNT(*) FILTER (CAST(substr(temperature, 7) AS INT) % 7 <> 4) > 0 THEN 'EXTRACTED'
+            ELSE 'FAILED' END AS status
+FROM rate_card GROUP BY contract_id"""
+
+ORACLE["extractor_errors"] = """
+SELECT page_id, CASE WHEN length(html) % 2 = 0 THEN CAST(length(html) AS VARCHAR) END AS size,
+       CASE WHEN length(html) % 2 = 1 THEN 'ValueError: odd page' END AS error
+FROM pages"""
+
+ORACLE["extract_json_null_counts"] = ORACLE["extract_json_rows"].replace(
+    "r->>'price_usd' AS price_usd, r->>'unit' AS unit", "r->>'unit' AS unit"
+).replace("r->>'fee_name' IS NOT NULL", "json_exists(r, '$.fee_name')")
+
+ORACLE["search_refreshed"] = bm25(10).replace(
+    "FROM documents", "FROM (SELECT * FROM documents WHERE source <> 'src4')")
+
 _LINES_OF = """
   SELECT 'price' AS kind, filename, {customer} AS customer_id, p_brand AS name,
        CASE WHEN p_size > 40 THEN 'Griesheim' WHEN p_size > 30 THEN 'Singapore'

@@ -480,6 +480,80 @@ def compare_tally(spark, sf):
     return compare.compare_tally(compare_methods_region(spark, sf))
 
 
+# --- shuffled ways, contract texts to billing, failing pages --------------------------------------
+
+@query
+def billing_anomalies_shuffled(spark, sf):
+    return _anomalies(spark, sf, limit=0)
+
+
+@query
+def billing_single_match_shuffled(spark, sf):
+    return _anomalies(spark, sf, single=True, limit=0)
+
+
+@query
+def compare_methods_shuffled(spark, sf):
+    return compare.compare_methods(
+        testdata.extracted_prices(spark, sf), compare.PRICE_KEYS, "A", "B", limit=0
+    )
+
+
+def _document_rates(spark, sf):
+    line = r"(?m)^([^|\n]+)\|([^|\n]+)\|([^|\n]+)\|([^|\n]+)$"
+    groups = {"temperature": 1, "container_size": 2, "tier_label": 3, "unit_price": 4}
+    missing = F.transform(
+        F.regexp_extract_all("text", F.lit(line), 1), lambda _: F.lit(None).cast("string"))
+    rules = {f: (line, groups[f]) if f in groups else missing for f in extract.RATE_LINE_FIELDS}
+    day = r"(?m)^{}: (\S+)$"
+    dates = {"effective_date": (day.format("Effective"), 1), "expiry_date": (day.format("Expires"), 1)}
+    return contracts.extract_rates(testdata.rate_documents(spark, sf), rules, dates)
+
+
+@query
+def document_rates_summary(spark, sf):
+    """Contract texts to a rate card, and billing classified against it."""
+    rates, _, _ = _document_rates(spark, sf)
+    return anomaly.anomaly_summary(anomaly.billing_anomalies(testdata.billing(spark, sf), rates))
+
+
+@query
+def document_rate_rejects(spark, sf):
+    _, rejects, _ = _document_rates(spark, sf)
+    return rejects.groupBy("contract_id", "reason").agg(F.count("*").alias("row_count"))
+
+
+@query
+def document_rate_status(spark, sf):
+    return _document_rates(spark, sf)[2]
+
+
+def _link_client():
+    def client(texts):
+        if any(len(t) % 2 for t in texts):
+            raise ValueError("odd page")
+        return [{"fee_name": [str(len(t))]} for t in texts]
+    return client
+
+
+@query
+def extractor_errors(spark, sf):
+    """A client that refuses some pages; only these are lost."""
+    found = extract.extract_arrays(
+        testdata.table(spark, sf, "pages").select("page_id", "html"), extractor=_link_client,
+        fields=("fee_name",), text="html")
+    return found.select("page_id", F.get("extraction.fee_name", F.lit(0)).alias("size"), "error")
+
+
+@query
+def extract_json_null_counts(spark, sf):
+    """An explicit JSON null is enough for the required field."""
+    return extract.flatten_rows(
+        _document_json(spark, sf), "result_json", "rows", ("fee_category", "fee_name", "unit"),
+        keep=("doc_id",), required="fee_name", null_counts=True,
+    )
+
+
 # --- search --------------------------------------------------------------------------------------
 
 def _sections(spark, sf):
@@ -526,6 +600,18 @@ def index_refresh_delta(spark, sf):
     return changes.join(sizes, "doc_id", "left")
 
 
+@query
+def search_refreshed(spark, sf):
+    """The index of an earlier state, brought up to date, then searched."""
+    now = _sections(spark, sf).select("doc_id", "text", "lang", "source").filter("source <> 'src4'")
+    before = now.filter(F.col("source") != "src3").withColumn(
+        "text", F.when(F.col("lang") == "fr", F.concat(F.lit("old "), F.col("text")))
+        .otherwise(F.col("text")))
+    index = search.build_index(before)
+    changes, fresh = search.index_delta(now, index)
+    return search.search(search.apply_delta(index, changes, fresh), _questions(spark, sf), 10)
+
+
 # --- runs ----------------------------------------------------------------------------------------
 
 @query

@@ -350,6 +350,26 @@ def clause_sections(part: DataFrame) -> DataFrame:
     )
 
 
+def rate_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rate card as contract texts, one per item of a contract: two dates, then a line per tier.
+    Some prices are words, and the tier bounds stand in labels only."""
+    amount = _money(F.col("unit_price")).cast("string")
+    price = F.when(_brand_no("temperature") % 7 == 4, "on request").otherwise(amount)
+    line = F.concat_ws(
+        "|", "temperature", "container_size",
+        F.concat("volume_tier_min", F.lit("-"), "volume_tier_max", F.lit(" units")), price,
+    )
+    item = ("contract_id", "customer_name", "service_type", "temperature", "container_size",
+            "effective_date", "expiry_date")
+    lines = rate_card(spark, sf_dir).groupBy(*item).agg(
+        F.array_join(F.array_sort(F.collect_list(line)), "\n").alias("lines"))
+    text = F.concat(
+        F.lit("Storage agreement\nEffective: "), F.col("effective_date").cast("string"),
+        F.lit("\nExpires: "), F.col("expiry_date").cast("string"), F.lit("\n"), F.col("lines"),
+    )
+    return lines.select("contract_id", "customer_name", "service_type", text.alias("text"))
+
+
 def contract_documents(part: DataFrame) -> DataFrame:
     """One contract text per part: a storage table on its first page, a fee table on its second."""
     amount = _money(F.col("p_retailprice"))
