@@ -5,8 +5,9 @@ One call handles any number of documents and customers in one pass.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -157,8 +158,30 @@ def extract_contracts(
     rows an earlier run stored for it; without earlier rows its other pages count. Returns the run
     report.
     """
-    method.check()
+    return extract_all(spark, docs, store, [method], run_id, lines_per_page, by_file)
+
+
+def extract_all(
+    spark: SparkSession, docs: DataFrame, store: Store, methods: Sequence[Method], run_id: int,
+    lines_per_page: int = 5, by_file: bool = False,
+) -> DataFrame:
+    """All documents through several methods and models, as ``extract_contracts`` does for one. The
+    page cache is read once; the report has a row per customer and method."""
+    for method in methods:
+        method.check()
     page_rows = parse_documents(spark, docs, store, lines_per_page)
+    if len(methods) > 1:
+        page_rows = stage(page_rows, "pages")
+    reports = [
+        _run_method(spark, docs, page_rows, store, method, run_id, by_file) for method in methods
+    ]
+    return reduce(DataFrame.unionByName, reports)
+
+
+def _run_method(
+    spark: SparkSession, docs: DataFrame, page_rows: DataFrame, store: Store, method: Method,
+    run_id: int, by_file: bool,
+) -> DataFrame:
     price_rows, price_errors = _extracted_rows(
         page_rows, method, pages.STORAGE_WORDS[method.kind], "storage_rows", "temperature",
         extract.PRICE_FIELDS, None, method.price_rules, method.price_extractor, "price-pages")

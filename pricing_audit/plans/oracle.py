@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 
+from ..operators.pages import MODELS
 from .queries import KEYWORDS, LINK, PARSED_AT
 
 ORACLE: dict[str, str] = {}
@@ -902,4 +903,9 @@ WITH priced AS (
 UNION ALL
 {_LINES_OF.format(customer="'00042'", chosen="p_partkey % 10 = 3 AND p_partkey % 4 = 3")}"""
 
+ORACLE["contract_methods_run"] = "\nUNION ALL\n".join(
+    ORACLE["extract_contracts"].replace("'AI_PARSE+AI_EXTRACT'", f"'{tag}'").join(
+        ("SELECT * FROM (", ")")
+    ) for tag in ("AI_PARSE+AI_EXTRACT", *(f"AI_PARSE+AI_COMPLETE_{m}" for m in MODELS[:2])))
+
 ORACLE = {name: re.sub(r"\n\s*\n", "\n", sql).strip() for name, sql in ORACLE.items()}

@@ -768,6 +768,18 @@ def extract_contracts(spark, sf):
     return _stored_lines(spark, store)
 
 
+@query
+def contract_methods_run(spark, sf):
+    """All contract texts through both methods, one of them with two models, over one page cache."""
+    a = _contract_method()
+    methods = [a] + [
+        contracts.Method("B", model, a.price_rules, a.fee_rules) for model in pages.MODELS[:2]
+    ]
+    store = contracts.Store(scratch_path(spark, "contract-methods"))
+    contracts.extract_all(spark, testdata.contract_documents(_part(spark, sf)), store, methods, 1)
+    return _stored_lines(spark, store)
+
+
 @query
 def two_contract_runs(spark, sf):
     """Customer numbers with leading zeros. The first run covers all documents; in the second, one
