@@ -109,7 +109,7 @@ extracted AS (
          CASE r.customer_name WHEN 'AUTOMOBILE' THEN 'North America' WHEN 'BUILDING' THEN 'Griesheim'
               WHEN 'FURNITURE' THEN 'Singapore' WHEN 'HOUSEHOLD' THEN 'Beijing' ELSE 'Global' END AS region,
          r.customer_name AS customer_id, r.temperature,
-         concat(r.service_type, '/', r.container_size) AS sample_size,
+         concat(r.service_type, '/', r.container_size, '/', left(r.contract_id, 4)) AS sample_size,
          concat(r.volume_tier_min, '-', r.volume_tier_max) AS quantity_tier,
          r.volume_tier_min AS min_quantity_tier, r.volume_tier_max AS max_quantity_tier,
          CAST(substr(r.temperature, 7) AS INT) AS brand_no,
@@ -118,8 +118,7 @@ extracted AS (
               ELSE CAST(CAST(r.unit_price AS DECIMAL(18,2)) AS VARCHAR) END AS price,
          'USD' AS currency
   FROM rate_card r CROSS JOIN (SELECT 'A' AS extraction_method UNION ALL SELECT 'B') m
-  WHERE r.contract_id LIKE 'MSA1%'
-    AND NOT (m.extraction_method = 'B' AND CAST(substr(r.temperature, 7) AS INT) % 5 = 0)
+  WHERE NOT (m.extraction_method = 'B' AND CAST(substr(r.temperature, 7) AS INT) % 5 = 0)
 )"""
 
 TRUTH = EXTRACTED + """,

@@ -201,7 +201,7 @@ def billing(
 
 def extracted_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Price rows as two extraction methods would report them, prices as text."""
-    rates = rate_card(spark, sf_dir).filter(F.col("contract_id").startswith("MSA1"))
+    rates = rate_card(spark, sf_dir)
     region = F.lit("Global")
     for segment, name in REGION_OF_SEGMENT.items():
         region = F.when(F.col("customer_name") == segment, name).otherwise(region)
@@ -220,7 +220,9 @@ def extracted_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
             region.alias("region"),
             F.col("customer_name").alias("customer_id"),
             "temperature",
-            F.concat_ws("/", "service_type", "container_size").alias("sample_size"),
+            F.concat_ws(
+                "/", "service_type", "container_size", F.substring("contract_id", 1, 4)
+            ).alias("sample_size"),
             F.concat_ws("-", "volume_tier_min", "volume_tier_max").alias("quantity_tier"),
             F.col("volume_tier_min").alias("min_quantity_tier"),
             F.col("volume_tier_max").alias("max_quantity_tier"),

@@ -46,5 +46,5 @@ def test_derived_counts(spark):
     rows = testdata.billing(spark, SF_DIR)
     assert (rows.count(), rows.select("txn_id").distinct().count()) == (6000, 5999)
     extracted = testdata.extracted_prices(spark, SF_DIR)
-    assert extracted.count() == 2040 + 1740
-    assert testdata.truth_prices(extracted).count() == 1875
+    assert extracted.count() == 4488 + 3828
+    assert testdata.truth_prices(extracted).count() == 4125
