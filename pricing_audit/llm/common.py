@@ -65,11 +65,13 @@ def chunks_of_texts(texts: Iterable[bytes], size: int) -> Iterator[list[bytes]]:
         yield run
 
 
-def binary_column(batch: pa.RecordBatch, name: str) -> list[bytes]:
-    """The column's values as bytes without decoding them; null becomes empty."""
+def binary_values(batch: pa.RecordBatch, name: str) -> Iterator[bytes]:
+    """The column's values as bytes, one at a time and without decoding them; null becomes empty."""
     column = batch.column(batch.schema.get_field_index(name))
     kind = pa.large_binary() if pa.types.is_large_string(column.type) else pa.binary()
-    return [b"" if x is None else x for x in column.cast(kind).to_pylist()]
+    for value in column.cast(kind):
+        yield value.as_py() or b""
+    pa.default_memory_pool().release_unused()
 
 
 def mix64(x: np.ndarray) -> np.ndarray:

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..sources.tables import spread, stage
-from .common import binary_column, mix64, ship_code, sized_join, whole_text
+from .common import binary_values, mix64, ship_code, sized_join, whole_text
 from .components import connected_components
 from .shingles import shingle_sets
 
@@ -37,6 +37,7 @@ WIDE_WORDS, WIDE_FROM = 64, 1000  # larger sets fill a small bitmap and have a w
 PREFIX_SCHEMA = (
     "doc_id long, n int, c binary, g long, bits array<bigint>, wide array<bigint>, prefix array<bigint>"
 )
+SET_BYTES = 8 << 20  # of sets sent on at once
 SET_SCHEMA = "c binary, members binary"
 
 
@@ -69,7 +70,7 @@ def bucket_counts(docs: DataFrame, k: int) -> np.ndarray:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = np.zeros(size, np.int32)
         for batch in batches:
-            for members in shingle_sets(binary_column(batch, "text"), k):
+            for members in shingle_sets(binary_values(batch, "text"), k):
                 np.add.at(table, _bucket(members), 1)
         parts = [zlib.compress(part.tobytes(), 1) for part in np.split(table, SLICES)]
         yield pa.RecordBatch.from_pydict(
@@ -110,7 +111,7 @@ def prefixes(docs: DataFrame, k: int, percent: int) -> DataFrame:
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sizes, classes, groups, heads, maps, wide = [], [], [], [], [], []
-            for members in shingle_sets(binary_column(batch, "text"), k):
+            for members in shingle_sets(binary_values(batch, "text"), k):
                 n = len(members)
                 length = n - (percent * n + 99) // 100 + 1 if n else 0
                 filled = table.value[_bucket(members)]
@@ -160,18 +161,26 @@ def _sets(docs: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sets = list(shingle_sets(binary_column(batch, "text"), k))
-            yield pa.RecordBatch.from_pydict(
-                {
-                    "c": pa.array([_class_key(s) for s in sets], pa.binary()),
-                    "members": pa.array([s.tobytes() for s in sets], pa.binary()),
-                }
-            )
+            keys, held, size = [], [], 0
+            for members in shingle_sets(binary_values(batch, "text"), k):
+                keys.append(_class_key(members))
+                held.append(members.tobytes())
+                size += len(held[-1])
+                if size > SET_BYTES:
+                    yield _set_rows(keys, held)
+                    keys, held, size = [], [], 0
+            yield _set_rows(keys, held)
 
     built = rows.mapInArrow(build, SET_SCHEMA)
     return built.join(wanted.select("c"), "c", "left_semi").dropDuplicates(["c"])
 
 
+def _set_rows(keys: list[bytes], held: list[bytes]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_pydict(
+        {"c": pa.array(keys, pa.binary()), "members": pa.array(held, pa.binary())}
+    )
+
+
 def verified(
     docs: DataFrame, classes: DataFrame, pairs: DataFrame, k: int, percent: int
 ) -> DataFrame:

@@ -31,7 +31,7 @@ TRAIN_SHARE = 1 / 32
 LEAST_TOKENS = 500_000
 REPLICA_TOKENS, MOST_REPLICAS = 400_000, 64
 ROUNDS = 4
-RUN_BYTES = 1 << 24
+RUN_BYTES = 1 << 23
 FLUSH = 300_000
 END = b""  # no word is empty
 ROWS = (

@@ -11,7 +11,7 @@ id; features and scores cover every whole text, one numpy pass over each batch,
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -20,13 +20,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..sources.tables import spread
-from .common import binary_column, chunks_of_texts, ship_code, whole_text
+from .common import binary_values, chunks_of_texts, ship_code, whole_text
 from .shingles import words_of
 
 TRAIN_ROWS = 20_000
 FEATURES = (
     "log_bytes", "log_words", "word_bytes", "upper", "lower", "digit", "mark", "symbol", "other",
-    "space", "line_words", "distinct_words", "top_word", "repeated_lines", "shout_words", "end_marks",
+    "space", "line_words", "repeated_lines", "shout_words", "end_marks", "distinct_words", "top_word",
 )
 _BLOCK = 1 << 18
 _STRETCH = 200
@@ -56,43 +56,46 @@ def _classes() -> np.ndarray:
 _KIND = _classes()
 
 
-def features(texts: list[bytes]) -> np.ndarray:
+def features(texts: Iterable[bytes]) -> np.ndarray:
     """One row of ``FEATURES`` per text, from its bytes; all finite, also for empty texts."""
-    rows = np.zeros((len(texts), len(FEATURES)))
-    at = 0
+    rows: list[tuple] = []
     for run in chunks_of_texts(texts, _BLOCK):
-        for text in run:
-            rows[at, :14], rows[at, 14:] = 0.0, 0.0
-            data = np.frombuffer(text, np.uint8)
-            n = len(data)
-            if n:
-                kind = _KIND[data]
-                count = np.bincount(kind, minlength=8)
-                edge = (kind[1:] == 5) | (kind[1:] == 7)  # a character before white space
-                inner = kind[:-1]
-                words = int(np.count_nonzero(edge & (inner != 5) & (inner != 7))) + int(kind[-1] not in (5, 7))
-                ends = np.count_nonzero(edge & (inner == 4)) + int(kind[-1] == 4)
-                shouts = np.count_nonzero((kind[:-1] == 0) & (kind[1:] == 0))
-                lines = text.split(b"\n")
-                rows[at] = (
-                    np.log1p(n), np.log1p(words), min((n - count[5] - count[7]) / max(words, 1), 100.0),
-                    *(count[:5] / n), count[6] / n, (count[5] + count[7]) / n,
-                    min(words / len(lines), 1000.0), 0.0, 0.0, 1 - len(set(lines)) / len(lines),
-                    shouts / n, ends / max(words, 1),
-                )
-            at += 1
-    for i, words in enumerate(words_of(texts)):
-        if len(words):
-            ordered = np.sort(words)
-            first = np.flatnonzero(np.concatenate(([True], ordered[1:] != ordered[:-1])))
-            runs = np.diff(np.append(first, len(words)))
-            # Distinct words within stretches of equal length, so that long texts don't look repetitive.
-            whole = len(words) // _STRETCH * _STRETCH
-            parts = np.sort(words[:whole].reshape(-1, _STRETCH), axis=1)
-            distinct = len(parts) + np.count_nonzero(parts[:, 1:] != parts[:, :-1])
-            rows[i, 11] = (distinct + len(np.unique(words[whole:]))) / len(words)
-            rows[i, 12] = runs.max() / len(words)
-    return rows
+        for text, words in zip(run, words_of(run), strict=True):
+            rows.append(_of_bytes(text) + _of_words(words))
+    return np.array(rows, float).reshape(len(rows), len(FEATURES))
+
+
+def _of_bytes(text: bytes) -> tuple:
+    data = np.frombuffer(text, np.uint8)
+    n = len(data)
+    if not n:
+        return (0.0,) * (len(FEATURES) - 2)
+    kind = _KIND[data]
+    count = np.bincount(kind, minlength=8)
+    edge = (kind[1:] == 5) | (kind[1:] == 7)  # a character before white space
+    inner = kind[:-1]
+    words = int(np.count_nonzero(edge & (inner != 5) & (inner != 7))) + int(kind[-1] not in (5, 7))
+    ends = np.count_nonzero(edge & (inner == 4)) + int(kind[-1] == 4)
+    shouts = np.count_nonzero((kind[:-1] == 0) & (kind[1:] == 0))
+    lines = text.split(b"\n")
+    return (
+        np.log1p(n), np.log1p(words), min((n - count[5] - count[7]) / max(words, 1), 100.0),
+        *(count[:5] / n), count[6] / n, (count[5] + count[7]) / n, min(words / len(lines), 1000.0),
+        1 - len(set(lines)) / len(lines), shouts / n, ends / max(words, 1),
+    )
+
+
+def _of_words(words: np.ndarray) -> tuple[float, float]:
+    if not len(words):
+        return 0.0, 0.0
+    ordered = np.sort(words)
+    first = np.flatnonzero(np.concatenate(([True], ordered[1:] != ordered[:-1])))
+    runs = np.diff(np.append(first, len(words)))
+    # Distinct words within stretches of equal length, so that long texts don't look repetitive.
+    whole = len(words) // _STRETCH * _STRETCH
+    parts = np.sort(words[:whole].reshape(-1, _STRETCH), axis=1)
+    distinct = len(parts) + np.count_nonzero(parts[:, 1:] != parts[:, :-1])
+    return (distinct + len(np.unique(words[whole:]))) / len(words), runs.max() / len(words)
 
 
 @dataclass
@@ -249,7 +252,7 @@ def train(docs: DataFrame, labels: DataFrame) -> Model:
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = features(binary_column(batch, "text"))
+            found = features(binary_values(batch, "text"))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(list(found), pa.list_(pa.float64()))], ["id", "y", "x"]
             )
@@ -272,7 +275,7 @@ def score_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            score = model.score(features(binary_column(batch, "text")))
+            score = model.score(features(binary_values(batch, "text")))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(score), pa.array((score >= 0.5).astype(np.int32))],
                 ["doc_id", "held_out", "score", "predicted"],
@@ -290,7 +293,7 @@ def accepted(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            score = model.score(features(binary_column(batch, "text")))
+            score = model.score(features(binary_values(batch, "text")))
             yield batch.filter(pa.array(score >= 0.5))
 
     return docs.mapInArrow(keep, docs.schema)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 
@@ -54,7 +54,7 @@ def _pieces(text: bytes) -> Iterator[bytes]:
         at = to
 
 
-def words_of(texts: list[bytes]) -> Iterator[np.ndarray]:
+def words_of(texts: Iterable[bytes]) -> Iterator[np.ndarray]:
     """The word hashes of each text, ASCII letters lower-cased, in order."""
     for run in chunks_of_texts(texts, _BLOCK):
         if len(run) == 1:
@@ -66,7 +66,7 @@ def words_of(texts: list[bytes]) -> Iterator[np.ndarray]:
         yield from np.split(hashes, np.searchsorted(start, ends[:-1]))
 
 
-def shingle_sets(texts: list[bytes], k: int) -> Iterator[np.ndarray]:
+def shingle_sets(texts: Iterable[bytes], k: int) -> Iterator[np.ndarray]:
     """Each text's distinct k-word shingles as a sorted uint64 array; without words, empty.
 
     Fewer than k words count as one shingle of the whole sequence.
