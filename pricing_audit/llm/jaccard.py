@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 from ..sources.tables import spread, stage
 from .common import binary_values, mix64, ship_code, sized_join, whole_text
 from .components import connected_components
+from .exact_stream import located
 from .shingles import shingle_sets
 
 # Shingles are ranked by how full their bucket is; the table's size does not depend on the data.
@@ -35,7 +36,8 @@ SLICES = 64
 BITMAP_WORDS, FOLDED_WORDS = 8, 4
 WIDE_WORDS, WIDE_FROM = 64, 1000  # larger sets fill a small bitmap and have a wide one as well
 PREFIX_SCHEMA = (
-    "doc_id long, n int, c binary, g long, bits array<bigint>, wide array<bigint>, prefix array<bigint>"
+    "doc_id long, file string, row long, n int, c binary, g long, bits array<bigint>,"
+    " wide array<bigint>, prefix array<bigint>"
 )
 SET_BYTES = 8 << 20  # of sets sent on at once
 SET_SCHEMA = "c binary, members binary"
@@ -136,7 +138,7 @@ def prefixes(docs: DataFrame, k: int, percent: int) -> DataFrame:
             each = np.arange(0, len(words) + 1, BITMAP_WORDS, dtype=np.int32)
             yield pa.RecordBatch.from_pydict(
                 {
-                    "doc_id": batch.column(0),
+                    "doc_id": batch.column(0), "file": batch.column(1), "row": batch.column(2),
                     "n": pa.array(sizes, pa.int32()),
                     "c": pa.array(classes, pa.binary()),
                     "g": pa.array(groups, pa.int64()),
@@ -146,9 +148,12 @@ def prefixes(docs: DataFrame, k: int, percent: int) -> DataFrame:
                 }
             )
 
-    return docs.select(F.col("doc_id").cast("long"), whole_text().alias("text")).mapInArrow(
-        cut, PREFIX_SCHEMA
-    )
+    here = [
+        F.col(name) if name in docs.columns else F.lit(None).cast(kind).alias(name)
+        for name, kind in (("__file", "string"), ("__row", "long"))
+    ]
+    rows = docs.select(F.col("doc_id").cast("long"), *here, whole_text().alias("text"))
+    return rows.mapInArrow(cut, PREFIX_SCHEMA)
 
 
 def _sets(docs: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
@@ -240,9 +245,13 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
     included; a null doc_id is kept, and a component of null ids only has a null component_id. Empty
     input gives no rows. Only doc_id and text are read, so other columns may have any names.
     """
+    return _decided(spread(docs.select("doc_id", "text")), k, percent).drop("file", "row")
+
+
+def _decided(docs: DataFrame, k: int, percent: int) -> DataFrame:
+    """``near_duplicates`` with the rows' locators, where ``docs`` has them."""
     ship_code(docs.sparkSession)
-    docs = docs.select("doc_id", "text")
-    cut = stage(prefixes(spread(docs), k, percent), "prefixes")
+    cut = stage(prefixes(docs, k, percent), "prefixes")
     full = cut.filter("n > 0")
     classes = stage(
         full.groupBy("c").agg(
@@ -338,10 +347,10 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
     smallest = members.groupBy("label").agg(F.min("doc_id").alias("component_id"))
     by_class = members.join(smallest, "label").select(F.col("c").alias("class_c"), "component_id")
     return (
-        cut.select("doc_id", "n", "c")
+        cut.select("doc_id", "file", "row", "n", "c")
         .join(by_class, (F.col("c") == F.col("class_c")) & (F.col("n") > 0), "left")
         .select(
-            "doc_id",
+            "doc_id", "file", "row",
             F.col("n").cast("long").alias("n_shingles"),
             F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
             .alias("component_id"),
@@ -350,16 +359,18 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
 
 
 def one_per_group(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
-    """The documents that stay: of each component the row with the smallest doc_id.
+    """The documents that stay: of each component the rows with the smallest doc_id.
 
     Columns are those of ``docs``. Documents without words all stay. Repeated rows of the kept
-    doc_id stay together (exact copies are another operator's task); where all ids of a component
-    are null, its rows stay.
+    doc_id stay together (exact copies are another operator's task); rows with a null id stay only
+    where all ids of their component are null.
     """
-    found = near_duplicates(docs, k, percent)
+    rows = located(docs)
     gone = stage(
-        found.filter("not (doc_id <=> component_id)")
-        .select(F.col("doc_id").alias("gone_id")).distinct(),
+        _decided(rows.select("doc_id", "text", "__file", "__row"), k, percent)
+        .filter("not (doc_id <=> component_id)")
+        .select(F.col("file").alias("__at"), F.col("row").alias("__nth")),
         "dropped",
     )
-    return sized_join(docs, gone, [F.col("doc_id").eqNullSafe(F.col("gone_id"))], "left_anti")
+    on = [F.col("__file") == F.col("__at"), F.col("__row") == F.col("__nth")]
+    return sized_join(rows, gone, on, "left_anti").drop("__file", "__row")
