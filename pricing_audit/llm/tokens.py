@@ -10,6 +10,7 @@ from __future__ import annotations
 import json
 import os
 import re
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -17,7 +18,8 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 RUN_BYTES = 1 << 24
-KEPT_CHUNKS = 500_000
+KEPT_CHUNKS = 400_000
+ENCODED_AT_ONCE = 2048
 
 _W = r" \t\n\r\x0b\f"
 _SPACED = re.compile(rf" ?[^{_W}]+|[{_W}]+(?![^{_W}])|[{_W}]+")
@@ -61,7 +63,8 @@ class Encoder:
         with open(path, encoding="utf-8") as f:
             rules = json.load(f)
         self._special = [t["content"] for t in rules.get("added_tokens") or []]
-        self.dtype = np.dtype("<u2" if self._tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
+        small = self._tokenizer.get_vocab_size() <= 1 << 16
+        self._code, self.dtype = ("H", np.dtype("<u2")) if small else ("I", np.dtype("<u4"))
         self._way = self._rule(rules)
         self._kept = kept
         self._seen: dict[str, bytes] = {}
@@ -134,13 +137,15 @@ class Encoder:
         seen = self._seen
         found = list(map(seen.get, keys))
         new = [i for i, ids in enumerate(found) if ids is None]
-        texts_of_new = [self._chunk(keys[i]) for i in new]
-        for i, one in zip(
-            new, self._tokenizer.encode_batch_fast(texts_of_new, add_special_tokens=False), strict=True
-        ):
-            found[i] = ids = np.array(one.ids, self.dtype).tobytes()
-            if len(seen) < self._kept:
-                seen[keys[i]] = ids
+        for at in range(0, len(new), ENCODED_AT_ONCE):  # an encoding takes far more room than its ids
+            some = new[at : at + ENCODED_AT_ONCE]
+            encoded = self._tokenizer.encode_batch_fast(
+                [self._chunk(keys[i]) for i in some], add_special_tokens=False
+            )
+            for i, one in zip(some, encoded, strict=True):
+                found[i] = array(self._code, one.ids).tobytes()
+        for i in new[: max(0, self._kept - len(seen))]:
+            seen[keys[i]] = found[i]
         flat = np.frombuffer(b"".join(found), self.dtype)
         length = np.fromiter(map(len, found), np.int64, len(found)) // self.dtype.itemsize
         first = np.cumsum(length) - length
