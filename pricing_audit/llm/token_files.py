@@ -37,6 +37,7 @@ MAGIC = b"FRV1"
 BLOCK_TOKENS = 1 << 20
 BYTES_PER_FILE = 32 << 20
 MOST_FILES = 20_000
+DENSE_IDS = 1 << 22  # ids below are counted in a plain array
 LAST = (1 << 63) - 1  # null ids come last
 FILE_SCHEMA = "part int, path string, docs long, tokens long"
 
@@ -47,11 +48,19 @@ LENGTHS = np.stack([((_CODES >> (2 * i)) & 3) + 1 for i in range(4)], axis=1).as
 
 def encode_block(ids: np.ndarray) -> bytes:
     """One block; ``ids`` are unsigned integers below 2**32."""
-    values, which, counts = np.unique(ids, return_inverse=True, return_counts=True)
+    if ids.max() < DENSE_IDS:
+        counts = np.bincount(ids)
+        values = np.flatnonzero(counts)
+        which, counts = ids, counts[values]
+        place = np.zeros(int(ids.max()) + 1, np.int64)
+        place[values] = np.arange(len(values))
+    else:
+        values, which, counts = np.unique(ids, return_inverse=True, return_counts=True)
+        place = np.arange(len(values))
     order = np.lexsort((values, -counts))
     rank = np.empty(len(values), np.uint32)
     rank[order] = np.arange(len(values), dtype=np.uint32)
-    codes = rank[which]
+    codes = rank[place][which]
     extra = (codes >= 1 << 8).astype(np.uint8) + (codes >= 1 << 16) + (codes >= 1 << 24)
     padded = np.zeros(-(-len(codes) // 4) * 4, np.uint8)
     padded[: len(codes)] = extra
