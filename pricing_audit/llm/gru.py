@@ -24,6 +24,7 @@ TOKENS = HEAD + TAIL_CLASSES  # ids the model reads: head words, then one per ta
 HIDDEN = 32
 WINDOW = 32
 LANES = 512
+BLOCK = 2048
 TRAIN_LANES, TRAIN_WINDOW, STEP, MOST_GRADIENT = 64, 20, 0.05, 0.5
 
 
@@ -63,12 +64,14 @@ def _step(model: dict, h: np.ndarray, gates: np.ndarray):
 
 
 def _softmax_loss(logits: np.ndarray, target: np.ndarray, gradient: bool):
-    """Log-probability of the targets, and the probabilities less the targets if asked for."""
-    logits = logits - logits.max(axis=1, keepdims=True)
-    e = np.exp(logits)
-    total = e.sum(axis=1)
+    """Log-probability of the targets, and the probabilities less the targets if asked for; the
+    logits are overwritten."""
+    logits -= logits.max(axis=1, keepdims=True)
     at = np.arange(len(target))
-    log_p = logits[at, target] - np.log(total)
+    log_p = logits[at, target]
+    e = np.exp(logits, out=logits)
+    total = e.sum(axis=1)
+    log_p -= np.log(total)
     if not gradient:
         return log_p, None
     e /= total[:, None]
@@ -78,25 +81,43 @@ def _softmax_loss(logits: np.ndarray, target: np.ndarray, gradient: bool):
 
 def _predict(model: dict, states: np.ndarray, ids: np.ndarray, grads: dict | None = None):
     """Natural log-probability of each id after its state (class, and word for the head); with
-    ``grads`` also adds the loss gradients of the output layers and returns that of the states."""
+    ``grads`` also adds the loss gradients of the output layers and returns that of the states.
+
+    Rows are taken by class in blocks that stay in the cache; each class has a product of its own,
+    the softmax is one for all.
+    """
     classes = class_of(ids)
-    log_p, d = _softmax_loss(states @ model["class_w"] + model["class_b"], classes, grads is not None)
-    back = None
-    if grads is not None:
-        grads["class_w"] += states.T @ d
-        grads["class_b"] += d.sum(axis=0)
-        back = d @ model["class_w"].T
     order = np.argsort(classes, kind="stable")
-    bounds = np.searchsorted(classes[order], np.arange(HEAD_CLASSES + 1))
-    for c in np.flatnonzero(np.diff(bounds)):
-        at = order[bounds[c] : bounds[c + 1]]
-        own = states[at]
-        p, d = _softmax_loss(own @ model["word_w"][c] + model["word_b"][c], ids[at] % CLASS_WORDS, grads is not None)
-        log_p[at] += p
+    log_p = np.empty(len(ids), states.dtype)
+    back = None if grads is None else np.empty_like(states)
+    for start in range(0, len(order), BLOCK):
+        rows = order[start : start + BLOCK]
+        own, kind = states[rows], classes[rows]
+        logits = own @ model["class_w"]
+        logits += model["class_b"]
+        p, d = _softmax_loss(logits, kind, grads is not None)
         if grads is not None:
-            grads["word_w"][c] += own.T @ d
-            grads["word_b"][c] += d.sum(axis=0)
-            back[at] += d @ model["word_w"][c].T
+            grads["class_w"] += own.T @ d
+            grads["class_b"] += d.sum(axis=0)
+            behind = d @ model["class_w"].T
+        bounds = np.searchsorted(kind, np.arange(HEAD_CLASSES + 1))
+        live, head = np.flatnonzero(np.diff(bounds)).tolist(), int(bounds[-1])
+        if head:
+            logits = model["word_b"][kind[:head]]
+            for c in live:
+                lo, hi = bounds[c], bounds[c + 1]
+                logits[lo:hi] += own[lo:hi] @ model["word_w"][c]
+            word, d = _softmax_loss(logits, ids[rows[:head]] % CLASS_WORDS, grads is not None)
+            p[:head] += word
+            if grads is not None:
+                grads["word_b"][live] += np.add.reduceat(d, bounds[live], axis=0)
+                for c in live:
+                    lo, hi = bounds[c], bounds[c + 1]
+                    grads["word_w"][c] += own[lo:hi].T @ d[lo:hi]
+                    behind[lo:hi] += d[lo:hi] @ model["word_w"][c].T
+        log_p[rows] = p
+        if grads is not None:
+            back[rows] = behind
     return log_p, back
 
 
@@ -192,48 +213,65 @@ def train(model: dict, speed: dict, docs: Iterator[np.ndarray]) -> int:
 
 def _window(model, speed, ids, first, real, h):
     safe = np.maximum(ids, 0)
-    before = np.empty((*ids.shape, HIDDEN), np.float32)
-    kept, gates = [], model["read"][safe]
+    before = np.empty((*ids.shape, HIDDEN), h.dtype)
+    gates = model["read"][safe]
+    kind, anew = gates.dtype, first.any(axis=1)
+    z, r, n, past_n = (np.empty(before.shape, kind) for _ in range(4))
     for t in range(len(ids)):
-        h = np.where(first[t][:, None], np.float32(0), h)
+        if anew[t]:
+            h = np.where(first[t][:, None], np.float32(0), h)
         before[t] = h
-        h, inner = _step(model, h, gates[t])
-        kept.append(inner)
+        h, (z[t], r[t], n[t], past_n[t]) = _step(model, h, gates[t])
     names = ("keep", "class_w", "class_b", "word_w", "word_b")
     grads = {name: np.zeros_like(model[name]) for name in names}
     _, back = _predict(model, before[real], ids[real], grads)
-    from_output = np.zeros_like(before)
+    from_output = np.zeros(before.shape, kind)
     from_output[real] = back
-    d_gates = np.zeros_like(gates)
+    by_n = (1 - z) * (1 - n * n)
+    by_z = (before - n) * z * (1 - z)
+    by_r = past_n * r * (1 - r)
+    d_gates, d_past = np.empty_like(gates), np.empty_like(gates)
     dh = np.zeros_like(h)
+    keep = np.ascontiguousarray(model["keep"].T)
     for t in range(len(ids) - 1, -1, -1):
-        z, r, n, past_n = kept[t]
-        dn = dh * (1 - z) * (1 - n * n)
-        dz = dh * (before[t] - n) * z * (1 - z)
-        dr = dn * past_n * r * (1 - r)
-        d_gates[t] = np.concatenate((dz, dr, dn), axis=1)
-        d_past = np.concatenate((dz, dr, dn * r), axis=1)
-        grads["keep"] += before[t].T @ d_past
-        dh = dh * z + d_past @ model["keep"].T + from_output[t]
-        dh = np.where(first[t][:, None], np.float32(0), dh)
-    rows, which = np.unique(safe[real], return_inverse=True)
-    d_rows = np.zeros((len(rows), 3 * HIDDEN), np.float32)
-    np.add.at(d_rows, which, d_gates[real])
-    scale = np.float32(1 / real.sum())
-    for g in grads.values():
-        g *= scale
-    d_rows *= scale
-    size = np.sqrt(sum(float(np.vdot(g, g)) for g in (*grads.values(), d_rows)))
-    clip = np.float32(min(1.0, MOST_GRADIENT / max(size, 1e-12)))
+        dn = dh * by_n[t]
+        own, past = d_gates[t], d_past[t]
+        np.multiply(dh, by_z[t], out=own[:, :HIDDEN])
+        np.multiply(dn, by_r[t], out=own[:, HIDDEN : 2 * HIDDEN])
+        own[:, 2 * HIDDEN :] = dn
+        past[:, : 2 * HIDDEN] = own[:, : 2 * HIDDEN]
+        np.multiply(dn, r[t], out=past[:, 2 * HIDDEN :])
+        dh = dh * z[t]
+        dh += past @ keep
+        dh += from_output[t]
+        if anew[t]:
+            dh = np.where(first[t][:, None], np.float32(0), dh)
+    grads["keep"] += before.reshape(-1, HIDDEN).T @ d_past.reshape(-1, 3 * HIDDEN)
+    used = safe[real]
+    order = np.argsort(used, kind="stable")
+    rows, begin = np.unique(used[order], return_index=True)
+    d_rows = np.add.reduceat(d_gates[real][order], begin, axis=0)
+    scale = 1 / real.sum()
+    size = scale * np.sqrt(sum(float(np.vdot(g, g)) for g in (*grads.values(), d_rows)))
+    scale = np.float32(scale * min(1.0, MOST_GRADIENT / max(size, 1e-12)))
     for name, g in grads.items():
-        g *= clip
-        speed[name] += g * g
-        model[name] -= STEP * g / np.sqrt(speed[name] + 1e-8)
-    d_rows *= clip
-    speed["read"][rows] += d_rows * d_rows
-    model["read"][rows] -= STEP * d_rows / np.sqrt(speed["read"][rows] + 1e-8)
+        _adagrad(model[name], speed[name], g, scale)
+    own, fast = model["read"][rows], speed["read"][rows]
+    _adagrad(own, fast, d_rows, scale)
+    model["read"][rows], speed["read"][rows] = own, fast
     return h
 
 
+def _adagrad(value: np.ndarray, fast: np.ndarray, g: np.ndarray, scale: np.float32) -> None:
+    """One step in place along ``g`` times ``scale``; ``g`` is overwritten."""
+    g *= scale
+    root = g * g
+    fast += root
+    np.sqrt(np.add(fast, np.float32(1e-8), out=root), out=root)
+    g *= np.float32(STEP)
+    g /= root
+    value -= g
+
+
 def fresh_speed(model: dict) -> dict[str, np.ndarray]:
     return {name: np.full_like(value, 1e-6) for name, value in model.items()}

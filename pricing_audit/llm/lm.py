@@ -3,9 +3,8 @@
 Counts cover every training document. Tasks count the words they read and send partial sums; the
 table of all words stays distributed. Only the words above a count threshold, at most
 ``FREQUENT_WORDS`` of them, are collected and sent to the tasks; the counts of all others are joined.
-The network's weights are learnt from a share of the training documents that is chosen by a hash of
-their id and grows with the corpus (``TRAIN_SHARE``, or more where that gives fewer than
-``LEAST_TOKENS``), by replicas whose weights are averaged after each round.
+The network's weights are learnt from every training document, each seen once, by replicas whose
+weights are averaged after each round.
 """
 
 from __future__ import annotations
@@ -27,9 +26,7 @@ from .common import ship_code, whole_text
 from .tokens import _runs
 
 FREQUENT_WORDS = 150_000
-TRAIN_SHARE = 1 / 32
-LEAST_TOKENS = 500_000
-REPLICA_TOKENS, MOST_REPLICAS = 400_000, 64
+REPLICA_TOKENS, MOST_REPLICAS = 4_000_000, 256
 ROUNDS = 4
 RUN_BYTES = 1 << 23
 FLUSH = 300_000
@@ -184,16 +181,14 @@ def _documents(texts: pa.Array, words: Vocabulary) -> Iterator[np.ndarray]:
 
 
 def train(docs: DataFrame, words: Vocabulary) -> dict[str, np.ndarray]:
-    """Weights learnt on the chosen share of the training documents, averaged over replicas."""
+    """Weights learnt on all training documents, averaged over replicas."""
     spark = docs.sparkSession
     model = gru.start_model(words.counts[: gru.HEAD], words.tail_tokens)
     if not words.tokens:
         return model
-    share = min(1.0, max(TRAIN_SHARE, LEAST_TOKENS / words.tokens))
-    replicas = int(min(MOST_REPLICAS, max(1, -(-words.tokens * share // REPLICA_TOKENS))))
+    replicas = min(MOST_REPLICAS, -(-words.tokens // REPLICA_TOKENS))
     sent = spark.sparkContext.broadcast(words)
-    draw = F.pmod(F.xxhash64("doc_id", F.lit("train")), F.lit(1_000_000))
-    chosen = docs.filter(~held_out(F.col("doc_id")) & (draw < int(share * 1_000_000)))
+    known = docs.filter(~held_out(F.col("doc_id")))
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -201,7 +196,7 @@ def train(docs: DataFrame, words: Vocabulary) -> dict[str, np.ndarray]:
             yield pa.RecordBatch.from_arrays([*batch.columns[1:], pa.array(ids, pa.binary())], ["lot", "ids"])
 
     lot = F.xxhash64("doc_id", F.lit("lot"), "text").alias("lot")
-    sample = stage(chosen.select("text", lot).mapInArrow(encode, "lot long, ids binary"), "lm-sample")
+    encoded = stage(known.select("text", lot).mapInArrow(encode, "lot long, ids binary"), "lm-training")
     speed = gru.fresh_speed(model)
     for number in range(ROUNDS):
         now = spark.sparkContext.broadcast(pickle.dumps((model, speed)))
@@ -230,7 +225,7 @@ def train(docs: DataFrame, words: Vocabulary) -> dict[str, np.ndarray]:
                     [pa.array([total], pa.int64()), pa.array([pickle.dumps(mean)], pa.binary())], ["seen", "w"]
                 )
 
-        part = sample.filter(F.pmod("lot", F.lit(ROUNDS)) == number)
+        part = encoded.filter(F.pmod("lot", F.lit(ROUNDS)) == number)
         replica = F.pmod(F.shiftright("lot", 8), F.lit(replicas)).cast("int")
         learnt = (
             part.repartitionById(replicas, replica).sortWithinPartitions("lot").select("ids")

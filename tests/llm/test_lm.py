@@ -45,6 +45,26 @@ def test_better_than_the_base_on_unseen_texts(spark):
     assert sum(r.score for r in unseen) > 0.97 * sum(r.base_score for r in unseen)
 
 
+def test_every_training_text_is_learnt(spark, documents, monkeypatch):
+    """Also where the corpus has far more than 16 million tokens."""
+    rows = [(i, f"w{i % 7} " * 5) for i in range(200)] + [(None, "no id"), (500, "a b " * 4000)]
+    docs = documents(rows)
+    words, _ = lm.vocabulary(lm.word_counts(docs))
+    kept = []
+    monkeypatch.setattr(lm, "stage", lambda rows, name: kept.append(rows.cache()) or kept[-1])
+    tokens, words.tokens = words.tokens, 1 << 25
+    lm.train(docs, words)
+    lengths = sorted(len(r.ids) // 2 for r in kept[0].collect())
+    assert lengths == sorted(len(text.split()) + 1 for i, text in rows if not held(i)) and sum(lengths) == tokens
+
+
+def test_training_sees_every_token():
+    rng = np.random.default_rng(2)
+    docs = [rng.integers(0, gru.TOKENS, n) for n in rng.integers(1, 200, 300)]
+    m = model()
+    assert gru.train(m, gru.fresh_speed(m), iter(docs)) == sum(map(len, docs))
+
+
 def test_no_training_text_and_empty_table(documents):
     only = next(i for i in range(100) if held(i))
     rows = lm.score_documents(documents([(only, "some words"), (only, None)])).collect()
