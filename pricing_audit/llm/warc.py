@@ -33,7 +33,6 @@ from .files import new_file, open_read, open_write
 MIN_REVISIT = 100
 FILE_BYTES = 64 << 20
 WINDOW = 1 << 18
-MOST_HEADER = 1 << 20
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 END = b"\r\n\r\n"
 MEMBER = b"\x1f\x8b\x08"
@@ -157,6 +156,7 @@ class _Window:
     def __init__(self, source):
         self._source, self.size = source, source.size()
         self._at, self._held = 0, b""
+        self._looked, self._end = 1, 0
 
     def read(self, at: int, n: int) -> bytes:
         n = max(0, min(n, self.size - at))
@@ -181,6 +181,14 @@ class _Window:
         return -1
 
 
+    def end(self, at: int) -> int:
+        """Where ``END`` next begins at or behind ``at``; -1 if nowhere. One search serves all places up to
+        its hit, so many false starts before one end cost no more than one."""
+        if not (self._looked <= at and (self._end < 0 or at <= self._end)):
+            self._looked, self._end = at, self.find(END, at, 3)
+        return self._end
+
+
 @dataclass
 class Record:
     offset: int
@@ -228,9 +236,15 @@ def _checked(head: dict[str, str], block: bytes) -> bytes:
 
 
 def _plain_record(window: _Window, at: int) -> Record:
-    stop = window.find(END, at, 3)
-    if not 0 <= stop - at <= MOST_HEADER:
+    stop = window.end(at)
+    if stop < 0:
         raise Damage("header end")
+    if stop - at > WINDOW:  # what is no header shows before all of it is read
+        version, *lines = window.read(at, WINDOW).split(b"\r\n")[:-1] or [None]
+        if version is not None and not VERSION.match(version + b"\r\n"):
+            raise Damage("no version line")
+        if not all(b":" in line for line in lines):
+            raise Damage("header line")
     head = _header(window.read(at, stop - at))
     begin, n = stop + len(END), int(head["content-length"])
     if begin + n + len(END) > window.size:
@@ -339,6 +353,7 @@ def read_archives(files: DataFrame, payloads: bool = True) -> DataFrame:
                             rows.append({"path": path, "offset": at, "length": length, "gap": why})
                         else:
                             rows.append(_row(path, found, payloads))
+                            held += len(found.head.get("warc-target-uri", ""))
                             held += len(found.payload) if payloads else 0
                         if len(rows) >= 2000 or held >= 16 << 20:
                             yield pa.RecordBatch.from_pylist(rows, _ARROW)

@@ -37,6 +37,16 @@ def test_round_trip(spark, compress):
     assert {r.url for r in rows if r.page_id == 1} == {"u%0D%0AEvil: 1"}
 
 
+@pytest.mark.parametrize("compress", [True, False])
+def test_urls_of_any_length(spark, compress):
+    urls = {1: "data:" + "x" * 3_000_000, 2: "data:" + "\n" * 1_000_000, 3: "u3"}
+    pages = spark.createDataFrame([(i, u, LONG, "x") for i, u in urls.items()], SCHEMA)
+    rows = warc.read_archives(warc.write_archives(pages, scratch_path(spark, "warc-url"), compress)).collect()
+    assert sorted((r.page_id, r.record_type, r.refers_to) for r in rows) == [
+        (1, "response", None), (2, "revisit", 1), (3, "revisit", 1)]
+    assert {r.page_id: r.url for r in rows} == {i: u.replace("\n", "%0A") for i, u in urls.items()}
+
+
 def test_empty_table(spark):
     pages = spark.createDataFrame([], SCHEMA)
     assert warc.archive_table(pages).count() == 0
