@@ -245,11 +245,12 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
     included; a null doc_id is kept, and a component of null ids only has a null component_id. Empty
     input gives no rows. Only doc_id and text are read, so other columns may have any names.
     """
-    return _decided(spread(docs.select("doc_id", "text")), k, percent).drop("file", "row")
+    return _decided(spread(docs.select("doc_id", "text")), k, percent).drop("file", "row", "label")
 
 
 def _decided(docs: DataFrame, k: int, percent: int) -> DataFrame:
-    """``near_duplicates`` with the rows' locators, where ``docs`` has them."""
+    """``near_duplicates`` with the rows' locators, where ``docs`` has them, and the component's label,
+    null for documents without words."""
     ship_code(docs.sparkSession)
     cut = stage(prefixes(docs, k, percent), "prefixes")
     full = cut.filter("n > 0")
@@ -345,7 +346,7 @@ def _decided(docs: DataFrame, k: int, percent: int) -> DataFrame:
     )
     members = classes.join(final, "c").select("c", "doc_id", "label")
     smallest = members.groupBy("label").agg(F.min("doc_id").alias("component_id"))
-    by_class = members.join(smallest, "label").select(F.col("c").alias("class_c"), "component_id")
+    by_class = members.join(smallest, "label").select(F.col("c").alias("class_c"), "component_id", "label")
     return (
         cut.select("doc_id", "file", "row", "n", "c")
         .join(by_class, (F.col("c") == F.col("class_c")) & (F.col("n") > 0), "left")
@@ -354,21 +355,31 @@ def _decided(docs: DataFrame, k: int, percent: int) -> DataFrame:
             F.col("n").cast("long").alias("n_shingles"),
             F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
             .alias("component_id"),
+            "label",
         )
     )
 
 
 def one_per_group(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
-    """The documents that stay: of each component the rows with the smallest doc_id.
+    """The documents that stay: of each component exactly one row, that with the smallest doc_id,
+    null ids last, then the first locator.
 
-    Columns are those of ``docs``. Documents without words all stay. Repeated rows of the kept
-    doc_id stay together (exact copies are another operator's task); rows with a null id stay only
-    where all ids of their component are null.
+    Columns are those of ``docs``. Documents without words all stay.
     """
     rows = located(docs)
-    gone = stage(
+    members = stage(
         _decided(rows.select("doc_id", "text", "__file", "__row"), k, percent)
-        .filter("not (doc_id <=> component_id)")
+        .filter("label is not null").select("label", "doc_id", "file", "row"),
+        "members",
+    )
+    order = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "file", "row")
+    keep = (
+        members.groupBy(F.col("label").alias("of")).agg(F.count("*").alias("size"), F.min(order).alias("keep"))
+        .filter("size > 1").select("of", "keep")
+    )
+    gone = stage(
+        sized_join(members, keep, [F.col("label") == F.col("of")], "inner")
+        .filter("not (file = keep.file and row = keep.row)")
         .select(F.col("file").alias("__at"), F.col("row").alias("__nth")),
         "dropped",
     )

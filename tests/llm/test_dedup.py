@@ -116,6 +116,18 @@ def test_near_groups_with_odd_rows(documents):
     assert jaccard.near_duplicates(documents([]), 3, 80).count() == 0
 
 
+def test_one_row_per_group_whatever_the_ids(documents):
+    text = "a b c d e f g h i j k l"
+    rows = [(None, text), (None, text + " m"), (None, None)]
+    rows += [(4, f"w {text} {end}") for end in ("x", "y", "z")] + [(7, "p q r s"), (7, "p q r s")]
+    stay = jaccard.one_per_group(documents(rows), 3, 60).collect()
+    assert sorted((r.doc_id for r in stay if r.text and r.text.startswith("p"))) == [7]
+    assert len([r for r in stay if r.text and not r.text.startswith("p")]) == 1  # one linked group
+    assert [r.doc_id for r in stay if r.text is None] == [None]
+    only = jaccard.one_per_group(documents(rows[:3]), 3, 80).collect()
+    assert sorted((r.text for r in only), key=str) in ([None, text], [None, text + " m"])
+
+
 def test_shingles_equal_plain_sets():
     rng = random.Random(2)
     texts = [
