@@ -2,8 +2,9 @@
 
 Everything is column expressions over the row, so no text is shuffled and no Python runs.
 
-Battery. Every run of 20 or more key characters is a candidate. Its encoding is inferred from its
-characters (decimal, hexadecimal, base 32, base 62, base 64), and three tests ask whether it
+Battery. Every run of 20 or more key characters is a candidate, and so are the parts of that length
+between its separators. The encoding is inferred from the kinds of characters present (decimal,
+hexadecimal, base 32, letters, base 36, base 62, base 64), and three tests ask whether it
 looks like uniform symbols of that alphabet: chi-squared on the symbol counts, the runs test on symbols
 below and above the alphabet's middle, and the serial correlation of neighbouring symbols. A candidate
 that any of them rejects (Bonferroni over the three, at ``REJECT``) is not random.
@@ -35,6 +36,20 @@ HEX = r"[0-9a-f]{24,}"
 KINDS = ("assign", "access", "hex", "random")
 CANDIDATE = r"[A-Za-z0-9+/_-]{20,}={0,2}"
 
+
+def _part(inner: str, separators: str, ending: str = "") -> str:
+    """Whole runs of 20 or more characters with a separator on at least one side."""
+    run = f"[{inner}]{{20,}}+{ending}"
+    return f"(?<=[{separators}]){run}|(?<![A-Za-z0-9+/_-]){run}(?=[{separators}])"
+
+
+#: Parts of a candidate, with a character each must have: so no part comes twice.
+PARTS = (
+    (_part("A-Za-z0-9", "+/_-"), ""),
+    (_part("A-Za-z0-9_-", "+/"), "[_-]"),
+    (_part("A-Za-z0-9+/", "_-", "={0,2}"), "[+/]"),
+)
+
 REJECT = 1e-3  # of the battery
 FALSE_DISCOVERIES = 0.01
 BINS, LAST_BIN = 50, 15_000
@@ -47,7 +62,13 @@ ENCODINGS = (
     ("[0-9]+", "0123456789"),
     ("[0-9a-f]+", "0123456789abcdef"),
     ("[0-9A-F]+", "0123456789ABCDEF"),
+    ("[A-Z]+", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"),
+    ("[a-z]+", "abcdefghijklmnopqrstuvwxyz"),
     ("[A-Z2-7]+", "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"),
+    ("[a-z2-7]+", "abcdefghijklmnopqrstuvwxyz234567"),
+    ("[A-Z0-9]+", "ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789"),
+    ("[a-z0-9]+", "abcdefghijklmnopqrstuvwxyz0123456789"),
+    ("[A-Za-z]+", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz"),
     ("[A-Za-z0-9]+", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"),
     (".*", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"),
 )
@@ -250,7 +271,11 @@ def candidates(text: Column) -> Column:
             ),
         )
 
-    return F.transform(matches(text, CANDIDATE), judged).cast(_FOUND)
+    found = [matches(text, CANDIDATE)]
+    for pattern, needed in PARTS:
+        hits = matches(text, pattern)
+        found.append(F.filter(hits, lambda m: m["value"].rlike(needed)) if needed else hits)  # noqa: B023
+    return F.transform(F.concat(*found), judged).cast(_FOUND)
 
 
 def discovery_bins(found: DataFrame) -> dict[int, int]:
@@ -282,7 +307,8 @@ def _joined(spans: Column) -> Column:
 def secret_spans(docs: DataFrame) -> DataFrame:
     """Per document: doc_id, base and spans (arrays of start, kind, end; kinds numbered as ``KINDS``).
 
-    ``spans`` has the base spans and the random ones that lie in no base span. A null or empty text
+    ``spans`` has the base spans and the random ones that lie in no base span and no longer random
+    one. A null or empty text
     has none. Every row gets a row, repeated ids and null ids too; a repeated row counts as a candidate
     as often as it occurs. Empty input gives no rows. Only doc_id and text are read.
     """
@@ -298,11 +324,15 @@ def secret_spans(docs: DataFrame) -> DataFrame:
         inside = F.exists("base", lambda b: (b["start"] <= c["start"]) & (c["end"] <= b["end"]))
         return c["random"] & (c["bin"] >= F.element_at(bars, c["lengths"] + 1)) & ~inside
 
+    def within(c: Column, d: Column) -> Column:
+        return (d["start"] <= c["start"]) & (c["end"] <= d["end"]) & (c["end"] - c["start"] < d["end"] - d["start"])
+
+    passed = found.select("doc_id", "base", F.filter("found", passes).alias("passed"))
     random = F.transform(
-        F.filter("found", passes),
+        F.filter("passed", lambda c: ~F.exists("passed", lambda d: within(c, d))),
         lambda c: F.struct(c["start"].alias("start"), F.lit(3).alias("kind"), c["end"].alias("end")),
     ).cast(_SPANS)
-    return found.select("doc_id", "base", F.array_sort(F.concat("base", random)).alias("spans"))
+    return passed.select("doc_id", "base", F.array_sort(F.concat("base", random)).alias("spans"))
 
 
 def secret_table(docs: DataFrame) -> DataFrame:

@@ -112,6 +112,31 @@ def test_keys_found_words_left_alone(documents):
     assert got[300].spans == "hex:0:24"  # a span inside a base span is not repeated
 
 
+def test_uniform_keys_of_any_alphabet_pass(spark):
+    lower, upper, digits = "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789"
+    rng, n = random.Random(11), 100
+    kinds = [lower + digits, upper + digits, lower + "234567", upper + "234567", lower, upper, lower + upper]
+    values = [
+        (i, "".join(rng.choices(letters, k=size)))
+        for i, letters in enumerate([*kinds, lower + upper + digits]) for size in (32, 48, 64, 100) for _ in range(n)
+    ]
+    table = spark.createDataFrame(values, "i int, v string")
+    passed = table.groupBy("i", F.length("v").alias("size")).agg(F.sum(secrets._battery(F.col("v"))["random"].cast("int")).alias("k"))
+    assert all(r.k >= 0.95 * n for r in passed.collect())
+
+
+def test_keys_between_separators(documents):
+    rng = random.Random(4)
+    letters = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789"
+    path = "/static/assets/download/file/"
+    rows = [(i, f"see {path}{''.join(rng.choices(letters, k=40))} ok") for i in range(30)]
+    rows += [(100 + i, "k_" + "".join(rng.choices(letters[:26] + letters[52:], k=48))) for i in range(30)]
+    got = {r.doc_id: r for r in secrets.secret_table(documents(rows)).collect()}
+    end = 4 + len(path) + 40
+    assert sum(any(s.endswith(f":{end}") for s in got[i].spans.split(",")) for i in range(30)) >= 27
+    assert sum(got[100 + i].n_random == 1 for i in range(30)) >= 27
+
+
 def test_empty_table(documents):
     assert secrets.secret_table(documents([])).count() == 0
 
