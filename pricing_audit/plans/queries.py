@@ -603,10 +603,11 @@ def index_refresh_delta(spark, sf):
 @query
 def search_refreshed(spark, sf):
     """The index of an earlier state, brought up to date, then searched."""
-    now = _sections(spark, sf).select("doc_id", "text", "lang", "source").filter("source <> 'src4'")
+    now = _sections(spark, sf).select("doc_id", "text", "lang", "source")
     before = now.filter(F.col("source") != "src3").withColumn(
         "text", F.when(F.col("lang") == "fr", F.concat(F.lit("old "), F.col("text")))
         .otherwise(F.col("text")))
+    now = now.filter("source <> 'src4'")
     index = search.build_index(before)
     changes, fresh = search.index_delta(now, index)
     return search.search(search.apply_delta(index, changes, fresh), _questions(spark, sf), 10)

@@ -5,6 +5,7 @@ from conftest import SF_DIR
 from oracle_check import compare, connect
 
 import __spark_entry__ as spark_entry
+from pricing_audit.plans import queries
 from pricing_audit.plans.oracle import ORACLE
 from pricing_audit.plans.queries import QUERIES
 from pricing_audit.sources import testdata
@@ -48,3 +49,10 @@ def test_derived_counts(spark):
     extracted = testdata.extracted_prices(spark, SF_DIR)
     assert extracted.count() == 4488 + 3828
     assert testdata.truth_prices(extracted).count() == 4125
+
+
+def test_refreshed_search_removes_documents(spark, monkeypatch):
+    kept, delta = [], queries.search.index_delta
+    monkeypatch.setattr(queries.search, "index_delta", lambda *a: kept.append(delta(*a)) or kept[-1])
+    QUERIES["search_refreshed"](spark, SF_DIR)
+    assert {r.change for r in kept[0][0].select("change").distinct().collect()} == {"NEW", "CHANGED", "REMOVED"}
