@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact_stream, jaccard, lm, mixing, packing, quality, secrets, token_files, vectors, warc
+from . import (
+    exact_stream, jaccard, lm, mixing, packing, periodic, quality, secrets, token_files, vectors, warc,
+)
 from .oracle import ORACLE as ORACLE
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -58,6 +60,10 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.archive_table(_table(spark, sf_dir, "pages"))
 
 
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic.periodic_runs(_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_secret_scan": op1_secret_scan,
     "op2_quality": op2_quality,
@@ -69,4 +75,5 @@ QUERIES: dict[str, Query] = {
     "op8_mixing": op8_mixing,
     "op9_packing": op9_packing,
     "op10_warc": op10_warc,
+    "op11_periodic_runs": op11_periodic_runs,
 }
