@@ -9,6 +9,7 @@ import pytest
 from conftest import SF_DIR
 from pricing_audit.llm import periodic
 from pricing_audit.llm.queries import QUERIES
+from tables import documents  # noqa: F401
 
 
 def plain_runs(w):
