@@ -81,5 +81,43 @@ SELECT page_id, strlen(payload) AS payload_bytes, sha256(payload) AS payload_dig
        CASE WHEN page_id = first_id THEN 'response' ELSE 'revisit' END AS record_type,
        CASE WHEN page_id <> first_id THEN first_id END AS refers_to
 FROM firsts
+""",
+    "op12_line_rules": r"""
+WITH texts AS (
+    SELECT doc_id, source, coalesce(text, '') AS t,
+           list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda w: w <> '') AS w,
+           list_filter(string_split(coalesce(text, ''), chr(10)),
+                       lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines
+    FROM documents
+), windows AS (
+    SELECT doc_id, unnest(range(1, len(w) - 1)) AS i,
+           unnest(list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])) AS g
+    FROM texts
+), repeated AS (
+    SELECT doc_id, i, lag(i) OVER (PARTITION BY doc_id ORDER BY i) AS last
+    FROM (SELECT *, count(*) OVER (PARTITION BY doc_id, g) AS n FROM windows) WHERE n > 1
+), covered AS (
+    SELECT doc_id, CAST(sum(least(3, i - coalesce(last, i - 3))) AS BIGINT) AS n FROM repeated GROUP BY doc_id
+), lines AS (
+    SELECT doc_id, source, t, translate(trim(regexp_replace(line, '[\x20\x09-\x0D]+', ' ', 'g')),
+        'ABCDEFGHIJKLMNOPQRSTUVWXYZ123456789', 'abcdefghijklmnopqrstuvwxyz000000000') AS line,
+        len(list_filter(regexp_split_to_array(line, '[\x20\x09-\x0D]+'), lambda w: w <> '')) AS n
+    FROM (SELECT doc_id, source, t, unnest(lines) AS line FROM texts)
+), frequent AS (
+    SELECT source, line FROM lines GROUP BY source, line HAVING count(DISTINCT t) > 10
+), lost AS (
+    SELECT doc_id, CAST(sum(n) AS BIGINT) AS n FROM lines JOIN frequent
+    ON lines.source IS NOT DISTINCT FROM frequent.source AND lines.line = frequent.line GROUP BY doc_id
+), counted AS (
+    SELECT texts.doc_id, CAST(len(w) AS BIGINT) AS n_words,
+           CAST(coalesce(length(array_to_string(w, '')), 0) AS BIGINT) AS word_chars,
+           CAST(length(regexp_replace(t, '[^#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
+           CAST(len(lines) - len(list_distinct(lines)) AS BIGINT) AS n_dup_lines,
+           coalesce(covered.n, 0) AS n_repeat_words, coalesce(lost.n, 0) AS n_removed_words
+    FROM texts LEFT JOIN covered ON texts.doc_id = covered.doc_id LEFT JOIN lost ON texts.doc_id = lost.doc_id
+)
+SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
+       n_words >= 50 AND 100 * n_repeat_words <= 50 * n_words AND 2 * n_removed_words <= n_words AS kept
+FROM counted
 """,
 }

@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from . import (
-    exact_stream, jaccard, lm, mixing, packing, periodic, quality, secrets, token_files, vectors, warc,
+    exact_stream, jaccard, lm, mixing, packing, periodic, quality, rules, secrets,
+    token_files, vectors, warc,
 )
 from .oracle import ORACLE as ORACLE
 
@@ -64,6 +65,10 @@ def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return periodic.periodic_runs(_table(spark, sf_dir, "documents"))
 
 
+def op12_line_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rules.judge_documents(_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_secret_scan": op1_secret_scan,
     "op2_quality": op2_quality,
@@ -76,4 +81,5 @@ QUERIES: dict[str, Query] = {
     "op9_packing": op9_packing,
     "op10_warc": op10_warc,
     "op11_periodic_runs": op11_periodic_runs,
+    "op12_line_rules": op12_line_rules,
 }
