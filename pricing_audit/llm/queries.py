@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from . import (
-    exact_stream, jaccard, lm, mixing, packing, periodic, quality, rules, secrets,
-    token_files, vectors, warc,
+    conversations, exact_stream, jaccard, lm, mixing, packing, periodic, quality, rules,
+    secrets, token_files, vectors, warc,
 )
 from .oracle import ORACLE as ORACLE
 
@@ -69,6 +69,10 @@ def op12_line_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rules.judge_documents(_table(spark, sf_dir, "documents"))
 
 
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversations.repair_table(_table(spark, sf_dir, "conversations"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_secret_scan": op1_secret_scan,
     "op2_quality": op2_quality,
@@ -82,4 +86,5 @@ QUERIES: dict[str, Query] = {
     "op10_warc": op10_warc,
     "op11_periodic_runs": op11_periodic_runs,
     "op12_line_rules": op12_line_rules,
+    "op13_conversation_repair": op13_conversation_repair,
 }
