@@ -8,10 +8,11 @@ verified. The bitmap has a bit for each hash bucket of shingles that holds an od
 members; bits that differ between two sets each stand for a shingle that only one of them has, so
 their count limits what the sets can share and never rejects a pair that links.
 
-Links are looked for in two rounds, so that a large group of near copies never produces all its
-pairs. First every group meets one hub per shingle, which costs one pair per posting. Then only pairs
-whose ends are still in different components are built. No link between different components can be
-lost: a pair that is skipped has both ends in one component already.
+Links are looked for in two rounds, so that a large group of near copies does not produce all its
+pairs. First every group meets one hub per shingle, which costs one pair per posting; the hub is the
+set whose shingles are the most frequent on average, which among changed copies is the text they were
+made from. Then only pairs whose ends are still in different components are built. No link between
+different components can be lost: a pair that is skipped has both ends in one component already.
 """
 
 from __future__ import annotations
@@ -33,10 +34,10 @@ from .shingles import shingle_sets
 # Shingles are ranked by how full their bucket is; the table's size does not depend on the data.
 BUCKET_BITS = 22
 SLICES = 64
-BITMAP_WORDS, FOLDED_WORDS = 8, 4
+BITMAP_WORDS = 16
 WIDE_WORDS, WIDE_FROM = 64, 1000  # larger sets fill a small bitmap and have a wide one as well
 PREFIX_SCHEMA = (
-    "doc_id long, file string, row long, n int, c binary, g long, bits array<bigint>,"
+    "doc_id long, file string, row long, n int, c binary, g long, fill float, bits array<bigint>,"
     " wide array<bigint>, prefix array<bigint>"
 )
 SET_BYTES = 8 << 20  # of sets sent on at once
@@ -103,20 +104,22 @@ def bucket_counts(docs: DataFrame, k: int) -> np.ndarray:
 
 
 def prefixes(docs: DataFrame, k: int, percent: int) -> DataFrame:
-    """Per document: set size, class key, group hash (of size and prefix), bitmap, and the
-    shingles of its prefix, rarest first. Any fixed order of the shingles is right; this one keeps frequent passages out of
-    prefixes.
+    """Per document: set size, class key, group hash (of size and prefix), fill, bitmap, and the
+    shingles of its prefix, rarest first. Any fixed order of the shingles is right; this one keeps
+    frequent passages out of prefixes. ``fill`` says how frequent the set's shingles are on average:
+    a text that many others were changed from has more of it than any of them.
     """
     spark = docs.sparkSession
     table = spark.sparkContext.broadcast(bucket_counts(docs, k))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sizes, classes, groups, heads, maps, wide = [], [], [], [], [], []
+            sizes, classes, groups, fills, heads, maps, wide = [], [], [], [], [], [], []
             for members in shingle_sets(binary_values(batch, "text"), k):
                 n = len(members)
                 length = n - (percent * n + 99) // 100 + 1 if n else 0
                 filled = table.value[_bucket(members)]
+                fills.append(float(np.log2(filled + 1.0).mean()) if n else 0.0)
                 if n > 8 * length:  # only the smallest have to be put in order
                     edge = np.partition(filled, length - 1)[length - 1]
                     keep = np.flatnonzero(filled <= edge)
@@ -142,6 +145,7 @@ def prefixes(docs: DataFrame, k: int, percent: int) -> DataFrame:
                     "n": pa.array(sizes, pa.int32()),
                     "c": pa.array(classes, pa.binary()),
                     "g": pa.array(groups, pa.int64()),
+                    "fill": pa.array(fills, pa.float32()),
                     "bits": pa.ListArray.from_arrays(pa.array(each), pa.array(words)),
                     "wide": pa.array(wide, pa.list_(pa.int64())),
                     "prefix": pa.ListArray.from_arrays(pa.array(at), pa.array(flat)),
@@ -227,14 +231,25 @@ def _apart_fits(percent: int, apart: str) -> str:
     return f"coalesce((100 + {percent}) * (n1 + n2 - ({apart})) >= {2 * percent} * (n1 + n2), true)"
 
 
-def _bitmaps_fit(percent: int) -> str:
+def _small_fits(percent: int) -> str:
     small = " + ".join(f"bit_count(bits1[{i}] ^ bits2[{i}])" for i in range(BITMAP_WORDS))
+    return _apart_fits(percent, small)
+
+
+def _bitmaps_fit(percent: int) -> str:
     wide = "aggregate(zip_with(wide1, wide2, (x, y) -> bit_count(x ^ y)), 0, (a, x) -> a + x)"
-    return f"{_apart_fits(percent, small)} and {_apart_fits(percent, wide)}"
+    return f"{_small_fits(percent)} and {_apart_fits(percent, wide)}"
 
 
-def _folded_fit(percent: int) -> str:
-    return _apart_fits(percent, " + ".join(f"bit_count(f{i}1 ^ f{i}2)" for i in range(FOLDED_WORDS)))
+def open_pairs(listed: DataFrame, percent: int) -> DataFrame:
+    """(g1, g2) of groups that meet in a posting list, are not wholly in one component and may link."""
+    fields = [x for x in listed.columns if x != "s"]
+    one, two = (listed.select("s", *[F.col(x).alias(f"{x}{i}") for x in fields]) for i in (1, 2))
+    meet = (
+        (F.col("g1") < F.col("g2")) & F.expr("not (lo1 = hi1 and lo1 = lo2 and lo2 = hi2)")
+        & F.expr(_sizes_fit(percent)) & F.expr(_places_fit(percent)) & F.expr(_small_fits(percent))
+    )
+    return one.join(two, "s").filter(meet).select("g1", "g2")
 
 
 def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
@@ -261,13 +276,14 @@ def _decided(docs: DataFrame, k: int, percent: int) -> DataFrame:
         ),
         "classes",
     )
-    groups = full.groupBy("g").agg(F.first("prefix").alias("prefix"))
-    postings = groups.select("g", F.posexplode("prefix").alias("p", "s"))
+    groups = full.groupBy("g").agg(F.first("prefix").alias("prefix"), F.max("fill").alias("fill"))
+    postings = groups.select("g", "fill", F.posexplode("prefix").alias("p", "s"))
     hubs = (
-        postings.groupBy("s").agg(F.count("*").alias("lists"), F.min("g").alias("hub"))
+        postings.groupBy("s")
+        .agg(F.count("*").alias("lists"), F.max(F.struct("fill", "g"))["g"].alias("hub"))
         .filter("lists > 1").select("s", "hub")
     )
-    shared = stage(postings.join(hubs, "s"), "postings")
+    shared = stage(postings.select("g", "p", "s").join(hubs, "s"), "postings")
 
     def ends(table: DataFrame, nth: int, *names: str) -> DataFrame:
         return table.select(*[F.col(x).alias(f"{x}{nth}") for x in names])
@@ -309,23 +325,17 @@ def _decided(docs: DataFrame, k: int, percent: int) -> DataFrame:
     only = F.when(F.min("c") == F.max("c"), F.first("bits"))  # a bitmap speaks for one class
     spans = labelled.groupBy("g").agg(
         F.first("n").alias("n"), F.min(number).alias("lo"), F.max(number).alias("hi"), only.alias("bits")
-    ).select(
-        "g", "n", "lo", "hi",
-        *[(F.col("bits")[i].bitwiseXOR(F.col("bits")[i + FOLDED_WORDS])).alias(f"f{i}") for i in range(FOLDED_WORDS)],
     )
-    listed = shared.select("s", "g", "p").join(spans, "g")
+    listed = shared.select("s", "g", "p").join(spans.drop("bits"), "g")
     mixed = (
         listed.groupBy("s").agg(F.min("lo").alias("least"), F.max("hi").alias("most"))
         .filter("least <> most").select("s")
     )
-    listed = stage(listed.join(mixed, "s", "left_semi"), "open")
-    fields = [x for x in listed.columns if x != "s"]
-    one, two = (listed.select("s", *[F.col(x).alias(f"{x}{i}") for x in fields]) for i in (1, 2))
-    meet = (
-        (F.col("g1") < F.col("g2")) & F.expr("not (lo1 = hi1 and lo1 = lo2 and lo2 = hi2)")
-        & F.expr(_sizes_fit(percent)) & F.expr(_places_fit(percent)) & F.expr(_folded_fit(percent))
+    # Only lists that are still open carry bitmaps.
+    listed = stage(
+        listed.join(mixed, "s", "left_semi").join(spans.select("g", "bits"), "g"), "open"
     )
-    group_pairs = one.join(two, "s").filter(meet).select("g1", "g2").distinct()
+    group_pairs = open_pairs(listed, percent).distinct()
     one, two = (ends(labelled, i, "g", *about, "label") for i in (1, 2))
     across = group_pairs.join(one, "g1").join(two, "g2")
     inside = one.join(two, F.col("g1") == F.col("g2")).filter("c1 < c2")

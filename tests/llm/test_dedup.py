@@ -149,3 +149,25 @@ def test_components(spark):
     got = {r.node: r.label for r in components.connected_components(edges).collect()}
     assert got == {**{i: 0 for i in range(61)}, **{100 + i: 100 for i in range(40)}, 200: 200, 201: 200}
     assert components.connected_components(edges.limit(0)).count() == 0
+
+
+def test_changed_copies_of_one_text_open_no_pairs(spark, documents, monkeypatch):
+    opened = []
+    real = jaccard.open_pairs
+
+    def counted(listed, percent):
+        pairs = real(listed, percent)
+        opened.append(pairs.count())
+        return pairs
+
+    monkeypatch.setattr(jaccard, "open_pairs", counted)
+    rng = random.Random(7)
+    base = [f"w{i}" for i in range(200)]
+    rows = [(900, " ".join(base))]
+    for i in range(400):
+        w = list(base)
+        for p in rng.sample(range(200), 3):
+            w[p] = f"x{rng.randrange(10**9)}"
+        rows.append((i, " ".join(w)))
+    found = jaccard.near_duplicates(documents(rows), 5, 80).collect()
+    assert {r.component_id for r in found} == {0} and opened == [0]
