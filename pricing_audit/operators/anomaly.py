@@ -16,6 +16,7 @@ from ..functions.domain import (
 )
 from ..functions.numbers import exact_avg, exact_sum, round_half
 from .joins import fits_broadcast, lookup_join
+from .ranges import match_boxes
 
 RATE_KEYS = ("customer_name", "service_type", "temperature", "container_size")
 
@@ -50,25 +51,33 @@ def match_rates(
     how: str = "left",
     single: bool = False,
     limit: int | None = None,
+    cells: bool = False,
 ) -> DataFrame:
     """Attach the rate valid for each transaction's keys, quantity and date (closed ranges).
 
     Overlapping contracts give one row each. With ``single`` only the latest contract is kept; ties
-    go to the smallest contract id. ``date=None`` ignores validity dates.
+    go to the smallest contract id. ``date=None`` ignores validity dates. ``cells`` looks rates up by
+    dyadic cells of their ranges, for cards with very many versions per key; it takes whole
+    quantities.
     """
     if single:
-        return _match_single(billing, rates, keys, qty, date, how, limit)
+        return _match_single(billing, rates, keys, qty, date, how, limit, cells)
+    if cells:
+        ranges = [(qty, "volume_tier_min", "volume_tier_max")]
+        if date is not None:
+            ranges.append((date, "contract_start", "contract_end"))
+        return match_boxes(billing, _rate_side(rates, keys), keys, ranges, how)
     condition = F.col(qty).between(F.col("volume_tier_min"), F.col("volume_tier_max"))
     if date is not None:
         condition &= F.col(date).between(F.col("contract_start"), F.col("contract_end"))
     return lookup_join(billing, _rate_side(rates, keys), keys, how, condition, limit)
 
 
-def _match_single(billing, rates, keys, qty, date, how, limit):
+def _match_single(billing, rates, keys, qty, date, how, limit, cells):
     side = _rate_side(rates, keys)
-    if fits_broadcast(side, limit):
+    if not cells and fits_broadcast(side, limit):
         return _first_candidate(billing, side, keys, qty, date, how)
-    return _choice_per_signature(billing, rates, keys, qty, date, how, limit)
+    return _choice_per_signature(billing, rates, keys, qty, date, how, limit, cells)
 
 
 def _first_candidate(billing, side, keys, qty, date, how):
@@ -94,7 +103,7 @@ def _first_candidate(billing, side, keys, qty, date, how):
     )
 
 
-def _choice_per_signature(billing, rates, keys, qty, date, how, limit):
+def _choice_per_signature(billing, rates, keys, qty, date, how, limit, cells):
     """Choose once per distinct (keys, quantity, date), then attach the choice to all copies.
 
     Transactions need no unique id for this, and a combination shared by a third of all rows is
@@ -102,7 +111,7 @@ def _choice_per_signature(billing, rates, keys, qty, date, how, limit):
     """
     signature = [*keys, qty] + ([date] if date else [])
     asked = billing.select(*signature).distinct()
-    matched = match_rates(asked, rates, keys, qty, date, "inner", limit=limit)
+    matched = match_rates(asked, rates, keys, qty, date, "inner", limit=limit, cells=cells)
     ranked = F.struct((-F.unix_date("contract_start")).alias("recency"), *CONTRACT_COLUMNS)
     chosen = matched.groupBy(*signature).agg(F.min(ranked).alias("best")).select(
         *signature, *[F.col(f"best.{c}").alias(c) for c in CONTRACT_COLUMNS]

@@ -907,4 +907,35 @@ ORACLE["contract_methods_run"] = "\nUNION ALL\n".join(
         ("SELECT * FROM (", ")")
     ) for tag in ("AI_PARSE+AI_EXTRACT", *(f"AI_PARSE+AI_COMPLETE_{m}" for m in MODELS[:2])))
 
+VERSIONS = """
+WITH amendments AS (
+  SELECT concat('AM', o_orderkey) AS contract_id, c_mktsegment AS customer_name,
+         o_orderstatus AS service_type, CAST(o_orderdate AS DATE) AS contract_start,
+         CASE WHEN o_orderkey % 500 = 0 THEN 1 ELSE o_custkey % 50 + 1 END AS lo,
+         CASE WHEN o_orderkey % 500 = 0 THEN 99999 ELSE o_custkey % 50 + 1 END AS hi,
+         CAST(CAST(o_orderdate AS DATE) + CAST(CASE WHEN o_orderkey % 500 = 0 THEN 400
+              ELSE 7 * (1 + o_orderkey % 3) END AS INT) AS DATE) AS contract_end,
+         CAST(round(CAST(o_totalprice AS DECIMAL(18,4)) / 1000, 2) AS DOUBLE) AS contract_unit_price
+  FROM orders JOIN customer ON o_custkey = c_custkey
+), shipments AS (
+  SELECT concat(l_orderkey, '-', l_linenumber, '-', l_partkey, '-', l_suppkey) AS txn_id,
+         c_mktsegment AS customer_name, l_linestatus AS service_type,
+         CAST(l_quantity AS INT) AS quantity, CAST(l_shipdate AS DATE) AS txn_date
+  FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey
+), matched AS (
+  SELECT s.txn_id, a.contract_id, a.contract_unit_price, a.contract_start
+  FROM shipments s LEFT JOIN amendments a ON s.customer_name = a.customer_name
+   AND s.service_type = a.service_type AND s.quantity BETWEEN a.lo AND a.hi
+   AND s.txn_date BETWEEN a.contract_start AND a.contract_end
+)"""
+
+ORACLE["rates_of_many_versions"] = VERSIONS + """
+SELECT txn_id, contract_id, contract_unit_price FROM matched"""
+
+ORACLE["latest_of_many_versions"] = VERSIONS + """
+SELECT txn_id, contract_id, contract_unit_price, contract_start FROM (
+  SELECT *, row_number() OVER (PARTITION BY txn_id ORDER BY contract_start DESC, contract_id) AS nth
+  FROM matched
+) WHERE nth = 1"""
+
 ORACLE = {name: re.sub(r"\n\s*\n", "\n", sql).strip() for name, sql in ORACLE.items()}

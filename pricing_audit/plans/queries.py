@@ -120,6 +120,27 @@ def rate_history(spark, sf):
     return anomaly.rate_history(testdata.rate_card(spark, sf))
 
 
+VERSION_KEYS = ("customer_name", "service_type")
+
+
+@query
+def rates_of_many_versions(spark, sf):
+    """Shipments with every amendment that holds for them, by cells of the ranges."""
+    matched = anomaly.match_rates(
+        testdata.shipments(spark, sf), testdata.amendments(spark, sf), VERSION_KEYS, cells=True
+    )
+    return matched.select("txn_id", "contract_id", "contract_unit_price")
+
+
+@query
+def latest_of_many_versions(spark, sf):
+    """Each shipment with its latest amendment."""
+    matched = anomaly.match_rates(
+        testdata.shipments(spark, sf), testdata.amendments(spark, sf), VERSION_KEYS, single=True, cells=True
+    )
+    return matched.select("txn_id", "contract_id", "contract_unit_price", "contract_start")
+
+
 # --- metric layer --------------------------------------------------------------------------------
 
 @query

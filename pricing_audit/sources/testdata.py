@@ -390,3 +390,36 @@ def contract_documents(part: DataFrame) -> DataFrame:
         F.col("p_type").alias("customer_id"),
         text.alias("text"),
     )
+
+
+def amendments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A card with very many versions per key: every order amends the price of its customer's segment
+    and status for one quantity and one to three weeks, every 500th for all quantities and 400 days."""
+    wide = F.col("o_orderkey") % 500 == 0
+    only = (F.col("o_custkey") % 50 + 1).cast("int")
+    days = F.when(wide, 400).otherwise(7 * (1 + F.col("o_orderkey") % 3)).cast("int")
+    customers = table(spark, sf_dir, "customer")
+    start = F.col("o_orderdate").cast("date")
+    return (
+        table(spark, sf_dir, "orders").join(customers, F.col("o_custkey") == F.col("c_custkey"))
+        .select(
+            F.concat(F.lit("AM"), F.col("o_orderkey").cast("string")).alias("contract_id"),
+            F.col("c_mktsegment").alias("customer_name"), F.col("o_orderstatus").alias("service_type"),
+            F.when(wide, 1).otherwise(only).alias("volume_tier_min"),
+            F.when(wide, 99999).otherwise(only).alias("volume_tier_max"),
+            F.round(F.col("o_totalprice").cast("decimal(18,4)") / 1000, 2).cast("double").alias("unit_price"),
+            start.alias("effective_date"), F.date_add(start, days).alias("expiry_date"),
+        )
+    )
+
+
+def shipments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Line items as transactions on the keys of ``amendments``."""
+    orders = table(spark, sf_dir, "orders").join(
+        table(spark, sf_dir, "customer"), F.col("o_custkey") == F.col("c_custkey")
+    )
+    return table(spark, sf_dir, "lineitem").join(orders, F.col("l_orderkey") == F.col("o_orderkey")).select(
+        F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey").alias("txn_id"),
+        F.col("c_mktsegment").alias("customer_name"), F.col("l_linestatus").alias("service_type"),
+        F.col("l_quantity").cast("int").alias("quantity"), F.col("l_shipdate").cast("date").alias("txn_date"),
+    )
