@@ -938,4 +938,8 @@ SELECT txn_id, contract_id, contract_unit_price, contract_start FROM (
   FROM matched
 ) WHERE nth = 1"""
 
+ORACLE["vector_ivf_recall"] = """
+SELECT count(*) * least(10, (SELECT count(*) FROM embeddings)) AS exact_results, TRUE AS reached
+FROM embeddings WHERE vec_id % 20 = 0"""
+
 ORACLE = {name: re.sub(r"\n\s*\n", "\n", sql).strip() for name, sql in ORACLE.items()}

@@ -9,7 +9,9 @@ from pyspark.sql import functions as F
 
 from ..functions.labels import customer_from_filename, label_bounds
 from ..functions.numbers import exact_sum
-from ..operators import anomaly, compare, extract, metrics, normalize, pages, runs, search, validate
+from ..operators import (
+    anomaly, compare, extract, ivf, metrics, normalize, pages, runs, search, semantic, validate,
+)
 from ..session import scratch_path
 from ..sources import documents, tables, testdata
 from ..streaming import jobs
@@ -597,6 +599,22 @@ def search_filtered(spark, sf):
     return search.search(index, _questions(spark, sf), 5, {"lang": "en", "source": "src1"})
 
 
+@query
+def semantic_vectors(spark, sf):
+    """The vector of every document by the decomposition of all documents' words."""
+    sections = _sections(spark, sf)
+    return semantic.section_vectors(sections, semantic.fit(sections))
+
+
+@query
+def search_hybrid(spark, sf):
+    """The questions by words and by meaning, fused."""
+    sections = _sections(spark, sf)
+    model = semantic.fit(sections)
+    vectors = tables.stage(semantic.section_vectors(sections, model), "section-vectors")
+    return semantic.hybrid_search(search.build_index(sections), vectors, _questions(spark, sf), model, 10)
+
+
 @query
 def vector_topk(spark, sf):
     """Vectors nearest to the mean vector of each label."""
@@ -607,6 +625,26 @@ def vector_topk(spark, sf):
     return search.vector_topk(vectors, centers, 10)
 
 
+def _twentieth(spark, sf):
+    """Every vector whose id is divisible by 20, as a query."""
+    vectors = testdata.table(spark, sf, "embeddings").filter("vec_id % 20 = 0")
+    return vectors.select(F.col("vec_id").alias("query_id"), "embedding")
+
+
+@query
+def vector_ivf_topk(spark, sf):
+    """The ten nearest of every twentieth vector by the inverted file over all vectors."""
+    index = ivf.build(testdata.table(spark, sf, "embeddings"))
+    return ivf.topk(spark, index, _twentieth(spark, sf), 10)
+
+
+@query
+def vector_ivf_recall(spark, sf):
+    """Whether the inverted file finds nine tenths of the exact results."""
+    exact = search.vector_topk(testdata.table(spark, sf, "embeddings"), _twentieth(spark, sf), 10)
+    return ivf.recall(vector_ivf_topk(spark, sf), exact).select("exact_results", "reached")
+
+
 @query
 def index_refresh_delta(spark, sf):
     """Earlier state: without one source, and with older texts in one language."""

@@ -11,6 +11,10 @@ from pricing_audit.plans.queries import QUERIES
 from pricing_audit.sources import testdata
 
 
+#: Compared with plain numpy in the tests of their operators; SQL has no such decomposition or index.
+WITHOUT_SQL = {"semantic_vectors", "search_hybrid", "vector_ivf_topk"}
+
+
 @pytest.fixture(scope="module")
 def con():
     return connect(SF_DIR)
@@ -19,13 +23,13 @@ def con():
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_equals_sql(spark, con, name):
     got, want = compare(spark, con, SF_DIR, name)
-    assert want is not None, "every query has SQL"
-    assert got == want
+    assert (want is None) == (name in WITHOUT_SQL)
+    assert want is None or got == want
     assert got[1], "the query returns rows"
 
 
 def test_registries_agree():
-    assert set(QUERIES) == set(ORACLE)
+    assert set(QUERIES) == set(ORACLE) | WITHOUT_SQL
     assert set(QUERIES) <= set(spark_entry.queries())
     assert set(spark_entry.oracle_sql()) <= set(spark_entry.queries())
 
