@@ -919,11 +919,11 @@ WITH amendments AS (
   FROM orders JOIN customer ON o_custkey = c_custkey
 ), shipments AS (
   SELECT concat(l_orderkey, '-', l_linenumber, '-', l_partkey, '-', l_suppkey) AS txn_id,
-         c_mktsegment AS customer_name, l_linestatus AS service_type,
+         row_number() OVER () AS line, c_mktsegment AS customer_name, l_linestatus AS service_type,
          CAST(l_quantity AS INT) AS quantity, CAST(l_shipdate AS DATE) AS txn_date
   FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey
 ), matched AS (
-  SELECT s.txn_id, a.contract_id, a.contract_unit_price, a.contract_start
+  SELECT s.txn_id, s.line, a.contract_id, a.contract_unit_price, a.contract_start
   FROM shipments s LEFT JOIN amendments a ON s.customer_name = a.customer_name
    AND s.service_type = a.service_type AND s.quantity BETWEEN a.lo AND a.hi
    AND s.txn_date BETWEEN a.contract_start AND a.contract_end
@@ -934,7 +934,7 @@ SELECT txn_id, contract_id, contract_unit_price FROM matched"""
 
 ORACLE["latest_of_many_versions"] = VERSIONS + """
 SELECT txn_id, contract_id, contract_unit_price, contract_start FROM (
-  SELECT *, row_number() OVER (PARTITION BY txn_id ORDER BY contract_start DESC, contract_id) AS nth
+  SELECT *, row_number() OVER (PARTITION BY line ORDER BY contract_start DESC, contract_id) AS nth
   FROM matched
 ) WHERE nth = 1"""
 
