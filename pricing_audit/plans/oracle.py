@@ -878,6 +878,8 @@ ORACLE["extract_json_null_counts"] = ORACLE["extract_json_rows"].replace(
 ORACLE["search_refreshed"] = bm25(10).replace(
     "FROM documents", "FROM (SELECT * FROM documents WHERE source <> 'src4')")
 
+ORACLE["search_segmented"] = ORACLE["search_refreshed"]
+
 _LINES_OF = """
   SELECT 'price' AS kind, filename, {customer} AS customer_id, p_brand AS name,
        CASE WHEN p_size > 40 THEN 'Griesheim' WHEN p_size > 30 THEN 'Singapore'

@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 from ..functions.labels import customer_from_filename, label_bounds
 from ..functions.numbers import exact_sum
 from ..operators import (
-    anomaly, compare, extract, ivf, metrics, normalize, pages, runs, search, semantic, validate,
+    anomaly, compare, extract, ivf, metrics, normalize, pages, runs, search, segments, semantic,
+    validate,
 )
 from ..session import scratch_path
 from ..sources import documents, tables, testdata
@@ -879,6 +880,29 @@ def _stored_lines(spark, store):
 
 # --- streaming -----------------------------------------------------------------------------------
 
+def _changes(spark, sf):
+    """Four batches of section changes: an earlier state, a source added, texts corrected, a source
+    removed."""
+    now = _sections(spark, sf).select("doc_id", "text", "source", "lang")
+    old = F.when(F.col("lang") == "fr", F.concat(F.lit("old "), F.col("text"))).otherwise(F.col("text"))
+    batches = [
+        now.filter("source <> 'src3'").withColumn("text", old), now.filter("source = 'src3'"),
+        now.filter("lang = 'fr'"), now.filter("source = 'src4'"),
+    ]
+    return [
+        rows.select("doc_id", "text", F.lit(i == 3).alias("removed")) for i, rows in enumerate(batches)
+    ]
+
+
+@query
+def search_segmented(spark, sf):
+    """The index after four batches of changes, searched."""
+    index = segments.SegmentedIndex(spark, scratch_path(spark, "segmented"))
+    for number, changes in enumerate(_changes(spark, sf)):
+        index.apply(changes, number)
+    return search.search(index.index(), _questions(spark, sf), 10)
+
+
 @query
 def stream_pages(spark, sf):
     arriving = testdata.stream(spark, sf, "documents").select(

@@ -17,6 +17,7 @@ from ..operators.anomaly import alerts, billing_anomalies
 from ..operators.joins import lookup_join
 from ..operators.pages import split_pages, uncached
 from ..operators.search import SearchIndex, build_index
+from ..operators.segments import SegmentedIndex
 from ..sources.tables import read_if_exists
 
 
@@ -102,3 +103,16 @@ def load_streamed_index(spark: SparkSession, path: str) -> SearchIndex:
         return kept.drop("batch_id")
 
     return SearchIndex(current(docs), current(spark.read.parquet(f"{path}/postings")))
+
+
+def stream_segments(
+    changes: DataFrame, path: str, checkpoint: str, attributes: tuple[str, ...] = (),
+    order: str | None = None, available_now: bool = True, every: str = "1 hour",
+) -> StreamingQuery:
+    """Arriving changes (doc_id, text, attributes, removed) to a segmented index, which is never older
+    than ``every``. A replayed batch is known by its number and changes nothing."""
+
+    def add(batch: DataFrame, batch_id: int) -> None:
+        SegmentedIndex(batch.sparkSession, path, attributes).apply(batch, batch_id, order=order)
+
+    return _run(changes, add, checkpoint, available_now, every)
