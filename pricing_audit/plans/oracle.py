@@ -450,6 +450,7 @@ ORACLE["split_pages"] = f"""
 WITH {DOCUMENT_PAGES}
 SELECT filename, customer_id, page_index, page_text, total_pages FROM page_rows"""
 ORACLE["stream_pages"] = ORACLE["split_pages"]
+ORACLE["stream_changed_pages"] = ORACLE["split_pages"]
 
 ORACLE["split_html_pages"] = r"""
 WITH no_code AS (

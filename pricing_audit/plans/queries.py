@@ -15,7 +15,7 @@ from ..operators import (
 )
 from ..session import scratch_path
 from ..sources import documents, tables, testdata
-from ..streaming import jobs
+from ..streaming import jobs, versions
 from . import contracts
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -918,6 +918,27 @@ def stream_pages(spark, sf):
     )
 
 
+@query
+def stream_changed_pages(spark, sf):
+    """All documents arrive with an older text where the language is French, then all as they are."""
+    path = scratch_path(spark, "page-versions")
+    docs = testdata.table(spark, sf, "documents").select(
+        F.concat_ws("/", "source", "doc_id").alias("filename"), F.col("lang").alias("customer_id"), "text",
+        "lang",
+    )
+    old = F.when(F.col("lang") == "fr", F.concat(F.lit("old "), "text")).otherwise(F.col("text"))
+    for day, arriving in ((1, docs.withColumn("text", old)), (2, docs)):
+        stamped = arriving.withColumn("modified_at", F.timestamp_seconds(F.lit(86400 * day)))
+        stamped.drop("lang").write.mode("append").parquet(f"{path}/in")
+        stream = spark.readStream.schema(stamped.drop("lang").schema).parquet(f"{path}/in")
+        versions.stream_page_versions(
+            stream, f"{path}/cache", f"{path}/checkpoint", parsed_at=_parsed_at()
+        ).awaitTermination()
+    return versions.current_pages(spark, f"{path}/cache").select(
+        "filename", "customer_id", "page_index", "page_text", "total_pages"
+    )
+
+
 @query
 def stream_anomalies(spark, sf):
     lines = testdata.stream(spark, sf, "lineitem")

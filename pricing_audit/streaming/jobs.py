@@ -11,7 +11,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from ..operators.anomaly import alerts, billing_anomalies
 from ..operators.joins import lookup_join
@@ -23,9 +23,9 @@ from ..sources.tables import read_if_exists
 
 def _run(
     stream: DataFrame, handle: Callable[[DataFrame, int], None], checkpoint: str,
-    available_now: bool, every: str,
+    available_now: bool, every: str, writer: DataStreamWriter | None = None,
 ) -> StreamingQuery:
-    writer = stream.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint)
+    writer = (writer or stream.writeStream).foreachBatch(handle).option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(
         processingTime=every
     )
