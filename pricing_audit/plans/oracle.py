@@ -32,7 +32,7 @@ rate_base AS (
 )"""
 
 RATE_CARD = RATE_BASE + """,
-rate_card AS (
+rate_card AS MATERIALIZED (
   SELECT concat(w.pfx, '-', s.c_mktsegment) AS contract_id, s.c_mktsegment AS customer_name,
          b.service_type, b.temperature, b.container_size,
          t.lo AS volume_tier_min, t.hi AS volume_tier_max,
@@ -104,7 +104,7 @@ anomalies AS (
 )"""
 
 EXTRACTED = RATE_CARD + """,
-extracted AS (
+extracted AS MATERIALIZED (
   SELECT concat(lower(r.customer_name), '.txt') AS filename, m.extraction_method,
          CASE r.customer_name WHEN 'AUTOMOBILE' THEN 'North America' WHEN 'BUILDING' THEN 'Griesheim'
               WHEN 'FURNITURE' THEN 'Singapore' WHEN 'HOUSEHOLD' THEN 'Beijing' ELSE 'Global' END AS region,

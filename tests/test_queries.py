@@ -60,3 +60,12 @@ def test_refreshed_search_removes_documents(spark, monkeypatch):
     monkeypatch.setattr(queries.search, "index_delta", lambda *a: kept.append(delta(*a)) or kept[-1])
     QUERIES["search_refreshed"](spark, SF_DIR)
     assert {r.change for r in kept[0][0].select("change").distinct().collect()} == {"NEW", "CHANGED", "REMOVED"}
+
+
+@pytest.mark.parametrize("name", [
+    "validate_prices", "validation_mismatches", "compare_methods_region", "compare_methods_noregion",
+    "compare_methods_shuffled",
+])
+def test_rows_of_a_larger_table(spark, name):
+    got, want = compare(spark, connect("/root/testdata/sf0.01"), "/root/testdata/sf0.01", name)
+    assert got == want
