@@ -150,6 +150,27 @@ def billing_anomalies(
     )
 
 
+def amendment_feed(
+    billing: DataFrame, rates: DataFrame, amendments: DataFrame, keys: Sequence[str] = RATE_KEYS,
+    **options,
+) -> DataFrame:
+    """What ``amendments`` to ``rates`` change in the anomalies of ``billing``: anomaly rows with
+    ``change``, positive for rows that come and negative for rows that go.
+
+    Only transactions with an amended key are rated again. Added to the anomalies under the old card,
+    the feed gives those under the whole one, in whatever order amendments arrive.
+    """
+    touched = lookup_join(billing, amendments.select(*keys).distinct(), keys, "left_semi")
+    now = rates.unionByName(amendments)
+    before = billing_anomalies(touched, rates, keys=keys, **options).withColumn("change", F.lit(-1))
+    after = billing_anomalies(touched, now, keys=keys, **options).withColumn("change", F.lit(1))
+    # Both sides are partitioned by the rate keys, but adaptive execution may cut them differently: a
+    # shuffle of their own brings equal rows together.
+    both = before.unionByName(after).repartition("txn_id")
+    names = [c for c in both.columns if c != "change"]
+    return both.groupBy(*names).agg(F.sum("change").alias("change")).filter("change <> 0")
+
+
 def anomaly_summary(
     anomalies: DataFrame, by: Sequence[str] = ("customer_name", "anomaly_type")
 ) -> DataFrame:

@@ -186,7 +186,8 @@ def fused(rankings: list[DataFrame], k: int) -> DataFrame:
         together = together.unionByName(part)
     score = F.round(F.sum("part"), 12).alias("score")
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "doc_id")
-    ranked = together.groupBy("query_id", "doc_id").agg(score)
+    # The rankings are partitioned alike, but adaptive execution may cut them differently.
+    ranked = together.repartition("query_id").groupBy("query_id", "doc_id").agg(score)
     return ranked.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
 
 

@@ -879,6 +879,8 @@ ORACLE["extract_json_null_counts"] = ORACLE["extract_json_rows"].replace(
 ORACLE["search_refreshed"] = bm25(10).replace(
     "FROM documents", "FROM (SELECT * FROM documents WHERE source <> 'src4')")
 
+ORACLE["late_amendments"] = ORACLE["billing_anomalies"]
+ORACLE["summary_kept_current"] = ORACLE["anomaly_summary"]
 ORACLE["search_segmented"] = ORACLE["search_refreshed"]
 
 _LINES_OF = """

@@ -15,7 +15,7 @@ from ..operators import (
 )
 from ..session import scratch_path
 from ..sources import documents, tables, testdata
-from ..streaming import jobs, versions
+from ..streaming import jobs, summaries, versions
 from . import contracts
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -950,6 +950,37 @@ def stream_anomalies(spark, sf):
     return spark.read.parquet(f"{path}/flags").drop("batch_id")
 
 
+def _late_amendments(spark, sf):
+    """Billing, the card without its amendments (SOW contracts), and these."""
+    billing, card = testdata.billing(spark, sf), testdata.rate_card(spark, sf)
+    late = F.col("contract_id").startswith("SOW")
+    return billing, card.filter(~late), card.filter(late)
+
+
+@query
+def late_amendments(spark, sf):
+    """Anomalies under the early card plus what the amendments change: the anomalies of the whole card."""
+    billing, card, late = _late_amendments(spark, sf)
+    early = anomaly.billing_anomalies(billing, card).withColumn("change", F.lit(1).cast("long"))
+    rows = early.unionByName(anomaly.amendment_feed(billing, card, late)).repartition("txn_id")
+    names = [c for c in early.columns if c != "change"]
+    left = rows.groupBy(*names).agg(F.sum("change").alias("change"))
+    return left.withColumn("copy", F.explode(F.expr("array_repeat(0, cast(change as int))"))).select(names)
+
+
+@query
+def summary_kept_current(spark, sf):
+    """The summary after a batch of anomalies and a batch of what late amendments change in them."""
+    billing, card, late = _late_amendments(spark, sf)
+    early = anomaly.billing_anomalies(billing, card).withColumn("change", F.lit(1).cast("long"))
+    path = scratch_path(spark, "summary")
+    for rows in (early, anomaly.amendment_feed(billing, card, late)):
+        rows.write.mode("append").parquet(f"{path}/in")
+        arriving = spark.readStream.schema(early.schema).parquet(f"{path}/in")
+        summaries.stream_summary(arriving, f"{path}/state", f"{path}/checkpoint").awaitTermination()
+    return summaries.current_summary(spark, f"{path}/state")
+
+
 @query
 def stream_alerts(spark, sf):
     lines = testdata.stream(spark, sf, "lineitem")
