@@ -7,8 +7,10 @@ SHA-256 digests of block and payload, and is written where its row lies.
 Reading: a record counts when its member decodes, its header parses, its length is followed by the
 record end, and its digests agree. When a check fails the reader searches for the next member that
 decodes to a version line (or, in plain files, the next version line whose record passes), goes on
-from there, and logs the bytes in between as a quarantined gap. Files are read in windows, so memory
-holds one record, not the file.
+from there, and logs the bytes in between as a quarantined gap. Within a member that holds many records
+the search goes on at the next version line, and of a member that breaks off or does not inflate to its
+end the records before the damage are kept. Files and members are read in windows, so memory holds one
+record, not the file.
 """
 
 from __future__ import annotations
@@ -33,6 +35,9 @@ from .files import new_file, open_read, open_write
 MIN_REVISIT = 100
 FILE_BYTES = 64 << 20
 WINDOW = 1 << 18
+INFLATE_STEP = 1 << 20  # bytes inflated at a time
+HELD = 1 << 22  # a member that inflates to more is inflated again instead of being held
+MARKS = 32  # places of a large member from which inflating can go on
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 END = b"\r\n\r\n"
 MEMBER = b"\x1f\x8b\x08"
@@ -180,7 +185,6 @@ class _Window:
             at += max(len(part) - overlap, 1)
         return -1
 
-
     def end(self, at: int) -> int:
         """Where ``END`` next begins at or behind ``at``; -1 if nowhere. One search serves all places up to
         its hit, so many false starts before one end cost no more than one."""
@@ -266,34 +270,129 @@ class _Bytes:
         return self._data[at : at + n]
 
 
-def _member(window: _Window, at: int) -> tuple[int, list[Record]]:
-    """The compressed length of the member at ``at`` and the records in it."""
-    if window.read(at, 3) != MEMBER:
-        raise Damage("no member")
-    inflate, parts, pos = zlib.decompressobj(31), [], at
-    first = True
-    while not inflate.eof:
+def _before_error(state, piece: bytes) -> bytes:
+    """What ``piece`` inflates to up to the byte that is in error."""
+    parts = []
+    for step in (4096, 1):
+        while True:
+            last = state.copy()
+            try:
+                parts.append(state.decompress(piece, step))
+            except zlib.error:
+                state = last
+                break
+            piece = state.unconsumed_tail
+    return b"".join(parts)
+
+
+def _inflate(window: _Window, pos: int, state) -> Iterator[tuple[bytes, int]]:
+    """The bytes inflated from ``pos`` on, part by part, and the place in the file reached with each.
+    Damage is raised behind the last byte that could be had."""
+    while not state.eof:
         piece = window.read(pos, WINDOW)
-        if not piece:
-            raise Damage("cut short")
+        last = state.copy()
         try:
-            parts.append(inflate.decompress(piece))
+            part = state.decompress(piece, INFLATE_STEP)
         except zlib.error as error:
+            yield _before_error(last, piece), pos
             raise Damage(str(error)) from None
-        if first and len(parts[0]) >= 8 and not parts[0].startswith(b"WARC/"):
-            raise Damage("no version line")
-        first = first and len(parts[0]) < 8
-        pos += len(piece)
-    data = b"".join(parts)
-    inner, records, to = _Window(_Bytes(data)), [], 0
-    while to < len(data):
-        found = _plain_record(inner, to)
-        to += found.length
-        records.append(found)
-    length = pos - len(inflate.unused_data) - at
-    for found in records:
-        found.offset, found.length = at, length
-    return length, records
+        if not piece and not part and not state.eof:
+            raise Damage("cut short")
+        pos += len(piece) - len(state.unused_data if state.eof else state.unconsumed_tail)
+        yield part, pos
+
+
+class _Inflated:
+    """The inflated bytes of the member at ``at``, to be read through a window.
+
+    A first pass finds their number, the member's length and what is wrong with it. Up to ``HELD`` bytes
+    are kept; of more only states to go on from, ever wider apart, so memory is bounded.
+    """
+
+    def __init__(self, window: _Window, at: int):
+        if window.read(at, len(MEMBER)) != MEMBER:
+            raise Damage("no member")
+        state = zlib.decompressobj(31)
+        self._window, self._marks, apart = window, [(0, at, state.copy())], HELD
+        self._total, self.error, pos, kept = 0, "", at, []
+        try:
+            for part, pos in _inflate(window, at, state):
+                self._total += len(part)
+                if self._total <= HELD:
+                    kept.append(part)
+                if self._total >= self._marks[-1][0] + apart and not state.eof:
+                    self._marks.append((self._total, pos, state.copy()))
+                    if len(self._marks) > MARKS:
+                        self._marks, apart = self._marks[::2], 2 * apart
+        except Damage as damage:
+            self.error = str(damage)
+        self.length = pos - at
+        self._begin, self._part, self._rest = 0, b"".join(kept), iter(())
+        if self._total > HELD:
+            self._part, self._rest = b"", self._parts(self._marks[0])
+
+    def _parts(self, mark: tuple) -> Iterator[bytes]:
+        return (part for part, _ in _inflate(self._window, mark[1], mark[2].copy()))
+
+    def _mark(self, at: int) -> tuple:
+        return max((m for m in self._marks if m[0] <= at), key=lambda m: m[0])
+
+    def size(self) -> int:
+        return self._total
+
+    def read_at(self, n: int, at: int) -> bytes:
+        if self._total > HELD:
+            mark = self._mark(at)
+            if at < self._begin or mark[0] > self._begin + len(self._part):
+                self._begin, self._part, self._rest = mark[0], b"", self._parts(mark)
+        got = bytearray()
+        while True:
+            here = at + len(got) - self._begin
+            got += self._part[here : here + n - len(got)]
+            if len(got) == n:
+                return bytes(got)
+            self._begin += len(self._part)
+            self._part = next(self._rest)
+
+    def place(self, inner: int) -> int:
+        """A place in the file close before the one where the first ``inner`` bytes are inflated."""
+        reached, pos, state = self._mark(inner)
+        state = state.copy()
+        while reached < inner:
+            piece = self._window.read(pos, 64)
+            try:
+                reached += len(state.decompress(piece))
+            except zlib.error:
+                break
+            if not piece or reached >= inner:
+                break
+            pos += len(piece)
+        return pos
+
+
+def _plain_part(window: _Window, digests: bool) -> Iterator[Record | tuple[int, int, str]]:
+    """The records of inflated bytes, and the gaps between them. With ``digests`` a record counts only
+    if it states the digest of its block."""
+    at, bad, why = 0, -1, ""
+    while at < window.size:
+        try:
+            found = _plain_record(window, at)
+            if digests and not found.head.get("warc-block-digest", "").startswith("sha256:"):
+                raise Damage("no digest in a damaged member")
+        except Damage as damage:
+            if bad < 0:
+                bad, why = at, str(damage)
+            at = window.find(VERSION, at + 1)
+            if at < 0:
+                break
+            continue
+        if bad >= 0:
+            yield bad, at - bad, why
+            bad = -1
+        at += found.length
+        yield found
+    if bad >= 0:
+        yield bad, window.size - bad, why
 
 
 def salvage(source) -> Iterator[Record | tuple[int, int, str]]:
@@ -301,28 +400,56 @@ def salvage(source) -> Iterator[Record | tuple[int, int, str]]:
 
     ``source`` has size() and read_at(n, offset), as Arrow's input files do. Compressed and plain
     archives are told apart at each place, so damage at the very start does no harm. Empty files
-    give nothing; a member with several records counts only if all of them pass.
+    give nothing.
+
+    Records and gaps within a member carry the member's place; the reason of such a gap ends with its
+    place in the inflated bytes. A member that does not inflate to its end is one gap up to the next
+    member or record, and its reason tells how many records were saved from it: those that state a block
+    digest and agree with it. A member without any good record is a gap.
     """
     window = _Window(source)
     at, bad, why = 0, -1, ""
     while at < window.size:
+        resume = at + 1
         try:
-            if window.read(at, 2) == MEMBER[:2]:
-                length, records = _member(window, at)
-            else:
+            if window.read(at, 2) != MEMBER[:2]:
                 one = _plain_record(window, at)
-                length, records = one.length, [one]
+                if bad >= 0:
+                    yield bad, at - bad, why
+                    bad = -1
+                yield one
+                at += one.length
+                continue
+            member = _Inflated(window, at)
+            saved, early, end = 0, None, 0
+            for found in _plain_part(_Window(member), bool(member.error)):
+                if isinstance(found, tuple):
+                    begin, length, reason = found
+                    gap = at, member.length, f"{reason} (inflated bytes {begin} to {begin + length})"
+                    if not saved:
+                        early = gap if found[1] < member.size() else (at, member.length, reason)
+                    elif not member.error:
+                        yield gap
+                    continue
+                if not saved and bad >= 0:
+                    yield bad, at - bad, why
+                    bad = -1
+                if not saved and early and not member.error:
+                    yield early
+                saved, end = saved + 1, found.offset + found.length
+                found.offset, found.length = at, member.length
+                yield found
+            if member.error and saved:
+                resume = max(resume, member.place(end))
+                raise Damage(f"{member.error} ({saved} records saved)")
+            if not saved:
+                raise Damage(member.error or (early[2] if early else "empty member"))
+            at += member.length
         except Damage as damage:
             if bad < 0:
                 bad, why = at, str(damage)
-            nexts = [p for p in (window.find(MEMBER, at + 1), window.find(VERSION, at + 1)) if p >= 0]
+            nexts = [p for p in (window.find(MEMBER, resume), window.find(VERSION, resume)) if p >= 0]
             at = min(nexts, default=window.size)
-            continue
-        if bad >= 0:
-            yield bad, at - bad, why
-            bad = -1
-        yield from records
-        at += length
     if bad >= 0:
         yield bad, window.size - bad, why
 
@@ -333,34 +460,40 @@ def _number(value: str | None) -> int | None:
     return n if -(1 << 63) <= (n := int(value)) < 1 << 63 else None
 
 
-def read_archives(files: DataFrame, payloads: bool = True) -> DataFrame:
+def read_archives(files: DataFrame, payloads: bool = True, complete: bool = False) -> DataFrame:
     """All records of the archives named by ``files.path``, and a row with ``gap`` set (its reason)
     and record_type null for every quarantined byte range.
 
     Digest and size are those of the full payload: computed for responses, taken from the checked
-    headers for revisits. ``payloads=False`` leaves the payload column null.
+    headers for revisits. ``payloads=False`` leaves the payload column null. ``complete=True`` is for
+    archives that must be whole: a gap, or another number of records than ``files.records``, is an error.
     """
     ship_code(files.sparkSession)
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for path in batch.column(0).to_pylist():
-                rows, held = [], 0
+            for path, stated in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                rows, held, good = [], 0, 0
                 with open_read(path) as source:
                     for found in salvage(source):
                         if isinstance(found, tuple):
                             at, length, why = found
+                            if complete:
+                                raise ValueError(f"{path}: {length} bytes at {at} can't be read: {why}")
                             rows.append({"path": path, "offset": at, "length": length, "gap": why})
                         else:
                             rows.append(_row(path, found, payloads))
+                            good += 1
                             held += len(found.head.get("warc-target-uri", ""))
                             held += len(found.payload) if payloads else 0
                         if len(rows) >= 2000 or held >= 16 << 20:
                             yield pa.RecordBatch.from_pylist(rows, _ARROW)
                             rows, held = [], 0
+                if complete and good != stated:
+                    raise ValueError(f"{path}: {good} records, not the {stated} written")
                 yield pa.RecordBatch.from_pylist(rows, _ARROW)
 
-    paths = files.select("path")
+    paths = files.select("path", F.col("records") if complete else F.lit(None).cast("long").alias("records"))
     tasks = max(files.count(), 1)
     return paths.repartition(tasks).mapInArrow(read, RECORDS)
 
@@ -384,9 +517,12 @@ def _row(path: str, found: Record, payloads: bool) -> dict:
 
 
 def archive_table(pages: DataFrame) -> DataFrame:
-    """Write ``pages`` to new archives below the shared folder and read them back; one row per page."""
+    """Write ``pages`` to new archives below the shared folder and read them back; one row per page.
+
+    A record that can't be read back is an error, never a missing row. Nulls and repeated rows are taken
+    as ``write_archives`` takes them; an empty table gives no rows.
+    """
     folder = scratch_path(pages.sparkSession, "warc-data")
-    read = read_archives(write_archives(pages, folder), payloads=False)
-    return read.filter("gap is null").select(
+    return read_archives(write_archives(pages, folder), payloads=False, complete=True).select(
         "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
     )
