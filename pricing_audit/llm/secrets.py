@@ -22,6 +22,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -74,7 +75,7 @@ ENCODINGS = (
 )
 _BLOCK = 256
 _SPANS = "array<struct<start: bigint, kind: int, end: bigint>>"
-_FOUND = "array<struct<start: bigint, end: bigint, lengths: int, bin: int, random: boolean>>"
+_FOUND = "array<struct<start: bigint, end: bigint, lengths: int, bin: int, random: boolean, family: int>>"
 
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -267,14 +268,16 @@ def candidates(text: Column) -> Column:
                 F.least(
                     F.floor(-t["ln_language"] / math.log(10) * BINS + 1e-9), F.lit(LAST_BIN)
                 ).cast("int").alias("bin"),
-                t["random"].alias("random"),
+                t["random"].alias("random"), m["family"].alias("family"),
             ),
         )
 
-    found = [matches(text, CANDIDATE)]
-    for pattern, needed in PARTS:
+    found = []
+    for family, (pattern, needed) in enumerate(((CANDIDATE, ""), *PARTS)):
         hits = matches(text, pattern)
-        found.append(F.filter(hits, lambda m: m["value"].rlike(needed)) if needed else hits)  # noqa: B023
+        if needed:
+            hits = F.filter(hits, lambda m: m["value"].rlike(needed))  # noqa: B023
+        found.append(F.transform(hits, lambda m: m.withField("family", F.lit(family))))  # noqa: B023
     return F.transform(F.concat(*found), judged).cast(_FOUND)
 
 
@@ -304,6 +307,33 @@ def _joined(spans: Column) -> Column:
     )
 
 
+def covered(spans: Column, groups: int, c: Column, longer: bool = False) -> Column:
+    """Whether one of ``spans`` (an array of as many arrays as ``groups``) covers ``c``, with ``longer``
+    whether a longer one does. Each group is sorted and without overlaps, so only its last span that starts
+    no later can; it is found by halving, however many spans a text has."""
+
+    def last(own: Column) -> Column:
+        most = F.ceil(F.log2(F.size(own) + 1)).cast("int")
+        steps = F.transform(F.sequence(most, F.lit(0)), lambda i: F.call_function("shiftleft", F.lit(1), i))
+        started = F.aggregate(
+            steps, F.lit(0),
+            lambda n, step: F.when(F.get(own, n + step - 1)["start"] <= c["start"], n + step).otherwise(n),
+        )
+        return F.get(own, started - 1)
+
+    def covers(d: Column) -> Column:
+        found = d["end"] >= c["end"]
+        if longer:
+            found = found & (d["end"] - d["start"] > c["end"] - c["start"])
+        return F.coalesce(found, F.lit(False))
+
+    return reduce(Column.__or__, [let(last(spans[i]), covers) for i in range(groups)])
+
+
+def _grouped(spans: str, group: str, groups: int) -> Column:
+    return F.array(*[F.filter(spans, lambda s: s[group] == i) for i in range(groups)])  # noqa: B023
+
+
 def secret_spans(docs: DataFrame) -> DataFrame:
     """Per document: doc_id, base and spans (arrays of start, kind, end; kinds numbered as ``KINDS``).
 
@@ -319,17 +349,21 @@ def secret_spans(docs: DataFrame) -> DataFrame:
     )
     least = discovery_bins(found)
 
+    kinds, families = 3, 1 + len(PARTS)
+
     def passes(c: Column) -> Column:
         bars = F.array(*[F.lit(least.get(i, LAST_BIN + 1)) for i in range(len(LENGTHS))])
-        inside = F.exists("base", lambda b: (b["start"] <= c["start"]) & (c["end"] <= b["end"]))
-        return c["random"] & (c["bin"] >= F.element_at(bars, c["lengths"] + 1)) & ~inside
+        return c["random"] & (c["bin"] >= F.element_at(bars, c["lengths"] + 1))
 
-    def within(c: Column, d: Column) -> Column:
-        return (d["start"] <= c["start"]) & (c["end"] <= d["end"]) & (c["end"] - c["start"] < d["end"] - d["start"])
-
-    passed = found.select("doc_id", "base", F.filter("found", passes).alias("passed"))
+    passed = found.select(
+        "doc_id", "base", F.filter("found", passes).alias("passed"),
+        _grouped("base", "kind", kinds).alias("kinds"),
+    )
+    passed = passed.withColumn(
+        "passed", F.filter("passed", lambda c: ~covered(F.col("kinds"), kinds, c))
+    ).withColumn("families", _grouped("passed", "family", families))
     random = F.transform(
-        F.filter("passed", lambda c: ~F.exists("passed", lambda d: within(c, d))),
+        F.filter("passed", lambda c: ~covered(F.col("families"), families, c, longer=True)),
         lambda c: F.struct(c["start"].alias("start"), F.lit(3).alias("kind"), c["end"].alias("end")),
     ).cast(_SPANS)
     return passed.select("doc_id", "base", F.array_sort(F.concat("base", random)).alias("spans"))

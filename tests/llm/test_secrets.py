@@ -89,7 +89,7 @@ def test_discoveries_follow_benjamini_hochberg(spark):
     """Against the plain procedure on p-values rounded up to their bins."""
     rng = random.Random(1)
     found = [(rng.randrange(5), int(rng.expovariate(1 / 60))) for _ in range(4000)]
-    table = spark.createDataFrame([([(0, 30, c, b, True)],) for c, b in found], f"found {secrets._FOUND}")
+    table = spark.createDataFrame([([(0, 30, c, b, True, 0)],) for c, b in found], f"found {secrets._FOUND}")
     got = secrets.discovery_bins(table)
     for c in range(5):
         bins = sorted((b for x, b in found if x == c), reverse=True)
@@ -145,3 +145,39 @@ def test_prefix_sums_of_long_arrays(spark):
     n = 3000
     row = spark.range(1).select(secrets.prefix_sums(F.sequence(F.lit(1), F.lit(n))).alias("s")).first()
     assert row.s == [i * (i + 1) // 2 for i in range(n)]
+
+
+def test_covered_equals_all_comparisons(spark):
+    rng, rows = random.Random(8), []
+    for i in range(300):
+        groups = []
+        for _ in range(3):
+            cuts = sorted(rng.sample(range(60), 2 * rng.randint(0, 8)))
+            groups.append(list(zip(cuts[::2], cuts[1::2], strict=True)))
+        start = rng.randrange(60)
+        rows.append((i, groups, (start, start + rng.randint(1, 9))))
+    spans = "struct<start: bigint, end: bigint>"
+    table = spark.createDataFrame(rows, f"i int, g array<array<{spans}>>, c {spans}")
+    got = table.select(
+        "i", secrets.covered(F.col("g"), 3, F.col("c")).alias("any"),
+        secrets.covered(F.col("g"), 3, F.col("c"), longer=True).alias("longer"),
+    ).collect()
+    flat = [(i, [d for g in groups for d in g], c) for i, groups, c in rows]
+    over = {i: [d for d in spans if d[0] <= c[0] and c[1] <= d[1]] for i, spans, c in flat}
+    size = {i: c[1] - c[0] for i, _, c in flat}
+    assert {r.i: r.any for r in got} == {i: bool(x) for i, x in over.items()}
+    assert {r.i: r.longer for r in got} == {i: any(b - a > size[i] for a, b in x) for i, x in over.items()}
+
+
+def test_many_keys_in_one_text_and_odd_rows(documents):
+    rng, n = random.Random(9), 3000
+    letters = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789"
+    key = lambda: "".join(rng.choices(letters, k=40))
+    full = " ".join(key() for _ in range(n))
+    mixed = " ".join(f"token={key()} /{key()}" for _ in range(500))
+    rows = [(1, full), (1, full), (None, full), (2, mixed), (3, None), (3, ""), (None, None)]
+    got = sorted((str(r.doc_id), r.n_assign, r.n_random, r.spans) for r in secrets.secret_table(documents(rows)).collect())
+    assert [g[:2] for g in got] == [("1", 0), ("1", 0), ("2", 500), ("3", 0), ("3", 0), ("None", 0), ("None", 0)]
+    assert got[0] == got[1] and got[0][2] >= 0.95 * n and got[6][2:] == got[0][2:]
+    assert got[2][2] >= 0.95 * 500 and got[2][3].count("assign") == 500
+    assert got[3][2:] == got[4][2:] == got[5][2:] == (0, "")
