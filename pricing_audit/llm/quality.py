@@ -245,7 +245,7 @@ def train(docs: DataFrame, labels: DataFrame) -> Model:
     )
     share = TRAIN_ROWS / max(known.count(), 1)
     if share < 1:
-        known = known.filter(F.pmod(F.xxhash64("id"), F.lit(1_000_000)) < int(share * 1_000_000))
+        known = known.filter(F.xxhash64("id") < int(share * 2**64) - 2**63)
     rows = docs.select("doc_id", whole_text().alias("text")).join(
         F.broadcast(known), F.col("doc_id") == F.col("id")
     )
