@@ -27,6 +27,7 @@ GROUPS = (
     "digest binary, size long,"
     " keep struct<no_id: boolean, doc_id: bigint, file: string, row: bigint>"
 )
+HOT_ROWS, HOT_GROUPS = 1000, 20_000
 ROWS_PER_CHECK = 64  # members of one group that one copy of the kept text is compared with
 
 
@@ -96,6 +97,24 @@ def latest_groups(spark: SparkSession, state: str) -> DataFrame:
     return rows.groupBy("digest").agg(newest).select("digest", "x.size", "x.keep")
 
 
+def _with_group(prints: DataFrame, groups: DataFrame) -> DataFrame:
+    """``prints`` with size and keep of their digest's group.
+
+    Groups with more than one in ``HOT_GROUPS`` of all rows (so there are fewer than that) are sent to the
+    rows; only the rows of the others are shuffled by digest, so no task gets a large group.
+    """
+    total = groups.agg(F.sum("size")).first()[0] or 0
+    hot = groups.filter(F.col("size") > max(HOT_ROWS, total // HOT_GROUPS)).select(
+        F.col("digest").alias("hot"), F.col("size").alias("hot_size"), F.col("keep").alias("hot_keep")
+    )
+    dealt = prints.join(F.broadcast(hot), F.col("digest") == F.col("hot"), "left")
+    large = dealt.filter("hot is not null").select(
+        *prints.columns, F.col("hot_size").alias("size"), F.col("hot_keep").alias("keep")
+    )
+    others = dealt.filter("hot is null").select(*prints.columns).join(groups, "digest")
+    return large.unionByName(others)
+
+
 def _decide(docs: DataFrame, digest, per_batch: int) -> DataFrame:
     """(doc_id, digest, file, row, size, keep) for every row of ``docs`` with locators."""
     spark = docs.sparkSession
@@ -108,7 +127,8 @@ def _decide(docs: DataFrame, digest, per_batch: int) -> DataFrame:
     spark.createDataFrame([], GROUPS).write.parquet(f"{state}/groups/batch=-1")
     update_state(spark, f"{state}/fingerprints", state, per_batch)
     prints = spark.read.schema(FINGERPRINT).parquet(f"{state}/fingerprints")
-    decided = stage(prints.join(latest_groups(spark, state), "digest"), "decisions")
+    groups = stage(latest_groups(spark, state), "groups")
+    decided = stage(_with_group(prints, groups), "decisions")
 
     # Full bytes of every hit against the text that stays.
     members = decided.filter("size > 1").select(

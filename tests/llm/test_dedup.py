@@ -7,6 +7,7 @@ import re
 
 from brute import near_groups
 from tables import documents as documents
+import pytest
 from pricing_audit.llm import components, exact_stream, jaccard, shingles
 from pricing_audit.session import scratch_path
 from pyspark.sql import functions as F
@@ -34,7 +35,10 @@ ROWS = [
 ]
 
 
-def test_exact_groups(documents):
+@pytest.mark.parametrize("hot", [1, 1000])
+def test_exact_groups(documents, monkeypatch, hot):
+    monkeypatch.setattr(exact_stream, "HOT_ROWS", hot)
+    monkeypatch.setattr(exact_stream, "HOT_GROUPS", 10**6)
     rows = exact_stream.exact_duplicates(documents(ROWS)).collect()
     assert sorted(((r.doc_id, r.keep_id, r.group_size, r.text_sha256) for r in rows), key=str) == plain(ROWS)
     kept = collections.Counter(r.text_sha256 for r in rows if r.kept)
