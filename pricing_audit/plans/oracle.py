@@ -947,4 +947,49 @@ ORACLE["vector_ivf_recall"] = """
 SELECT count(*) * least(10, (SELECT count(*) FROM embeddings)) AS exact_results, TRUE AS reached
 FROM embeddings WHERE vec_id % 20 = 0"""
 
+# --- event time ----------------------------------------------------------------------------------
+
+_IN_TIME = """marks AS MATERIALIZED (
+  SELECT wave, max(newest) OVER (ORDER BY wave ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) - {delay} AS mark
+  FROM (SELECT wave, max(moment) AS newest FROM arrivals GROUP BY wave) w
+), in_time AS (
+  SELECT a.* FROM arrivals a JOIN marks m ON a.wave = m.wave WHERE m.mark IS NULL OR a.moment >= m.mark
+), final AS (SELECT max(moment) - {delay} AS mark FROM arrivals)"""
+
+_EVENT_WAVES = """arrivals AS MATERIALIZED (
+  SELECT event_id, user_id, event_type, epoch_us(ts) AS moment, value,
+         CASE WHEN day(ts) <= 15 THEN 0 ELSE 1 END + CASE WHEN event_id % 20 = 7 THEN 1 ELSE 0 END AS wave
+  FROM events
+), """ + _IN_TIME.format(delay=172800000000)
+
+ORACLE["event_storms"] = f"""
+WITH {_EVENT_WAVES},
+opened AS (
+  SELECT *, CASE WHEN moment - lag(moment) OVER w < 43200000000 THEN 0 ELSE 1 END AS opens FROM in_time
+  WINDOW w AS (PARTITION BY user_id, event_type ORDER BY moment)
+), numbered AS (
+  SELECT *, sum(opens) OVER (PARTITION BY user_id, event_type ORDER BY moment ROWS UNBOUNDED PRECEDING) AS session
+  FROM opened
+)
+SELECT user_id, event_type, min(moment) AS first, max(moment) AS last, count(*) AS n_events,
+       {total('value')} AS total, max(moment) + 43200000000 <= max(mark) AS closed
+FROM numbered, final GROUP BY user_id, event_type, session"""
+
+ORACLE["late_events"] = f"""
+WITH {_EVENT_WAVES}
+SELECT event_id, user_id, moment AS at_micros, CAST(a.wave AS BIGINT) AS wave
+FROM arrivals a JOIN marks m ON a.wave = m.wave WHERE a.moment < m.mark"""
+
+ORACLE["sliding_impact"] = f"""
+WITH {ANOMALIES},
+arrivals AS MATERIALIZED (
+  SELECT customer_name, CAST(txn_date - DATE '1970-01-01' AS BIGINT) AS moment, revenue_impact AS value,
+         CASE WHEN txn_date < DATE '1998-01-01' THEN 0 ELSE 1 END + CASE WHEN quantity % 20 = 7 THEN 1 ELSE 0 END AS wave
+  FROM anomalies
+), {_IN_TIME.format(delay=30)},
+copies AS (SELECT customer_name, moment - moment % 7 - 7 * k AS begin, value FROM in_time, range(4) r(k))
+SELECT customer_name, DATE '1970-01-01' + CAST(begin AS INT) AS begin, count(*) AS n_rows,
+       coalesce({total('value')}, 0) AS total_impact, begin + 28 <= max(mark) AS closed
+FROM copies, final GROUP BY customer_name, begin"""
+
 ORACLE = {name: re.sub(r"\n\s*\n", "\n", sql).strip() for name, sql in ORACLE.items()}

@@ -11,11 +11,11 @@ from ..functions.labels import customer_from_filename, label_bounds
 from ..functions.numbers import exact_sum
 from ..operators import (
     anomaly, compare, extract, ivf, metrics, normalize, pages, runs, search, segments, semantic,
-    validate,
+    validate, windows,
 )
 from ..session import scratch_path
 from ..sources import documents, tables, testdata
-from ..streaming import jobs, summaries, versions
+from ..streaming import event_time, jobs, summaries, versions
 from . import contracts
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -995,6 +995,71 @@ def stream_alerts(spark, sf):
     )
 
 
+def _in_waves(spark, rows, kind, delay, path):
+    """``rows`` arrive in three waves by their column ``wave``; each is a batch of the windows' stream."""
+    for number in range(3):
+        wave = rows.filter(F.col("wave") == number).drop("wave")
+        wave.write.mode("append").parquet(f"{path}/in")
+        arriving = spark.readStream.schema(wave.schema).parquet(f"{path}/in")
+        event_time.stream_windows(
+            arriving, kind, f"{path}/out", f"{path}/checkpoint", delay
+        ).awaitTermination()
+
+
+def _event_waves(spark, sf):
+    """Events of the first half of a month come first, then those of the second; one in twenty comes a
+    wave later."""
+    late = F.when(F.col("event_id") % 20 == 7, 1).otherwise(0)
+    return testdata.table(spark, sf, "events").select(
+        "event_id", "user_id", "event_type", windows.micros(F.col("ts")).alias("at"), "value",
+        (F.when(F.dayofmonth("ts") <= 15, 0).otherwise(1) + late).alias("wave"),
+    )
+
+
+STORM_GAP, EVENT_DELAY = 12 * 3600 * 1_000_000, 2 * 86400 * 1_000_000
+
+
+@query
+def event_storms(spark, sf):
+    """Events of a user and type that follow each other within twelve hours, as one alert each."""
+    kind = windows.Sessions(("user_id", "event_type"), STORM_GAP)
+    path = scratch_path(spark, "storms")
+    _in_waves(spark, _event_waves(spark, sf), kind, EVENT_DELAY, path)
+    return event_time.current_windows(spark, f"{path}/out", kind).select(
+        "user_id", "event_type", "first", "last", F.col("rows").alias("n_events"),
+        F.col("total").cast("double").alias("total"), "closed",
+    )
+
+
+@query
+def late_events(spark, sf):
+    """The events that came behind the watermark, with the wave they came in."""
+    path = scratch_path(spark, "late-events")
+    _in_waves(spark, _event_waves(spark, sf), windows.Sessions(("user_id",), STORM_GAP), EVENT_DELAY, path)
+    return event_time.late_rows(spark, f"{path}/out").select(
+        "event_id", "user_id", F.col("at").alias("at_micros"), F.col("batch_id").cast("long").alias("wave")
+    )
+
+
+@query
+def sliding_impact(spark, sf):
+    """Impact per customer in windows of four weeks that begin every week, over transactions that
+    arrive in waves."""
+    late = F.when(F.col("quantity") % 20 == 7, 1).otherwise(0)
+    rows = _anomalies(spark, sf).select(
+        "customer_name", F.unix_date("txn_date").cast("long").alias("at"),
+        F.col("revenue_impact").alias("value"),
+        (F.when(F.col("txn_date") < F.lit("1998-01-01").cast("date"), 0).otherwise(1) + late).alias("wave"),
+    )
+    kind = windows.Sliding(("customer_name",), 28, 7)
+    path = scratch_path(spark, "sliding")
+    _in_waves(spark, rows, kind, 30, path)
+    return event_time.current_windows(spark, f"{path}/out", kind).select(
+        "customer_name", F.date_add(F.lit("1970-01-01").cast("date"), F.col("begin").cast("int")).alias("begin"),
+        F.col("rows").alias("n_rows"), F.col("total").cast("double").alias("total_impact"), "closed",
+    )
+
+
 @query
 def stream_search(spark, sf):
     arriving = testdata.stream(spark, sf, "documents").select("doc_id", "text")
