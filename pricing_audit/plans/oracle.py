@@ -992,4 +992,43 @@ SELECT customer_name, DATE '1970-01-01' + CAST(begin AS INT) AS begin, count(*)
        coalesce({total('value')}, 0) AS total_impact, begin + 28 <= max(mark) AS closed
 FROM copies, final GROUP BY customer_name, begin"""
 
+_STATUS_ROWS = """arrivals AS MATERIALIZED (
+  SELECT o_custkey AS contract_id, o_orderkey AS seq, CAST(CAST(o_orderdate AS DATE) - DATE '1970-01-01' AS BIGINT) AS moment,
+         CASE o_orderstatus WHEN 'P' THEN 'PENDING' WHEN 'F' THEN 'EXTRACTED' ELSE 'FAILED' END AS status,
+         CASE WHEN o_orderdate < DATE '1998-01-01' THEN 0 ELSE 1 END + CASE WHEN o_orderkey % 20 = 7 THEN 1 ELSE 0 END AS wave
+  FROM orders
+)"""
+
+
+def _lifecycle(rows: str, passed: str) -> str:
+    return f"""judged AS (
+  SELECT *, (status = 'PENDING') <> coalesce(lag(status = 'PENDING') OVER (
+           PARTITION BY contract_id ORDER BY moment, seq), FALSE) AS legal FROM {rows}
+), legal AS (
+  SELECT *, lead(moment) OVER (PARTITION BY contract_id ORDER BY moment, seq) AS next FROM judged WHERE legal
+), log AS (
+  SELECT contract_id, moment, status, seq, CASE WHEN legal THEN 'CHANGE' ELSE 'REJECTED' END AS kind FROM judged
+  UNION ALL
+  SELECT contract_id, moment + 30, 'OVERDUE', seq, 'OVERDUE' FROM legal
+  WHERE status = 'PENDING' AND {passed} AND (next IS NULL OR next > moment + 30)
+)"""
+
+
+_LOG = "SELECT contract_id, DATE '1970-01-01' + CAST(moment AS INT) AS day, status, seq, kind FROM log"
+
+ORACLE["contract_lifecycle"] = f"""
+WITH {_STATUS_ROWS}, {_lifecycle("arrivals", "TRUE")} {_LOG}"""
+
+ORACLE["stream_lifecycle"] = f"""
+WITH {_STATUS_ROWS}, {_IN_TIME.format(delay=60)},
+ripe AS (SELECT i.* FROM in_time i, final f WHERE i.moment < f.mark),
+{_lifecycle("ripe", "moment + 30 < (SELECT mark FROM final)")} {_LOG}"""
+
+ORACLE["overdue_contracts"] = f"""
+WITH {_STATUS_ROWS}, {_lifecycle("arrivals", "TRUE")}
+SELECT contract_id, arg_max(status, nth) AS status, count(*) FILTER (WHERE kind = 'OVERDUE') AS times_overdue
+FROM (SELECT *, row_number() OVER (PARTITION BY contract_id ORDER BY moment, kind <> 'OVERDUE', seq) AS nth
+      FROM log WHERE kind <> 'REJECTED')
+GROUP BY contract_id"""
+
 ORACLE = {name: re.sub(r"\n\s*\n", "\n", sql).strip() for name, sql in ORACLE.items()}

@@ -10,12 +10,13 @@ from pyspark.sql import functions as F
 from ..functions.labels import customer_from_filename, label_bounds
 from ..functions.numbers import exact_sum
 from ..operators import (
-    anomaly, compare, extract, ivf, metrics, normalize, pages, runs, search, segments, semantic,
+    anomaly, compare, extract, ivf, lifecycle, metrics, normalize, pages, runs, search, segments, semantic,
     validate, windows,
 )
 from ..session import scratch_path
 from ..sources import documents, tables, testdata
 from ..streaming import event_time, jobs, summaries, versions
+from ..streaming import lifecycle as lifecycle_stream
 from . import contracts
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -1060,6 +1061,53 @@ def sliding_impact(spark, sf):
     )
 
 
+LIFECYCLE_LIMIT, LIFECYCLE_DELAY = 30, 60
+
+
+def _lifecycle_rows(spark, sf):
+    """Orders as status rows of their customer's contract; one in twenty arrives a wave later."""
+    late = F.when(F.col("o_orderkey") % 20 == 7, 1).otherwise(0)
+    status = F.when(F.col("o_orderstatus") == "P", "PENDING").when(F.col("o_orderstatus") == "F", "EXTRACTED")
+    day = F.col("o_orderdate").cast("date")
+    return testdata.table(spark, sf, "orders").select(
+        F.col("o_custkey").alias("contract_id"), status.otherwise("FAILED").alias("status"),
+        F.unix_date(day).cast("long").alias("at"), F.col("o_orderkey").alias("seq"),
+        (F.when(day < F.lit("1998-01-01").cast("date"), 0).otherwise(1) + late).alias("wave"),
+    )
+
+
+def _log_columns(log):
+    day = F.date_add(F.lit("1970-01-01").cast("date"), F.col("at").cast("int"))
+    return log.select("contract_id", day.alias("day"), "status", "seq", "kind")
+
+
+@query
+def contract_lifecycle(spark, sf):
+    """Changes, illegal ones and missed deadlines of all contracts."""
+    return _log_columns(lifecycle.lifecycle_log(_lifecycle_rows(spark, sf), LIFECYCLE_LIMIT))
+
+
+@query
+def stream_lifecycle(spark, sf):
+    """The same for rows that arrive in waves, up to the watermark."""
+    path, rows = scratch_path(spark, "lifecycle"), _lifecycle_rows(spark, sf)
+    for number in range(3):
+        wave = rows.filter(F.col("wave") == number).drop("wave")
+        wave.write.mode("append").parquet(f"{path}/in")
+        arriving = spark.readStream.schema(wave.schema).parquet(f"{path}/in")
+        lifecycle_stream.stream_lifecycle(
+            arriving, f"{path}/out", f"{path}/checkpoint", LIFECYCLE_LIMIT, LIFECYCLE_DELAY
+        ).awaitTermination()
+    return _log_columns(lifecycle_stream.current_log(spark, f"{path}/out"))
+
+
+@query
+def overdue_contracts(spark, sf):
+    """Where each contract stands, and how often it missed a deadline."""
+    log = lifecycle.lifecycle_log(_lifecycle_rows(spark, sf), LIFECYCLE_LIMIT)
+    return lifecycle.latest_status(log).select("contract_id", "status", "times_overdue")
+
+
 @query
 def stream_search(spark, sf):
     arriving = testdata.stream(spark, sf, "documents").select("doc_id", "text")

@@ -65,7 +65,10 @@ def _state(spark: SparkSession, path: str, before: int | None = None) -> DataFra
     if before is not None:
         slots = slots.filter(F.col("batch_id") < before)
     newest = slots.agg(F.max("batch_id").alias("b")).first()["b"]
-    return slots.filter(F.col("batch_id") == newest) if newest is not None else None
+    if newest is None:
+        return None
+    # By slot first: the folder that the next batch overwrites is then no part of the plan.
+    return slots.filter((F.col("slot") == newest % 2) & (F.col("batch_id") == newest))
 
 
 def stream_summary(
