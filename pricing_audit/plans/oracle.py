@@ -947,6 +947,35 @@ ORACLE["vector_ivf_recall"] = """
 SELECT count(*) * least(10, (SELECT count(*) FROM embeddings)) AS exact_results, TRUE AS reached
 FROM embeddings WHERE vec_id % 20 = 0"""
 
+# --- tables in documents ---------------------------------------------------------------------------
+
+_PRICE_TABLES = """kinds AS (SELECT 0 AS row_index, 'List' AS kind, CAST(1.00 AS DECIMAL(3,2)) AS kf
+           UNION ALL SELECT 1, 'Net', CAST(0.95 AS DECIMAL(3,2))
+), tiers AS (SELECT 2 AS column_index, '1-10' AS tier, CAST(1.00 AS DECIMAL(3,2)) AS f
+             UNION ALL SELECT 3, '11-25', CAST(0.90 AS DECIMAL(3,2))
+             UNION ALL SELECT 4, '26-40', CAST(0.80 AS DECIMAL(3,2))
+), prices AS (
+  SELECT concat('part-', p_partkey, '.html') AS filename, p_type AS customer_id, p_brand, row_index, kind,
+         column_index, tier, CAST(CAST(p_retailprice AS DECIMAL(18,2)) * f * kf AS DECIMAL(18,2)) AS price
+  FROM part CROSS JOIN kinds CROSS JOIN tiers
+)"""
+
+ORACLE["layout_cells"] = f"""
+WITH {_PRICE_TABLES}
+SELECT filename, CAST(0 AS INT) AS table_index, row_index, column_index, concat('Unit price / ', tier) AS header_path,
+       CAST(price AS VARCHAR) AS value, FALSE AS spanned FROM prices
+UNION ALL
+SELECT filename, 0, row_index, 0, 'Brand', p_brand, row_index = 1 FROM prices WHERE column_index = 2
+UNION ALL
+SELECT filename, 0, row_index, 1, 'Kind', kind, FALSE FROM prices WHERE column_index = 2"""
+
+ORACLE["layout_prices"] = f"""
+WITH {_PRICE_TABLES}
+SELECT filename, customer_id, p_brand AS brand, kind,
+       CAST(max(price) FILTER (WHERE column_index = 2) AS DOUBLE) AS small,
+       CAST(max(price) FILTER (WHERE column_index = 4) AS DOUBLE) AS large
+FROM prices GROUP BY filename, customer_id, p_brand, kind"""
+
 # --- event time ----------------------------------------------------------------------------------
 
 _IN_TIME = """marks AS MATERIALIZED (

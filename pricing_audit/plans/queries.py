@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..functions.labels import customer_from_filename, label_bounds
 from ..functions.numbers import exact_sum
 from ..operators import (
-    anomaly, compare, extract, ivf, lifecycle, metrics, normalize, pages, runs, search, segments, semantic,
+    anomaly, compare, extract, ivf, layout, lifecycle, metrics, normalize, pages, runs, search, segments, semantic,
     validate, windows,
 )
 from ..session import scratch_path
@@ -879,6 +879,27 @@ def _stored_lines(spark, store):
     return prices.unionByName(fees)
 
 
+@query
+def layout_cells(spark, sf):
+    """The slots of the price tables in documents, with their header paths."""
+    docs = tables.spread(testdata.price_table_documents(_part(spark, sf)))
+    return layout.table_cells(docs).select(
+        "filename", "table_index", "row_index", "column_index", "header_path", "value", "spanned"
+    )
+
+
+@query
+def layout_prices(spark, sf):
+    """Rows of the price tables by header path, prices as numbers."""
+    docs = tables.spread(testdata.price_table_documents(_part(spark, sf)))
+    columns = {"brand": "Brand", "kind": "Kind", "small": "Unit price / 1-10", "large": "Unit price / 26-40"}
+    rows = layout.table_rows(layout.table_cells(docs), columns)
+    return rows.select(
+        "filename", "customer_id", "brand", "kind",
+        *[F.col(c).try_cast("decimal(18,2)").cast("double").alias(c) for c in ("small", "large")],
+    )
+
+
 # --- streaming -----------------------------------------------------------------------------------
 
 def _changes(spark, sf):

@@ -423,3 +423,27 @@ def shipments(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("c_mktsegment").alias("customer_name"), F.col("l_linestatus").alias("service_type"),
         F.col("l_quantity").cast("int").alias("quantity"), F.col("l_shipdate").cast("date").alias("txn_date"),
     )
+
+
+def price_table_documents(part: DataFrame) -> DataFrame:
+    """(filename, customer_id, html): per part a page with a price table, list and net prices by quantity.
+    A third of them leaves out the end tags, as HTML allows."""
+    end = F.when(F.col("p_partkey") % 3 == 0, "").otherwise("</td>")
+    prices = []
+    for factor in ("1.00", "0.95"):
+        cells = [
+            F.concat(F.lit("<td>"), _money(_money(F.col("p_retailprice")) * _decimal(f) * _decimal(factor)).cast("string"), end)
+            for _, _, f in TIERS
+        ]
+        prices.append(F.concat(*cells))
+    tiers = "".join(f"<th>{lo}-{hi}</th>" for lo, hi, _ in TIERS)
+    html = F.concat(
+        F.lit("<html><body><h1>Rates</h1><table><tr><th rowspan=2>Brand</th><th rowspan=2>Kind</th>"),
+        F.lit(f"<th colspan={len(TIERS)}>Unit price</th></tr><tr>{tiers}</tr><tr><td rowspan=2>"),
+        F.col("p_brand"), end, F.lit("<td>List"), end, prices[0], F.lit("<tr><td>Net"), end, prices[1],
+        F.lit("</table><p>Prices in USD</body></html>"),
+    )
+    return part.select(
+        F.concat(F.lit("part-"), F.col("p_partkey"), F.lit(".html")).alias("filename"),
+        F.col("p_type").alias("customer_id"), html.alias("html"),
+    )
