@@ -55,3 +55,28 @@ def test_distant_runs_are_skipped():
     x = np.eye(4)[np.repeat([0, 1], 600)]
     found = list(vectors.join_blocks(x, x, x, x, 0.9, True))
     assert sum(len(i) for i, _ in found) == 2 * 600 * 599 // 2
+
+
+def test_vectors_are_not_dealt_per_pair_of_blocks(spark, monkeypatch):
+    """What meets in a tile is read from files: only block numbers are shuffled for it."""
+    monkeypatch.setattr(vectors, "BLOCK", 16)
+    plans, plain_stage = {}, vectors.stage
+
+    def recorded(df, name):
+        plans[name] = df._jdf.queryExecution().optimizedPlan().toString()
+        return plain_stage(df, name)
+
+    monkeypatch.setattr(vectors, "stage", recorded)
+    rng = np.random.default_rng(5)
+    rows = [(i, (1 + 0.01 * rng.normal(size=6)).tolist(), 0) for i in range(200)]
+    got = vectors.near_duplicates(spark.createDataFrame(rows, SCHEMA), 0.9).collect()
+    assert {(r.n_links, r.component_id) for r in got} == {(199, 0)}
+    assert "rows#" not in plans["links"]
+
+
+def test_points_of_a_tile_hang_together_by_few_edges():
+    forest = vectors.Forest(60)
+    i, j = np.nonzero(np.equal.outer(np.arange(60) % 3, np.arange(60) % 3))
+    edges = [e for e in forest.join(i, j)]
+    assert sum(len(a) for a, _ in edges) == 57
+    assert forest.parent.tolist() == [n % 3 for n in range(60)]
