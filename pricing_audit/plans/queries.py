@@ -973,8 +973,9 @@ def stream_anomalies(spark, sf):
 
 
 def _late_amendments(spark, sf):
-    """Billing, the card without its amendments (SOW contracts), and these."""
-    billing, card = testdata.billing(spark, sf), testdata.rate_card(spark, sf)
+    """Billing, the card without its amendments (SOW contracts), and these. Billing is read three times
+    and derived by joins of whole tables, so it is written once."""
+    billing, card = tables.stage(testdata.billing(spark, sf), "billing"), testdata.rate_card(spark, sf)
     late = F.col("contract_id").startswith("SOW")
     return billing, card.filter(~late), card.filter(late)
 

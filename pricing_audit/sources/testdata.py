@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.numbers import round_half
+from ..operators.joins import fits_broadcast
 
 SCHEMAS = {
     "region": "r_regionkey int, r_name string",
@@ -65,6 +66,16 @@ def stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.readStream.schema(SCHEMAS[name]).parquet(pattern)
 
 
+# Payload up to which a table is sent to every task.
+SMALL_BYTES = 8 * 1024 * 1024
+
+
+def _sized(df: DataFrame) -> DataFrame:
+    """``df`` as the right side of a join, broadcast only if its measured payload is small: by the size of
+    its files Spark would send tables of millions of rows, of which the driver holds every row."""
+    return F.broadcast(df) if fits_broadcast(df, SMALL_BYTES) else df.hint("merge")
+
+
 def _decimal(text: str) -> Column:
     return F.lit(Decimal(text))
 
@@ -163,10 +174,13 @@ def billing(
         F.col("p_type").alias("service_type"),
         F.col("p_brand").alias("temperature"),
         _size_class().alias("container_size"),
-    ).join(bases, ["service_type", "temperature", "container_size"])
+    )
     ordered = (
         table(spark, sf_dir, "orders")
-        .join(table(spark, sf_dir, "customer"), F.col("o_custkey") == F.col("c_custkey"))
+        .join(
+            _sized(table(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment")),
+            F.col("o_custkey") == F.col("c_custkey"),
+        )
         .select(
             F.col("o_orderkey").alias("l_orderkey"),
             F.col("c_mktsegment").alias("customer_name"),
@@ -182,7 +196,8 @@ def billing(
     price = F.get("billed_prices", tier * (len(BILLED_FACTORS) + 2) + drift)
     return (
         lineitem.join(ordered.hint("merge"), "l_orderkey")
-        .join(priced, "l_partkey")
+        .join(_sized(priced), "l_partkey")
+        .join(_sized(bases), ["service_type", "temperature", "container_size"])
         .select(
             F.concat(F.col("l_orderkey").cast("string"), F.lit("-"), "l_linenumber", F.lit("-"),
                      "l_partkey", F.lit("-"), "l_suppkey").alias("txn_id"),
@@ -398,10 +413,10 @@ def amendments(spark: SparkSession, sf_dir: str) -> DataFrame:
     wide = F.col("o_orderkey") % 500 == 0
     only = (F.col("o_custkey") % 50 + 1).cast("int")
     days = F.when(wide, 400).otherwise(7 * (1 + F.col("o_orderkey") % 3)).cast("int")
-    customers = table(spark, sf_dir, "customer")
+    customers = table(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment")
     start = F.col("o_orderdate").cast("date")
     return (
-        table(spark, sf_dir, "orders").join(customers, F.col("o_custkey") == F.col("c_custkey"))
+        table(spark, sf_dir, "orders").join(_sized(customers), F.col("o_custkey") == F.col("c_custkey"))
         .select(
             F.concat(F.lit("AM"), F.col("o_orderkey").cast("string")).alias("contract_id"),
             F.col("c_mktsegment").alias("customer_name"), F.col("o_orderstatus").alias("service_type"),
@@ -415,10 +430,10 @@ def amendments(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def shipments(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Line items as transactions on the keys of ``amendments``."""
-    orders = table(spark, sf_dir, "orders").join(
-        table(spark, sf_dir, "customer"), F.col("o_custkey") == F.col("c_custkey")
-    )
-    return table(spark, sf_dir, "lineitem").join(orders, F.col("l_orderkey") == F.col("o_orderkey")).select(
+    customers = table(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment")
+    orders = table(spark, sf_dir, "orders").join(_sized(customers), F.col("o_custkey") == F.col("c_custkey"))
+    lines = table(spark, sf_dir, "lineitem")
+    return lines.join(orders.hint("merge"), F.col("l_orderkey") == F.col("o_orderkey")).select(
         F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey").alias("txn_id"),
         F.col("c_mktsegment").alias("customer_name"), F.col("l_linestatus").alias("service_type"),
         F.col("l_quantity").cast("int").alias("quantity"), F.col("l_shipdate").cast("date").alias("txn_date"),
