@@ -99,3 +99,28 @@ def test_joined_rows_are_the_answer(spark):
     latest = anomaly.match_rates(billing, rates, single=True, cells=True, **options)
     expect = anomaly.match_rates(billing, rates, single=True, **options)
     assert sorted(map(tuple, latest.collect())) == sorted(map(tuple, expect.select(latest.columns).collect()))
+
+
+def test_pairs_are_made_by_the_last_join(spark):
+    """Two hundred versions hold for each of a thousand shipments: no shuffle carries the pairs."""
+    start = datetime.date(2020, 1, 1)
+    boxes = spark.range(200).select(
+        F.lit("a").alias("k"), F.lit(1).alias("lo"), F.lit(9).alias("hi"), F.lit(start).alias("start"),
+        F.date_add(F.lit(start), (F.col("id") % 50 + 30).cast("int")).alias("end"), F.col("id").cast("string").alias("name"),
+    )
+    points = spark.range(1000).select(
+        "id", F.lit("a").alias("k"), (F.col("id") % 9 + 1).cast("int").alias("q"),
+        F.date_add(F.lit(start), (F.col("id") % 30).cast("int")).alias("d"), F.lit(0).alias("level"),
+    )
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    spark.conf.set("spark.sql.adaptive.enabled", False)
+    try:
+        got = ranges.match_boxes(points, boxes, ["k"], RANGES)
+        assert got.count() == 200_000
+        plan = got._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    lines = plan[plan.index("SortMergeJoin"):].splitlines()
+    # Below the topmost join no other join's pairs are shuffled: boxes reach it straight from their cut.
+    assert not [x for x in lines[1:] if "SortMergeJoin" in x and "Inner" in x]
