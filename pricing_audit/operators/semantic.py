@@ -15,6 +15,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -24,7 +25,8 @@ from .search import SearchIndex, search, tokens, vector_topk
 WIDTH, RANK, OVERSAMPLE = 1 << 14, 64, 16
 MOST_ROUNDS, TOLERANCE = 20, 1e-5
 SLICES = 32
-_AT_ONCE = 1 << 15  # words multiplied at a time
+_AT_ONCE = 1 << 18  # words counted at a time
+ROWS = 128  # texts multiplied at a time
 # Fixed value: the usual constant of reciprocal rank fusion.
 FUSION = 60
 
@@ -44,36 +46,42 @@ def features(sections: DataFrame, text: str = "text", width: int = WIDTH) -> Dat
     return sections.select("doc_id", F.coalesce(number, F.array().cast("array<int>")).alias("features"))
 
 
-def _rows(lists: pa.Array, idf: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """Unit tf-idf rows of a batch, about _AT_ONCE words at a time: features, weights and the rows'
-    bounds. A text without words is an empty row."""
-    found, weight, bounds = [], [], [0]
-    held = 0
-    for words in lists:
-        one, count = np.unique(np.asarray(words.values.to_numpy(), np.int64), return_counts=True)
-        w = (1 + np.log(count)) * idf[one]
-        found.append(one)
-        weight.append(w / np.sqrt((w * w).sum()) if len(w) else w)
-        held += len(one)
-        bounds.append(held)
-        if held >= _AT_ONCE:
-            yield np.concatenate(found), np.concatenate(weight), np.array(bounds)
-            found, weight, bounds, held = [], [], [0], 0
-    if found:
-        yield np.concatenate(found), np.concatenate(weight), np.array(bounds)
-
-
-def _times(found: np.ndarray, weight: np.ndarray, bounds: np.ndarray, matrix: np.ndarray) -> np.ndarray:
-    """The sparse rows times ``matrix``."""
-    out = np.zeros((len(bounds) - 1, matrix.shape[1]))
-    filled = np.flatnonzero(np.diff(bounds))
-    if len(filled):
-        out[filled] = np.add.reduceat(weight[:, None] * matrix[found], bounds[filled])
-    return out
+def _counted(lists: pa.Array, width: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """The different words of a batch's texts, about _AT_ONCE words at a time: features, counts and the
+    texts' bounds. A text without words is an empty row."""
+    ends = np.cumsum(pc.list_value_length(lists).to_numpy()).astype(np.int64)
+    words, at, done = lists.flatten().to_numpy(), 0, 0
+    while at < len(ends):
+        to = max(at + 1, int(np.searchsorted(ends, done + _AT_ONCE, "right")))
+        text = np.repeat(np.arange(to - at), np.diff(ends[at:to], prepend=done))
+        one, count = np.unique(text * width + words[done : ends[to - 1]], return_counts=True)
+        yield one % width, count, np.searchsorted(one, np.arange(to - at + 1) * width)
+        at, done = to, ends[to - 1]
+
+
+def _blocks(
+    found: np.ndarray, count: np.ndarray, bounds: np.ndarray, idf: np.ndarray
+) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """Unit tf-idf rows, ROWS texts at a time, as (first text, end, features used, texts x features used):
+    a few texts share most of their words, so that dense products waste little."""
+    place = np.zeros(len(idf), np.int64)
+    used = np.zeros(len(idf), bool)
+    weight = (1 + np.log(count)) * idf[found]
+    for first in range(0, len(bounds) - 1, ROWS):
+        end = min(first + ROWS, len(bounds) - 1)
+        own = slice(bounds[first], bounds[end])
+        used[found[own]] = True
+        local = np.flatnonzero(used)
+        used[local] = False
+        place[local] = np.arange(len(local))
+        dense = np.zeros((end - first, len(local)))
+        dense[np.repeat(np.arange(end - first), np.diff(bounds[first : end + 1])), place[found[own]]] = weight[own]
+        norm = np.sqrt((dense * dense).sum(axis=1, keepdims=True))
+        yield first, end, local, dense / np.where(norm > 0, norm, 1)
 
 
 def _gram_times(rows: DataFrame, idf: np.ndarray, matrix: np.ndarray) -> np.ndarray:
-    """A'(A matrix) for the sparse rows A: one pass, parts added on the executors."""
+    """A'(A matrix) for the tf-idf rows A of (features, counts): one pass, parts added on the executors."""
     spark = rows.sparkSession
     shared = spark.sparkContext.broadcast((idf, matrix))
     shape = matrix.shape
@@ -82,14 +90,10 @@ def _gram_times(rows: DataFrame, idf: np.ndarray, matrix: np.ndarray) -> np.ndar
         weights, right = shared.value
         total = np.zeros(shape)
         for batch in batches:
-            for found, weight, bounds in _rows(batch.column(0), weights):
-                if not len(found):
-                    continue
-                own = np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))
-                product = weight[:, None] * _times(found, weight, bounds, right)[own]
-                order = np.argsort(found, kind="stable")
-                first = np.flatnonzero(np.r_[True, np.diff(found[order]) > 0])
-                total[found[order][first]] += np.add.reduceat(product[order], first)
+            found, count = (c.flatten().to_numpy() for c in batch.columns)
+            bounds = np.cumsum(np.r_[0, pc.list_value_length(batch.column(0)).to_numpy()])
+            for _, _, local, dense in _blocks(found, count, bounds, weights):
+                total[local] += dense.T @ (dense @ right[local])
         if total.any():
             slices = [zlib.compress(s.tobytes(), 1) for s in np.array_split(total, SLICES)]
             yield pa.RecordBatch.from_pydict(
@@ -111,7 +115,7 @@ def _gram_times(rows: DataFrame, idf: np.ndarray, matrix: np.ndarray) -> np.ndar
 
     schema = "slice int, sums binary"
     # As many parts as cores, however many files there are.
-    few = rows.select("features").coalesce(spark.sparkContext.defaultParallelism)
+    few = rows.select("features", "counts").coalesce(spark.sparkContext.defaultParallelism)
     summed = few.mapInArrow(part, schema).repartition(SLICES, "slice").mapInArrow(add, schema).collect()
     shared.unpersist()
     out = np.zeros(shape)
@@ -128,9 +132,21 @@ def fit(
     Rounds go on until the singular values stand still, MOST_ROUNDS at most. Fewer vectors than
     ``rank`` come back where the table has no more; without words there are none.
     """
-    rows = stage(features(sections, text, width), "features")
+
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for found, count, bounds in _counted(batch.column(0), width):
+                ends = pa.array(bounds.astype(np.int32))
+                lists = [pa.ListArray.from_arrays(ends, pa.array(x.astype(np.int32))) for x in (found, count)]
+                yield pa.RecordBatch.from_arrays(lists, ["features", "counts"])
+
+    # Words are counted once, not in every round.
+    rows = stage(
+        features(sections, text, width).select("features").mapInArrow(counted, "features array<int>, counts array<int>"),
+        "features",
+    )
     seen = (
-        rows.select(F.explode(F.array_distinct("features")).alias("feature"))
+        rows.select(F.explode("features").alias("feature"))
         .groupBy("feature").agg(F.count("*").alias("n")).collect()  # at most ``width`` rows
     )
     n, counts = rows.count(), np.zeros(width)
@@ -168,7 +184,11 @@ def section_vectors(sections: DataFrame, model: SemanticModel, text: str = "text
     def project(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
         for batch in batches:
-            made = [_times(*part, m.basis) for part in _rows(batch.column(1), m.idf)]
+            made = [
+                dense @ m.basis[local]
+                for part in _counted(batch.column(1), len(m.idf))
+                for _, _, local, dense in _blocks(*part, m.idf)
+            ]
             flat = np.concatenate(made) if made else np.zeros((0, m.basis.shape[1]))
             ends = np.arange(len(flat) + 1, dtype=np.int32) * m.basis.shape[1]
             vectors = pa.ListArray.from_arrays(pa.array(ends), pa.array(flat.ravel()))
