@@ -80,6 +80,17 @@ def test_index_keeps_latest_version(spark):
     assert bag(search.search(index, questions, 5)) == bag(want)
 
 
+def test_one_file_is_indexed_by_many_tasks(spark):
+    root = scratch_path(spark, "test-spread")
+    rows = spark.range(64).selectExpr("id AS doc_id", "concat('word', id) AS text")
+    rows.coalesce(1).write.parquet(f"{root}/in")
+    stream = spark.readStream.schema(rows.schema).parquet(f"{root}/in")
+    jobs.stream_index(stream, f"{root}/index", f"{root}/checkpoint").awaitTermination()
+    written = spark.read.parquet(f"{root}/index/postings")
+    assert written.count() == 64
+    assert len(written.inputFiles()) == spark.sparkContext.defaultParallelism
+
+
 def test_table_streams_from_folder_or_file(spark):
     """A table may be one file or a folder of parts; both arrive completely."""
     root = scratch_path(spark, "test-parts")
