@@ -24,6 +24,8 @@ from .search import RANK_DIGITS, SHOWN_DIGITS
 MOST_LISTS, SAMPLE_PER_LIST, FIT_ROUNDS = 4096, 64, 12
 CALIBRATION_QUERIES, CALIBRATION_K = 256, 10
 VECTORS_PER_FILE = 1_000_000
+# Similarities that the driver or a task holds at a time.
+SIMILARITIES_HELD = 2_000_000
 
 
 def _unit(values: pd.Series) -> tuple[np.ndarray, np.ndarray]:
@@ -39,6 +41,15 @@ def _unit(values: pd.Series) -> tuple[np.ndarray, np.ndarray]:
     return matrix[norms > 0] / norms[norms > 0][:, None], usable
 
 
+def _closest(unit: np.ndarray, centroids: np.ndarray) -> np.ndarray:
+    """The number of each row's nearest centroid."""
+    closest = np.empty(len(unit), np.int64)
+    step = max(1, SIMILARITIES_HELD // max(len(centroids), 1))
+    for start in range(0, len(unit), step):
+        closest[start:start + step] = (unit[start:start + step] @ centroids.T).argmax(axis=1)
+    return closest
+
+
 @dataclass(frozen=True)
 class InvertedFile:
     """``centroids``: unit rows. ``path``: Parquet of vec_id, vector, partitioned by ``list``.
@@ -63,7 +74,7 @@ def fit_centroids(sample: np.ndarray, lists: int, rounds: int = FIT_ROUNDS) -> n
     """Spherical k-means; the start is spread over the sample, empty lists keep their centroid."""
     centroids = sample[np.linspace(0, len(sample) - 1, lists).astype(int)].copy()
     for _ in range(rounds):
-        nearest = (sample @ centroids.T).argmax(axis=1)
+        nearest = _closest(sample, centroids)
         sums = np.zeros_like(centroids)
         np.add.at(sums, nearest, sample)
         norms = np.sqrt((sums * sums).sum(axis=1))
@@ -79,7 +90,7 @@ def neighbour_depths(sample: np.ndarray, centroids: np.ndarray) -> np.ndarray:
     similar[np.arange(len(asking)), asking] = -np.inf
     k = min(CALIBRATION_K, len(sample) - 1)
     nearest = np.argsort(-similar, axis=1, kind="stable")[:, :k]
-    listed = (sample @ centroids.T).argmax(axis=1)
+    listed = _closest(sample, centroids)
     order = np.argsort(-(sample[asking] @ centroids.T), axis=1, kind="stable")
     place = np.argsort(order, axis=1, kind="stable")
     return np.sort(place[np.arange(len(asking))[:, None], listed[nearest]].ravel())
@@ -115,7 +126,7 @@ def build(
             unit, usable = _unit(batch["vector"])
             if len(unit):
                 batch = batch[usable]
-                yield batch.assign(list=(unit @ shared.value.T).argmax(axis=1).astype(np.int32))
+                yield batch.assign(list=_closest(unit, shared.value).astype(np.int32))
 
     # Only vectors move, dealt so that a crowded list becomes several files.
     listed = source.mapInPandas(assign, "vec_id long, vector array<double>, list int")
@@ -125,10 +136,19 @@ def build(
     return InvertedFile(path, centroids, depths)
 
 
-def _nearest(index: InvertedFile, unit: np.ndarray, probes: int) -> np.ndarray:
-    """The lists to probe per query, nearest first, ties by number."""
-    near = np.round(unit @ index.centroids.T, RANK_DIGITS)
-    return np.argsort(-near, axis=1, kind="stable")[:, :probes]
+def _probed(index: InvertedFile, unit: np.ndarray, probes: int) -> np.ndarray:
+    """A row of bits per list: the queries that probe it, each its nearest lists, ties by number."""
+    bits = np.zeros((len(index.centroids), (len(unit) + 7) // 8), np.uint8)
+    # Whole bytes of bits at a time.
+    step = 8 * max(1, SIMILARITIES_HELD // (8 * len(index.centroids)))
+    for start in range(0, len(unit), step):
+        near = np.round(unit[start:start + step] @ index.centroids.T, RANK_DIGITS)
+        order = np.argsort(-near, axis=1, kind="stable")[:, :probes]
+        asks = np.zeros(near.shape, bool)
+        np.put_along_axis(asks, order, True, axis=1)
+        packed = np.packbits(asks.T, axis=1)
+        bits[:, start // 8:start // 8 + packed.shape[1]] = packed
+    return bits
 
 
 def topk(
@@ -154,8 +174,8 @@ def topk(
         unit, usable = _unit(rows["query"])
         if not len(unit) or not len(index.centroids):
             continue
-        probed = _nearest(index, unit, probes)
-        wanted = sorted(set(probed.ravel().tolist()))
+        probed = _probed(index, unit, probes)
+        wanted = np.flatnonzero(probed.any(axis=1)).tolist()
         found = index.vectors(spark).filter(F.col("list").isin(wanted)).mapInPandas(
             _ranked(unit, rows["query_id"].to_numpy()[usable], probed, k), schema
         )
@@ -166,29 +186,27 @@ def topk(
 
 
 def _ranked(unit: np.ndarray, names: np.ndarray, probed: np.ndarray, k: int):
-    askers: dict[int, list[int]] = {}
-    for q, lists in enumerate(probed.tolist()):
-        for one in lists:
-            askers.setdefault(one, []).append(q)
-
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held: dict[int, tuple[np.ndarray, np.ndarray]] = {}
         for batch in batches:
             for one, part in batch.groupby("list"):
-                asking = askers[int(one)]
+                asking = np.flatnonzero(np.unpackbits(probed[int(one)], count=len(unit)))
                 vectors, usable = _unit(part["vector"])
                 ids = part["vec_id"].to_numpy()[usable]
-                similar = np.round(unit[asking] @ vectors.T, RANK_DIGITS) + 0.0
-                for q, row in zip(asking, similar, strict=True):
-                    scores, kept = held.get(q, (np.empty(0), np.empty(0, np.int64)))
-                    if len(scores) >= k:
-                        row, row_ids = row[row >= scores[-1]], ids[row >= scores[-1]]
-                    else:
+                step = max(1, SIMILARITIES_HELD // max(len(ids), 1))
+                for start in range(0, len(asking), step):
+                    some = asking[start:start + step]
+                    similar = np.round(unit[some] @ vectors.T, RANK_DIGITS) + 0.0
+                    for q, row in zip(some.tolist(), similar, strict=True):
+                        scores, kept = held.get(q, (np.empty(0), np.empty(0, np.int64)))
                         row_ids = ids
-                    if len(row):
-                        scores, kept = np.concatenate((scores, row)), np.concatenate((kept, row_ids))
-                        top = np.lexsort((kept, -scores))[:k]
-                        held[q] = scores[top], kept[top]
+                        if len(scores) >= k:
+                            near = row >= scores[-1]
+                            row, row_ids = row[near], ids[near]
+                        if len(row):
+                            scores, kept = np.concatenate((scores, row)), np.concatenate((kept, row_ids))
+                            top = np.lexsort((kept, -scores))[:k]
+                            held[q] = scores[top], kept[top]
         for q, (scores, kept) in held.items():
             yield pd.DataFrame({"query_id": names[q], "vec_id": kept, "similarity": scores})
 

@@ -3,6 +3,7 @@ from __future__ import annotations
 import numpy as np
 from conftest import SF_DIR
 from pricing_audit.operators import ivf, search
+from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
 SCHEMA = "vec_id long, embedding array<float>, list int, vector string"
@@ -41,6 +42,26 @@ def test_all_lists_give_the_exact_result(spark):
     assert found.orderBy(order).collect() == exact.select(found.columns).orderBy(order).collect()
 
 
+def test_tasks_hold_little_per_query_and_list(spark, monkeypatch):
+    """What a task gets grows with the queries; of each query and list it is one bit."""
+    monkeypatch.setattr(ivf, "SIMILARITIES_HELD", 1000, raising=False)
+    df = spark.createDataFrame(clustered(2000, 5, 8), SCHEMA)
+    index = ivf.build(df, lists=200)
+    asked = df.select(F.col("vec_id").alias("query_id"), "embedding")
+    sizes, ranked = [], ivf._ranked
+
+    def watched(*args):
+        sizes.append(len(cloudpickle.dumps(ranked(*args))))
+        return ranked(*args)
+
+    monkeypatch.setattr(ivf, "_ranked", watched)
+    found = ivf.topk(spark, index, asked, 3, probes=200)
+    assert sum(sizes) < 2000 * (8 + 8 * 8 + 200 / 8) + 50_000
+    exact = search.vector_topk(df, asked, 3)
+    order = ["query_id", "rank"]
+    assert found.orderBy(order).collect() == exact.select(found.columns).orderBy(order).collect()
+
+
 def test_only_probed_lists_are_read(spark):
     df = spark.createDataFrame(clustered(300, 5, 8), SCHEMA)
     index = ivf.build(df, lists=6)
