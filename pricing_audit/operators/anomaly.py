@@ -103,6 +103,22 @@ def _first_candidate(billing, side, keys, qty, date, how):
     )
 
 
+def _ranked_contract():
+    return F.struct((-F.unix_date("contract_start")).alias("recency"), *CONTRACT_COLUMNS)
+
+
+def _first_of_equal_ranges(rates, keys, date):
+    """Of rates that hold for the same transactions only the one that a choice would take, so that the
+    pairs to choose from do not grow with amendments of the same range."""
+    ranges = ["volume_tier_min", "volume_tier_max"] + (["contract_start", "contract_end"] if date else [])
+    first = _rate_side(rates, keys).groupBy(*keys, *ranges).agg(F.min(_ranked_contract()).alias("best"))
+    return first.select(
+        *keys, "best.contract_id", F.col("best.contract_unit_price").alias("unit_price"),
+        "volume_tier_min", "volume_tier_max", F.col("best.contract_start").alias("effective_date"),
+        F.col("best.contract_end").alias("expiry_date"),
+    )
+
+
 def _choice_per_signature(billing, rates, keys, qty, date, how, limit, cells):
     """Choose once per distinct (keys, quantity, date), then attach the choice to all copies.
 
@@ -111,8 +127,9 @@ def _choice_per_signature(billing, rates, keys, qty, date, how, limit, cells):
     """
     signature = [*keys, qty] + ([date] if date else [])
     asked = billing.select(*signature).distinct()
+    rates = _first_of_equal_ranges(rates, keys, date)
     matched = match_rates(asked, rates, keys, qty, date, "inner", limit=limit, cells=cells)
-    ranked = F.struct((-F.unix_date("contract_start")).alias("recency"), *CONTRACT_COLUMNS)
+    ranked = _ranked_contract()
     chosen = matched.groupBy(*signature).agg(F.min(ranked).alias("best")).select(
         *signature, *[F.col(f"best.{c}").alias(c) for c in CONTRACT_COLUMNS]
     )

@@ -124,3 +124,28 @@ def test_pairs_are_made_by_the_last_join(spark):
     lines = plan[plan.index("SortMergeJoin"):].splitlines()
     # Below the topmost join no other join's pairs are shuffled: boxes reach it straight from their cut.
     assert not [x for x in lines[1:] if "SortMergeJoin" in x and "Inner" in x]
+
+
+@pytest.mark.parametrize("date", ["txn_date", None])
+def test_a_choice_sees_equal_ranges_once(spark, date, monkeypatch):
+    """Fifty amendments of one range: the one that wins is found before they meet any transaction."""
+    rates = [("a", f"c{i:02}", 10.0 + i, 1, 9, day(5), day(20 if date else 20 + i)) for i in range(50)]
+    rates += [("a", "old", 1.0, 1, 9, day(1), day(20)), ("b", None, 2.0, 1, 9, day(5), day(20))]
+    card = spark.createDataFrame(
+        rates, "k string, contract_id string, unit_price double, volume_tier_min int, volume_tier_max int, "
+        "effective_date date, expiry_date date")
+    billing = spark.createDataFrame(
+        [(1, "a", 3, day(7)), (2, "a", 3, day(2)), (3, "a", 30, day(7)), (4, "b", 3, day(7)), (5, None, 3, None)],
+        "id long, k string, quantity int, txn_date date")
+    seen, original = [], anomaly.match_boxes
+
+    def watched(points, boxes, *args, **kwargs):
+        seen.append(boxes.count())
+        return original(points, boxes, *args, **kwargs)
+
+    monkeypatch.setattr(anomaly, "match_boxes", watched)
+    got = anomaly.match_rates(billing, card, ["k"], date=date, single=True, cells=True).orderBy("id").collect()
+    early = None if date is None else "old"
+    assert [(r.id, r.contract_id, r.contract_unit_price) for r in got] == [
+        (1, "c00", 10.0), (2, early or "c00", 1.0 if early else 10.0), (3, None, None), (4, None, 2.0), (5, None, None)]
+    assert seen == [3 if date else 2]
