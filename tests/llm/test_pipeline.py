@@ -18,7 +18,7 @@ def test_query_equals_sql(spark, name):
 
 def test_every_operator_has_a_query():
     numbers = [int(name[2:].split("_")[0]) for name in queries.QUERIES]
-    assert sorted(numbers) == list(range(1, 11))
+    assert sorted(numbers) == list(range(1, 14))
 
 
 def test_stages(spark):
