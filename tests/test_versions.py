@@ -14,12 +14,12 @@ def bag(df):
     return sorted(map(str, df.drop("parsed_at").collect()))
 
 
-def arrive(spark, root, rows, times=True):
+def arrive(spark, root, rows, times=True, **options):
     df = spark.createDataFrame(rows, SCHEMA)
     df = df if times else df.drop("modified_at")
     df.coalesce(1).write.mode("append").parquet(f"{root}/in")
     stream = spark.readStream.schema(df.schema).parquet(f"{root}/in")
-    versions.stream_page_versions(stream, f"{root}/cache", f"{root}/checkpoint").awaitTermination()
+    versions.stream_page_versions(stream, f"{root}/cache", f"{root}/checkpoint", **options).awaitTermination()
     return versions.current_pages(spark, f"{root}/cache")
 
 
@@ -65,3 +65,18 @@ def test_a_batch_does_not_read_the_cache(spark):
     arrive(spark, root, [("a", "x", "one", None, 0), ("d", "x", "two", None, 0)], times=False)
     seen = spark.read.parquet(f"{root}/cache/documents").collect()
     assert [(r.filename, r.batch_id) for r in seen] == [("d", 1)]
+
+
+def test_python_is_called_per_group_of_documents(spark):
+    """The calls are bounded by the groups, whatever the number of documents, and no document is lost."""
+    root = scratch_path(spark, "versions")
+    rows = [(f"f{i}", None if i % 5 == 0 else f"c{i % 3}", f"text {i}", at(1), 0) for i in range(400)]
+    arrive(spark, root, rows, groups=8)
+    later = [(f, c, t if i % 2 else "new " + t, at(2 if i % 4 else 0), 0) for i, (f, c, t, _, _) in enumerate(rows)]
+    later += [(f"g{i}", "x", None, at(1), 0) for i in range(20)]
+    current = arrive(spark, root, later, groups=8)
+    assert bag(current) == bag(pages.split_pages(versions.latest_documents(spark.createDataFrame(rows + later, SCHEMA))))
+    seen = spark.read.parquet(f"{root}/cache/documents").groupBy("batch_id").count().collect()
+    assert sorted(map(tuple, seen)) == [(0, 400), (1, 100 + 20)]
+    stores = spark.read.format("statestore").load(f"{root}/checkpoint")
+    assert stores.count() <= 8
