@@ -851,6 +851,8 @@ def two_contract_runs(spark, sf):
     docs = testdata.contract_documents(part).drop("customer_id").join(
         part.select(F.concat(F.lit("contract "), F.col("p_partkey"), F.lit(".pdf")).alias("filename"),
                     number, (F.col("p_partkey") % 4 == 3).alias("shared")), "filename")
+    # The parts may be one row group, then one task would do all that follows the scan.
+    docs = tables.stage(docs.repartition(spark.sparkContext.defaultParallelism), "numbered")
     store = contracts.Store(scratch_path(spark, "contract-runs"))
     first = docs.select("filename", F.col("number").alias("customer_id"), "text")
     contracts.extract_contracts(spark, first, store, _contract_method(), run_id=1)
