@@ -17,9 +17,10 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-RUN_BYTES = 1 << 24
+RUN_BYTES = 1 << 23
 KEPT_CHUNKS = 400_000
 ENCODED_AT_ONCE = 2048
+EXPANDED_AT_ONCE = 1 << 16
 
 _W = r" \t\n\r\x0b\f"
 _SPACED = re.compile(rf" ?[^{_W}]+|[{_W}]+(?![^{_W}])|[{_W}]+")
@@ -107,11 +108,10 @@ class Encoder:
             lines = pc.replace_substring(texts, "\n", " " + _LINE)
             parts = pc.split_pattern(pc.binary_join_element_wise(_FIRST, lines, ""), " ")
             if uneven.any():
-                cut = [
-                    [_FIRST + c for c in self._cut(t.as_py())] if odd else p.as_py()
-                    for t, p, odd in zip(texts, parts, uneven, strict=True)
-                ]
-                parts = pa.array(cut, pa.list_(pa.string()))
+                odd = texts.filter(pa.array(uneven))
+                cut = [pa.array([[_FIRST + c for c in self._cut(t.as_py())]], parts.type) for t in odd]
+                place = np.where(uneven, len(parts) + np.cumsum(uneven) - 1, np.arange(len(parts)))
+                parts = pa.concat_arrays([parts, *cut]).take(pa.array(place))
         else:
             parts = pa.array([[t] for t in texts.to_pylist()], pa.list_(pa.string()))
         return parts.flatten(), parts.offsets.to_numpy().astype(np.int64) - parts.offsets[0].as_py()
@@ -133,6 +133,7 @@ class Encoder:
     def _encoded(self, texts: pa.Array) -> Iterator[np.ndarray]:
         parts, begin = self._split(texts)
         coded = parts.dictionary_encode()
+        del parts
         keys, which = coded.dictionary.to_pylist(), coded.indices.to_numpy()
         seen = self._seen
         found = list(map(seen.get, keys))
@@ -149,13 +150,19 @@ class Encoder:
         flat = np.frombuffer(b"".join(found), self.dtype)
         length = np.fromiter(map(len, found), np.int64, len(found)) // self.dtype.itemsize
         first = np.cumsum(length) - length
-        many = length[which]
-        ends = np.cumsum(many)
-        total = int(ends[-1]) if len(ends) else 0
-        out = flat[np.repeat(first[which] - (ends - many), many) + np.arange(total)]
-        bounds = np.concatenate(([0], ends))[begin]
-        for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
-            yield out[a:b]
+        del keys, found
+        at = 0
+        while at < len(begin) - 1:  # texts with about so many chunks; a longer one comes alone
+            to = max(int(np.searchsorted(begin, begin[at] + EXPANDED_AT_ONCE, "right")) - 1, at + 1)
+            own = which[begin[at] : begin[to]]
+            many = length[own]
+            ends = np.cumsum(many)
+            total = int(ends[-1]) if len(ends) else 0
+            out = flat[np.repeat(first[own] - (ends - many), many) + np.arange(total)]
+            bounds = np.concatenate(([0], ends))[begin[at : to + 1] - begin[at]].tolist()
+            for a, b in zip(bounds[:-1], bounds[1:], strict=True):
+                yield out[a:b]
+            at = to
 
 
 _ENCODERS: dict[str, Encoder] = {}

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import random
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -36,6 +37,21 @@ def test_chunked_ids_equal_the_library(name, kept, monkeypatch):
         assert [x.tolist() for x in encoder.ids(pa.array(texts, pa.string()))] == library(name, texts)
 
 
+@pytest.mark.parametrize("name", [WORDS, BYTES])
+def test_encoding_many_texts_takes_little_memory(name):
+    """Room follows a block of texts, not all that are encoded together."""
+    words = pa.array(["a bc d e f g h i " * 2500] * 300 + ["", "z" * 10 + " z" * 300_000])
+    encoder = tokens.Encoder(name)
+    tracemalloc.start()
+    found = [(len(ids), zlib.crc32(ids.tobytes())) for ids in encoder.ids(words)]
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    ids = [np.array(i, encoder.dtype) for i in library(name, [words[0].as_py(), words[-1].as_py()])]
+    first, last = [(len(i), zlib.crc32(i.tobytes())) for i in ids]
+    assert found == [first] * 300 + [(0, 0), last]
+    assert most < 50 << 20
+
+
 @pytest.mark.parametrize("highest", [1, 300, 70_000, 1 << 24, (1 << 32) - 1])
 def test_blocks_round_trip(highest):
     rng = np.random.default_rng(highest)
