@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import datetime
+import math
 import random
 
 import pytest
@@ -126,6 +127,63 @@ def test_pairs_are_made_by_the_last_join(spark):
     assert not [x for x in lines[1:] if "SortMergeJoin" in x and "Inner" in x]
 
 
+def _two_lengths(rng, n, long):
+    """``n`` boxes of a number and a few days; of ``long`` lengths ten boxes of many numbers each."""
+    boxes = [("a" if i % 3 else "b", q, q, day(s), day(s + 5 + i % 9), f"n{i}") for i in range(n)
+             for q, s in [(rng.randint(1, 20), rng.randint(0, 200))]]
+    for k in range(long):
+        boxes += [(rng.choice("ab"), 1, 4 ** (5 + k), day(s), day(s + 60), f"w{k}-{i}") for i in range(10) for s in [rng.randint(0, 200)]]
+    return [*boxes, (None, 1, 20, day(0), day(300), "no key"), ("a", None, 20, day(0), day(300), "no bound")]
+
+
+def _plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_points_are_shuffled_once(spark):
+    """Boxes of one length beside a few long ones: one shuffle of points and one of boxes, no more."""
+    rng = random.Random(5)
+    points = [(i, rng.choice(["a", "b", None]), rng.choice([None, *range(1, 40)]), day(rng.randint(0, 260)), 1) for i in range(500)]
+    points += points[:40]
+    boxes = _two_lengths(rng, 300, 2)
+    left, right = spark.createDataFrame(points, POINTS), spark.createDataFrame(boxes, BOXES)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    spark.conf.set("spark.sql.adaptive.enabled", False)
+    try:
+        for how in ("left", "inner"):
+            got = ranges.match_boxes(left, right, ["k"], RANGES, how)
+            assert sorted(map(tuple, got.collect()), key=str) == plain(points, boxes, how)
+            assert _plan(got).count("Exchange hashpartitioning") == 2
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.adaptive.enabled")
+
+
+@pytest.mark.parametrize("long, limit", [(0, 0), (2, 0), (9, ranges.BROADCAST_BYTES)])
+def test_levels_too_many_or_too_large_to_send(spark, long, limit):
+    rng = random.Random(6)
+    points = [(i, rng.choice(["a", "b", None]), rng.choice([None, *range(1, 60)]), day(rng.randint(-9, 260)), 1) for i in range(300)]
+    boxes = _two_lengths(rng, 200, long)
+    left, right = spark.createDataFrame(points, POINTS), spark.createDataFrame(boxes, BOXES)
+    for how in ("left", "inner"):
+        got = ranges.match_boxes(left, right, ["k"], RANGES, how, limit=limit)
+        assert sorted(map(tuple, got.collect()), key=str) == plain(points, boxes, how)
+
+
+def test_levels_are_exact_beside_powers(spark):
+    sizes = sorted({n for k in range(33) for n in (2**k - 1, 2**k, 2**k + 1) if n < 2**32})
+    boxes = spark.createDataFrame([(-(2**31), n - 2**31) for n in sizes], "lo int, hi int")
+    want = {n: 0 if not n else math.ceil(n.bit_length() / ranges.SIZE_BITS) for n in sizes}
+    got = boxes.select((F.col("hi").cast("long") - F.col("lo")).alias("n"), ranges._levels(boxes, [("", "lo", "hi")])["__level0"].alias("l"))
+    assert {r.n: r.l for r in got.collect()} == want
+
+
+def test_levels_merge_upwards_once():
+    assert ranges._merged([(0, 2), (0, 3), (9, 5)]) == {(9, 5): (9, 5), (0, 3): (0, 3), (0, 2): (0, 3)}
+    # Levels in a row: every other one stays, so that no box goes up more than one level.
+    assert ranges._merged([(0,), (1,), (2,), (3,)]) == {(3,): (3,), (2,): (3,), (1,): (1,), (0,): (1,)}
+
+
 @pytest.mark.parametrize("date", ["txn_date", None])
 def test_a_choice_sees_equal_ranges_once(spark, date, monkeypatch):
     """Fifty amendments of one range: the one that wins is found before they meet any transaction."""
