@@ -9,7 +9,6 @@ reciprocal ranks.
 
 from __future__ import annotations
 
-import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -26,7 +25,7 @@ WIDTH, RANK, OVERSAMPLE = 1 << 14, 64, 16
 MOST_ROUNDS, TOLERANCE = 20, 1e-5
 SLICES = 32
 _AT_ONCE = 1 << 18  # words counted at a time
-ROWS = 128  # texts multiplied at a time
+_HELD = 1 << 21  # features multiplied at a time
 # Fixed value: the usual constant of reciprocal rank fusion.
 FUSION = 60
 
@@ -59,25 +58,116 @@ def _counted(lists: pa.Array, width: int) -> Iterator[tuple[np.ndarray, np.ndarr
         at, done = to, ends[to - 1]
 
 
-def _blocks(
-    found: np.ndarray, count: np.ndarray, bounds: np.ndarray, idf: np.ndarray
-) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
-    """Unit tf-idf rows, ROWS texts at a time, as (first text, end, features used, texts x features used):
-    a few texts share most of their words, so that dense products waste little."""
-    place = np.zeros(len(idf), np.int64)
-    used = np.zeros(len(idf), bool)
-    weight = (1 + np.log(count)) * idf[found]
-    for first in range(0, len(bounds) - 1, ROWS):
-        end = min(first + ROWS, len(bounds) - 1)
-        own = slice(bounds[first], bounds[end])
-        used[found[own]] = True
-        local = np.flatnonzero(used)
-        used[local] = False
-        place[local] = np.arange(len(local))
-        dense = np.zeros((end - first, len(local)))
-        dense[np.repeat(np.arange(end - first), np.diff(bounds[first : end + 1])), place[found[own]]] = weight[own]
-        norm = np.sqrt((dense * dense).sum(axis=1, keepdims=True))
-        yield first, end, local, dense / np.where(norm > 0, norm, 1)
+def counted(sections: DataFrame, text: str = "text", width: int = WIDTH, packed: bool = True) -> DataFrame:
+    """(doc_id, features, counts) for every row: the different features of a text in order and how often it
+    has them; packed as plain numbers in bytes, which pass through Spark as they are, or as lists."""
+    kind, held = sections.schema["doc_id"].dataType.simpleString(), "binary" if packed else "array<int>"
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at = 0
+            for found, times, bounds in _counted(batch.column(1), width):
+                size = len(bounds) - 1
+                if packed:
+                    lists = [_packed(found, bounds, _kind(width)), _packed(times, bounds, np.int32)]
+                else:
+                    ends = pa.array(bounds.astype(np.int32))
+                    lists = [pa.ListArray.from_arrays(ends, pa.array(x.astype(np.int32))) for x in (found, times)]
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0).slice(at, size), *lists], ["doc_id", "features", "counts"]
+                )
+                at += size
+
+    return features(sections, text, width).mapInArrow(count, f"doc_id {kind}, features {held}, counts {held}")
+
+
+def _kind(width: int) -> type:
+    return np.uint16 if width <= 1 << 16 else np.int32
+
+
+def _packed(values: np.ndarray, bounds: np.ndarray, kind: type) -> pa.Array:
+    data = values.astype(kind)
+    ends = (bounds * data.itemsize).astype(np.int64)
+    buffers = [None, pa.py_buffer(ends), pa.py_buffer(data)]
+    return pa.Array.from_buffers(pa.large_binary(), len(bounds) - 1, buffers).cast(pa.binary())
+
+
+def _unpacked(column: pa.Array, kind: type) -> tuple[np.ndarray, np.ndarray]:
+    """The numbers of all rows of a column, packed or in lists, and the rows' bounds."""
+    if pa.types.is_list(column.type):
+        return column.flatten().to_numpy(), np.cumsum(np.r_[0, pc.list_value_length(column).to_numpy()])
+    size = np.dtype(kind).itemsize
+    column = column.cast(pa.large_binary())
+    ends = np.frombuffer(column.buffers()[1], np.int64)[column.offset : column.offset + len(column) + 1]
+    if ends[0] == ends[-1]:
+        return np.zeros(0, kind), np.zeros(len(column) + 1, np.int64)
+    return np.frombuffer(column.buffers()[2], np.uint8)[ends[0] : ends[-1]].view(kind), (ends - ends[0]) // size
+
+
+@dataclass(frozen=True)
+class _Block:
+    """Unit tf-idf rows: features and weights of all rows, one after another, and the rows' bounds."""
+
+    found: np.ndarray
+    weight: np.ndarray
+    bounds: np.ndarray
+
+
+def _blocks(features: pa.Array, counts: pa.Array, idf: np.ndarray) -> Iterator[_Block]:
+    """Some rows at a time, about _HELD features."""
+    found, bounds = _unpacked(features, _kind(len(idf)))
+    count, _ = _unpacked(counts, np.int32)
+    at = 0
+    while at < len(bounds) - 1:
+        to = max(at + 1, int(np.searchsorted(bounds, bounds[at] + _HELD, "right")) - 1)
+        own, ends = slice(bounds[at], bounds[to]), bounds[at : to + 1] - bounds[at]
+        weight = (1 + np.log(count[own])) * idf[found[own]]
+        row = np.repeat(np.arange(to - at), np.diff(ends))
+        norm = np.sqrt(np.bincount(row, weight * weight, minlength=to - at))
+        yield _Block(found[own], weight / norm[row], ends)
+        at = to
+
+
+def _sums(at: np.ndarray, weight: np.ndarray, bounds: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """For every stretch of ``at`` the weighted sum of the rows of ``right`` that it names."""
+    out = np.zeros((len(bounds) - 1, right.shape[1]))
+    held = np.empty((int(np.diff(bounds).max(initial=0)), right.shape[1]))
+    ends = bounds.tolist()
+    for i, (first, end) in enumerate(zip(ends, ends[1:])):  # noqa: B905
+        if end > first:
+            own = held[: end - first]
+            np.take(right, at[first:end], axis=0, out=own, mode="clip")
+            np.dot(weight[first:end], own, out=out[i])
+    return out
+
+
+def _add_gram(block: _Block, right: np.ndarray, total: np.ndarray) -> None:
+    """Adds A'(A right) for the rows A: row by row, then feature by feature."""
+    image = _sums(block.found, block.weight, block.bounds, right)
+    order = np.argsort(block.found, kind="stable")
+    row = np.repeat(np.arange(len(image)), np.diff(block.bounds))[order]
+    sizes = np.bincount(block.found, minlength=len(total))
+    used = np.flatnonzero(sizes)
+    total[used] += _sums(row, block.weight[order], np.r_[0, np.cumsum(sizes[used])], image)
+
+
+def _on_cores(rows: DataFrame, *columns: str) -> DataFrame:
+    """As many parts as cores, however many files there are."""
+    return rows.select(*columns).coalesce(rows.sparkSession.sparkContext.defaultParallelism)
+
+
+def _rows_with(rows: DataFrame, width: int) -> tuple[int, np.ndarray]:
+    """How many rows there are, and how many have each feature."""
+
+    def part(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        n, seen = 0, np.zeros(width, np.int64)
+        for batch in batches:
+            n += batch.num_rows
+            seen += np.bincount(_unpacked(batch.column(0), _kind(width))[0], minlength=width)
+        yield pa.RecordBatch.from_pydict({"n": pa.array([n], pa.int64()), "seen": pa.array([seen.tobytes()], pa.binary())})
+
+    found = _on_cores(rows, "features").mapInArrow(part, "n long, seen binary").collect()  # a row a core at most
+    return sum(r["n"] for r in found), sum((np.frombuffer(r["seen"], np.int64) for r in found), np.zeros(width, np.int64))
 
 
 def _gram_times(rows: DataFrame, idf: np.ndarray, matrix: np.ndarray) -> np.ndarray:
@@ -88,14 +178,12 @@ def _gram_times(rows: DataFrame, idf: np.ndarray, matrix: np.ndarray) -> np.ndar
 
     def part(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         weights, right = shared.value
-        total = np.zeros(shape)
+        right, total = np.ascontiguousarray(right), np.zeros(shape)
         for batch in batches:
-            found, count = (c.flatten().to_numpy() for c in batch.columns)
-            bounds = np.cumsum(np.r_[0, pc.list_value_length(batch.column(0)).to_numpy()])
-            for _, _, local, dense in _blocks(found, count, bounds, weights):
-                total[local] += dense.T @ (dense @ right[local])
+            for block in _blocks(*batch.columns, weights):
+                _add_gram(block, right, total)
         if total.any():
-            slices = [zlib.compress(s.tobytes(), 1) for s in np.array_split(total, SLICES)]
+            slices = [s.tobytes() for s in np.array_split(total, SLICES)]
             yield pa.RecordBatch.from_pydict(
                 {"slice": pa.array(range(SLICES), pa.int32()), "sums": pa.array(slices, pa.binary())}
             )
@@ -104,7 +192,7 @@ def _gram_times(rows: DataFrame, idf: np.ndarray, matrix: np.ndarray) -> np.ndar
         sums: dict[int, np.ndarray] = {}
         for batch in batches:
             for at, held in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                values = np.frombuffer(zlib.decompress(held))
+                values = np.frombuffer(held)
                 sums[at] = sums[at] + values if at in sums else values
         yield pa.RecordBatch.from_pydict(
             {
@@ -114,9 +202,8 @@ def _gram_times(rows: DataFrame, idf: np.ndarray, matrix: np.ndarray) -> np.ndar
         )
 
     schema = "slice int, sums binary"
-    # As many parts as cores, however many files there are.
-    few = rows.select("features", "counts").coalesce(spark.sparkContext.defaultParallelism)
-    summed = few.mapInArrow(part, schema).repartition(SLICES, "slice").mapInArrow(add, schema).collect()
+    parts = _on_cores(rows, "features", "counts").mapInArrow(part, schema)
+    summed = parts.repartition(SLICES, "slice").mapInArrow(add, schema).collect()
     shared.unpersist()
     out = np.zeros(shape)
     for row in summed:
@@ -132,28 +219,15 @@ def fit(
     Rounds go on until the singular values stand still, MOST_ROUNDS at most. Fewer vectors than
     ``rank`` come back where the table has no more; without words there are none.
     """
+    rows = counted(sections, text, width, packed=False).select("features", "counts")
+    return fit_counted(stage(rows, "features"), rank, width, seed)
 
-    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for found, count, bounds in _counted(batch.column(0), width):
-                ends = pa.array(bounds.astype(np.int32))
-                lists = [pa.ListArray.from_arrays(ends, pa.array(x.astype(np.int32))) for x in (found, count)]
-                yield pa.RecordBatch.from_arrays(lists, ["features", "counts"])
-
-    # Words are counted once, not in every round.
-    rows = stage(
-        features(sections, text, width).select("features").mapInArrow(counted, "features array<int>, counts array<int>"),
-        "features",
-    )
-    seen = (
-        rows.select(F.explode("features").alias("feature"))
-        .groupBy("feature").agg(F.count("*").alias("n")).collect()  # at most ``width`` rows
-    )
-    n, counts = rows.count(), np.zeros(width)
-    for r in seen:
-        counts[r["feature"]] = r["n"]
+
+def fit_counted(rows: DataFrame, rank: int = RANK, width: int = WIDTH, seed: int = 0) -> SemanticModel:
+    """``fit`` on sections that are counted and written once, since every round reads them."""
+    n, counts = _rows_with(rows, width)
     idf = np.log((1 + n) / (1 + counts)) + 1
-    size = min(rank + OVERSAMPLE, len(seen), n)
+    size = min(rank + OVERSAMPLE, np.count_nonzero(counts), n)
     if not size:
         return SemanticModel(idf, np.zeros((width, 0)), np.zeros(0))
     basis = np.random.default_rng(seed).normal(size=(width, size))
@@ -177,20 +251,21 @@ def fit(
 def section_vectors(sections: DataFrame, model: SemanticModel, text: str = "text") -> DataFrame:
     """(doc_id, embedding) for every row: its tf-idf row in the model's directions. A text without
     words, null or empty, has the zero vector, which is similar to nothing."""
-    shared = sections.sparkSession.sparkContext.broadcast(model)
-    rows = features(sections, text, len(model.idf))
+    return counted_vectors(counted(sections, text, len(model.idf)), model)
+
+
+def counted_vectors(rows: DataFrame, model: SemanticModel) -> DataFrame:
+    """``section_vectors`` of sections that are counted."""
+    shared = rows.sparkSession.sparkContext.broadcast(model)
     kind = rows.schema["doc_id"].dataType.simpleString()
 
     def project(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
+        basis = np.ascontiguousarray(m.basis)
         for batch in batches:
-            made = [
-                dense @ m.basis[local]
-                for part in _counted(batch.column(1), len(m.idf))
-                for _, _, local, dense in _blocks(*part, m.idf)
-            ]
-            flat = np.concatenate(made) if made else np.zeros((0, m.basis.shape[1]))
-            ends = np.arange(len(flat) + 1, dtype=np.int32) * m.basis.shape[1]
+            made = [_sums(b.found, b.weight, b.bounds, basis) for b in _blocks(*batch.columns[1:], m.idf)]
+            flat = np.concatenate(made) if made else np.zeros((0, basis.shape[1]))
+            ends = np.arange(len(flat) + 1, dtype=np.int32) * basis.shape[1]
             vectors = pa.ListArray.from_arrays(pa.array(ends), pa.array(flat.ravel()))
             yield pa.RecordBatch.from_arrays([batch.column(0), vectors], ["doc_id", "embedding"])
 

@@ -604,16 +604,17 @@ def search_filtered(spark, sf):
 @query
 def semantic_vectors(spark, sf):
     """The vector of every document by the decomposition of all documents' words."""
-    sections = _sections(spark, sf)
-    return semantic.section_vectors(sections, semantic.fit(sections))
+    rows = tables.stage(semantic.counted(_sections(spark, sf)), "features")
+    return semantic.counted_vectors(rows, semantic.fit_counted(rows))
 
 
 @query
 def search_hybrid(spark, sf):
     """The questions by words and by meaning, fused."""
     sections = _sections(spark, sf)
-    model = semantic.fit(sections)
-    vectors = tables.stage(semantic.section_vectors(sections, model), "section-vectors")
+    rows = tables.stage(semantic.counted(sections), "features")
+    model = semantic.fit_counted(rows)
+    vectors = tables.stage(semantic.counted_vectors(rows, model), "section-vectors")
     return semantic.hybrid_search(search.build_index(sections), vectors, _questions(spark, sf), model, 10)
 
 

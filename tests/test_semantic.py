@@ -3,6 +3,7 @@ from __future__ import annotations
 import collections
 import math
 import re
+import tracemalloc
 
 import numpy as np
 import pytest
@@ -62,6 +63,48 @@ def test_blocks_of_words_do_not_matter(spark, fitted, monkeypatch):
     assert np.allclose(again.singular, model.singular, rtol=1e-3)
 
 
+@pytest.mark.parametrize("held", [1, 40, 1 << 21])
+def test_sparse_products_equal_dense(spark, fitted, monkeypatch, held):
+    """Packed or in lists, in blocks of any size, rows without words among them."""
+    monkeypatch.setattr(semantic, "_HELD", held)
+    sections, plain, _ = fitted
+    some = sections.limit(30).unionByName(spark.createDataFrame([(-1, None), (-2, "")], "doc_id long, text string"))
+    rows = plain_rows(spark, some)
+    table = np.stack([rows[i] for i in sorted(rows)])
+    right = np.random.default_rng(3).normal(size=(semantic.WIDTH, 7))
+    for packed in (True, False):
+        counted = semantic.counted(some, packed=packed).toArrow().combine_chunks().to_batches()
+        n, df = semantic._rows_with(semantic.counted(some, packed=packed), semantic.WIDTH)
+        assert n == 32 and np.array_equal(df, (table > 0).sum(axis=0))
+        idf = np.log((1 + n) / (1 + df)) + 1
+        total = np.zeros(right.shape)
+        for batch in [b.slice(at, 9) for b in counted for at in range(0, b.num_rows, 9)]:
+            for block in semantic._blocks(*batch.columns[1:], idf):
+                semantic._add_gram(block, right, total)
+        assert np.allclose(total, table.T @ (table @ right), atol=1e-12)
+
+
+def test_products_hold_no_row_of_all_features():
+    """500 texts of 30 features of their own: what is held grows with the features found."""
+    found = np.arange(15_000).astype(np.uint16)
+    block = semantic._Block(found, np.full(15_000, 0.5), np.arange(0, 15_001, 30))
+    right, total = np.ones((semantic.WIDTH, 2)), np.zeros((semantic.WIDTH, 2))
+    tracemalloc.start()
+    semantic._add_gram(block, right, total)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert np.all(total[:15_000] == 7.5) and not total[15_000:].any()
+    assert peak < 8 * 500 * 15_000 / 10
+
+
+def test_hybrid_search_counts_words_once(spark, monkeypatch):
+    """The words that vectors are made of: once for all sections, once for the questions."""
+    seen, original = [], semantic.features
+    monkeypatch.setattr(semantic, "features", lambda s, *a, **k: seen.append(s.columns) or original(s, *a, **k))
+    queries.QUERIES["search_hybrid"](spark, SF_DIR)
+    assert len(seen) == 2
+
+
 def test_fusion_and_ties(spark):
     one = spark.createDataFrame([("q", 1, 1), ("q", 2, 2), ("q", 3, 3)], "query_id string, doc_id long, rank int")
     two = spark.createDataFrame([("q", 3, 1), ("q", 2, 2), ("q", 9, 3), ("r", 5, 1)], "query_id string, doc_id long, rank int")
